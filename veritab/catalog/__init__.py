@@ -7,7 +7,7 @@ import importlib
 
 from veritab.catalog.base import REGISTRY, Query
 
-_MODULES = ["monitoring"]
+_MODULES = ["monitoring", "profiles"]
 
 
 def load_all() -> dict[str, Query]:

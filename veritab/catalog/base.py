@@ -70,3 +70,45 @@ def sql_union(parts: list[str]) -> str:
 
 def sql_round(expr: str, digits: int = 6) -> str:
     return f"ROUND(CAST({expr} AS DOUBLE), {digits})"
+
+
+# ---- derived fixtures (same expression in the query and in the oracle) ----
+def li_with_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """lineitem with injected nulls (by integer key), an all-null and an unnamed column."""
+    li = tbl(spark, sf, "lineitem")
+    return (li.withColumn("l_quantity", F.when(F.col("l_orderkey") % 17 != 0, F.col("l_quantity")))
+            .withColumn("l_discount", F.when(F.col("l_orderkey") % 5 != 0, F.col("l_discount")))
+            .withColumn("empty_col", F.lit(None).cast("double"))
+            .withColumn("Unnamed: 32", F.lit(1)))
+
+
+SQL_LI_NULLS = ("lin AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, "
+                "CASE WHEN l_orderkey % 17 <> 0 THEN l_quantity END AS l_quantity, l_extendedprice, "
+                "CASE WHEN l_orderkey % 5 <> 0 THEN l_discount END AS l_discount, l_tax, l_returnflag, "
+                "l_linestatus, l_shipdate, CAST(NULL AS DOUBLE) AS empty_col, 1 AS \"Unnamed: 32\" FROM lineitem)")
+LIN_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate", "empty_col", "Unnamed: 32"]
+
+
+def li_priced(spark: SparkSession, sf: str) -> DataFrame:
+    li = tbl(spark, sf, "lineitem")
+    dp = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return li.withColumn("disc_price", dp).withColumn("charge", dp * (1 + F.col("l_tax"))) \
+        .withColumn("target", (F.col("l_returnflag") == "A").cast("int"))
+
+
+SQL_LI_PRICED = ("lp AS (SELECT *, l_extendedprice * (1 - l_discount) AS disc_price, "
+                 "l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge, "
+                 "CAST(l_returnflag = 'A' AS INTEGER) AS target FROM lineitem)")
+LP_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "disc_price", "charge"]
+
+
+def sql_melt(source: str, cols: list[str], keep: list[str] = ()) -> str:
+    """UNION ALL melt of columns to (keep..., feature, value double)."""
+    k = "".join(f"{c}, " for c in keep)
+    return sql_union([f"SELECT {k}'{c}' AS feature, CAST(\"{c}\" AS DOUBLE) AS value FROM {source}"
+                      for c in cols])
+
+
+def sql_quote(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
