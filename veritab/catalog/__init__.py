@@ -7,7 +7,7 @@ import importlib
 
 from veritab.catalog.base import REGISTRY, Query
 
-_MODULES = ["monitoring", "profiles"]
+_MODULES = ["monitoring", "profiles", "drift"]
 
 
 def load_all() -> dict[str, Query]:

@@ -112,3 +112,69 @@ def sql_melt(source: str, cols: list[str], keep: list[str] = ()) -> str:
 
 def sql_quote(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
+
+
+# ---- scored lineitem: fixed linear scorer (G3) and a label with md5 noise ----
+# z = b + w . x over (l_quantity, l_discount, l_tax); score = 1 / (1 + exp(-z));
+# label = z + 3 * (u - 0.5) > 0 with u uniform from the row key; prediction = score >= 0.5
+SCORE_B = -3.3
+SCORE_W = (("l_quantity", 0.08), ("l_discount", 20.0), ("l_tax", 10.0))
+NOISE_SEED = 7
+
+
+def li_scored(spark: SparkSession, sf: str, sides: bool = True) -> DataFrame:
+    from veritab.functions.scalar import uniform_hash
+    from veritab.operators.score import linear_score
+    li = tbl(spark, sf, "lineitem")
+    z = F.lit(SCORE_B) + sum((F.col(c) * w for c, w in SCORE_W), F.lit(0.0))
+    u = uniform_hash(*LI_KEY, seed=NOISE_SEED)
+    # score rounded to 9 digits: equal scores must stay equal across engines (float ties)
+    out = (li.withColumn("score", F.round(linear_score(dict(SCORE_W), SCORE_B), 9))
+           .withColumn("label", ((z + 3 * (u - 0.5)) > 0).cast("int"))
+           .withColumn("prediction", (F.col("score") >= 0.5).cast("int")))
+    if sides:
+        out = out.withColumn("side", F.when(li_is_reference(), "reference").otherwise("current"))
+    return out
+
+
+_Z_SQL = f"({SCORE_B} + " + " + ".join(f"{c} * {w}" for c, w in SCORE_W) + ")"
+_U_SQL = (f"(('0x' || substr(md5(concat_ws('|', {', '.join(LI_KEY)}, '{NOISE_SEED}')), 1, 8))::BIGINT / 2^32)")
+SQL_LI_SCORED = (f"ls AS (SELECT *, ROUND(1.0 / (1.0 + EXP(-{_Z_SQL})), 9) AS score, "
+                 f"CAST({_Z_SQL} + 3 * ({_U_SQL} - 0.5) > 0 AS INTEGER) AS label, "
+                 f"CAST(ROUND(1.0 / (1.0 + EXP(-{_Z_SQL})), 9) >= 0.5 AS INTEGER) AS prediction, "
+                 f"CASE WHEN l_shipdate < TIMESTAMP '{REF_CUTOFF}' THEN 'reference' ELSE 'current' END AS side "
+                 "FROM lineitem)")
+
+
+def sql_ks_pvalue(d: str, n: str, m: str) -> str:
+    lam = f"({d} * SQRT({n} * {m} * 1.0 / ({n} + {m})))"
+    small = (f"1.0 - SQRT(2 * PI()) / {lam} * list_sum(list_transform(range(1, 101), "
+             f"lambda k: EXP(-((2 * k - 1) * (2 * k - 1)) * PI() * PI() / (8 * {lam} * {lam}))))")
+    large = (f"2.0 * list_sum(list_transform(range(1, 101), lambda k: "
+             f"(CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * EXP(-2.0 * k * k * {lam} * {lam})))")
+    p = f"(CASE WHEN {lam} <= 0 THEN 1.0 WHEN {lam} < 1.18 THEN {small} ELSE {large} END)"
+    return f"LEAST(1.0, GREATEST(0.0, {p}))"
+
+
+def sql_chi2_sf(x: str, k: str) -> str:
+    a, y = f"({k} / 2.0)", f"({x} / 2.0)"
+    series = (f"list_sum(list_transform(range(0, 2001), lambda n: "
+              f"EXP(-{y} + ({a} + n) * LN({y}) - LGAMMA({a} + n + 1))))")
+    p = (f"(CASE WHEN {k} <= 0 THEN 1.0 WHEN {x} <= 0 THEN 1.0 "
+         f"WHEN {y} > {a} + 10.0 * SQRT({a}) + 100.0 THEN 0.0 ELSE 1.0 - {series} END)")
+    return f"LEAST(1.0, GREATEST(0.0, {p}))"
+
+
+# ---- drifted sides: current = rows selected on two features, so drift is real ----
+def li_drifted(spark: SparkSession, sf: str) -> DataFrame:
+    li = tbl(spark, sf, "lineitem")
+    cur = (F.col("l_quantity") > 30) | (F.col("l_discount") > 0.06)
+    dp = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return (li.withColumn("disc_price", dp)
+            .withColumn("side", F.when(cur, "current").otherwise("reference")))
+
+
+SQL_LI_DRIFTED = ("ld AS (SELECT *, l_extendedprice * (1 - l_discount) AS disc_price, "
+                  "CASE WHEN l_quantity > 30 OR l_discount > 0.06 THEN 'current' ELSE 'reference' END AS side "
+                  "FROM lineitem)")
+LD_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "disc_price"]

@@ -17,7 +17,7 @@ __all__ = [
     "col_of", "row_mean", "row_std", "row_max", "safe_ratio", "clamp01", "floor_at",
     "band", "quality_band", "drift_band", "confidence_band", "label_text", "binary_target",
     "fmt_fixed", "fmt_percent", "map_keys_of", "relative_change", "direction_word",
-    "uniform_hash", "hash_order_key", "nan_to_null", "feature_name_lit",
+    "uniform_hash", "hash_order_key", "nan_to_null", "feature_name_lit", "ks_pvalue", "chi2_sf",
 ]
 
 
@@ -147,3 +147,44 @@ def nan_to_null(c) -> Column:
 
 def feature_name_lit(name: str) -> Column:
     return F.lit(name)
+
+
+def ks_pvalue(d, n, m, terms: int = 100) -> Column:
+    """Asymptotic two-sample Kolmogorov-Smirnov p-value (Smirnov 1948), with
+    ``lambda = D * sqrt(n*m/(n+m))``: for ``lambda < 1.18`` the theta-function form
+    ``1 - sqrt(2*pi)/lambda * sum exp(-(2k-1)^2 pi^2 / (8 lambda^2))``, else the
+    alternating series ``2 * sum (-1)^(k-1) exp(-2 k^2 lambda^2)``; clamped to [0, 1]."""
+    d, n, m = col_of(d).cast("double"), col_of(n).cast("double"), col_of(m).cast("double")
+    lam = d * F.sqrt(n * m / (n + m))
+    small = F.lit(1.0) - F.sqrt(F.lit(2 * 3.141592653589793)) / lam * F.aggregate(
+        F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
+        lambda acc, k: acc + F.exp(-((2 * k - 1) * (2 * k - 1)) * F.lit(3.141592653589793 ** 2) / (8 * lam * lam)))
+    large = F.lit(2.0) * F.aggregate(
+        F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0),
+        lambda acc, k: acc + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * lam * lam))
+    p = F.when(lam.isNull(), None).when(lam <= 0, 1.0).when(lam < 1.18, small).otherwise(large)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), p))
+
+
+def chi2_sf(stat, dof, terms: int = 2000) -> Column:
+    """Chi-square survival function ``Q(k/2, x/2)`` by the power series of the lower
+    regularized gamma function, ``P(a, y) = sum_n exp(-y + (a+n) ln y - lnGamma(a+n+1))``.
+    ``lnGamma(a+1)`` is exact for the integer and half-integer ``a`` that degrees of
+    freedom give. Far in the tail (where the series would need more terms) 0 is returned."""
+    x, k = col_of(stat).cast("double"), col_of(dof).cast("double")
+    a = k / 2
+    y = x / 2
+    t = F.when(a == F.floor(a), F.lit(1.0)).otherwise(F.lit(0.5))
+    lg_base = F.when(t == 0.5, F.lit(0.5723649429247001)).otherwise(F.lit(0.0))  # lnGamma(1/2) = ln sqrt(pi)
+    lg_a1 = lg_base + F.aggregate(F.sequence(F.lit(0), (a - t).cast("int")), F.lit(0.0),
+                                  lambda acc, i: acc + F.log(a - i))
+    start = F.struct((-y + a * F.log(y) - lg_a1).alias("lt"), F.exp(-y + a * F.log(y) - lg_a1).alias("s"))
+    series = F.aggregate(
+        F.sequence(F.lit(1), F.lit(terms)), start,
+        lambda acc, n: F.struct((acc["lt"] + F.log(y) - F.log(a + n)).alias("lt"),
+                                (acc["s"] + F.exp(acc["lt"] + F.log(y) - F.log(a + n))).alias("s")))
+    p = F.lit(1.0) - series["s"]
+    tail = y > a + F.lit(10.0) * F.sqrt(a) + F.lit(100.0)
+    out = F.when(x.isNull() | k.isNull(), None).when(k <= 0, 1.0).when(x <= 0, 1.0) \
+        .when(tail, 0.0).otherwise(p)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), out))
