@@ -7,7 +7,7 @@ import importlib
 
 from veritab.catalog.base import REGISTRY, Query
 
-_MODULES = ["monitoring", "profiles", "drift"]
+_MODULES = ["monitoring", "profiles", "drift", "features"]
 
 
 def load_all() -> dict[str, Query]:

@@ -69,7 +69,8 @@ def sql_union(parts: list[str]) -> str:
 
 
 def sql_round(expr: str, digits: int = 6) -> str:
-    return f"ROUND(CAST({expr} AS DOUBLE), {digits})"
+    # "+ 0.0" turns -0.0 into 0.0, as Spark's round does
+    return f"(ROUND(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
 
 
 # ---- derived fixtures (same expression in the query and in the oracle) ----
