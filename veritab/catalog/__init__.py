@@ -7,7 +7,7 @@ import importlib
 
 from veritab.catalog.base import REGISTRY, Query
 
-_MODULES = ["monitoring", "profiles", "drift", "features"]
+_MODULES = ["monitoring", "profiles", "drift", "features", "evaluation"]
 
 
 def load_all() -> dict[str, Query]:

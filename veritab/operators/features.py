@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from veritab.functions.scalar import col_of, hash_order_key, row_max, row_mean, row_std, safe_ratio
 from veritab.operators.shape import drop_all_null_columns, drop_name_pattern
+from veritab.session import spread
 
 HASH_BUCKET_DIGITS = 3  # 16^3 = 4096 rank buckets per class
 
@@ -123,7 +124,7 @@ def select_k_best(df: DataFrame, features: Sequence[str], label: str, k: int,
 # ---------------- E6 / M6 exact stratified split and folds ----------------
 def _class_rank(df: DataFrame, label: str, key: Sequence[str], seed) -> DataFrame:
     h = hash_order_key(*key, seed=seed)
-    x = df.withColumn("_h", h).withColumn(
+    x = spread(df).withColumn("_h", h).withColumn(
         "_b", F.conv(F.substring("_h", 1, HASH_BUCKET_DIGITS), 16, 10).cast("int"))
     counts = x.groupBy(col_of(label).alias("_lbl"), "_b").agg(F.count(F.lit(1)).alias("_c"))
     offs = counts.select("_lbl", "_b", F.coalesce(F.sum("_c").over(

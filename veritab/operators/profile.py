@@ -17,6 +17,7 @@ from pyspark.sql.types import NumericType, StringType
 from veritab import thresholds as T
 from veritab.functions.scalar import col_of
 from veritab.operators.cumulative import exact_quantiles
+from veritab.session import spread
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -37,8 +38,9 @@ def numeric_names(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 
 def melt(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), cast: str = "double",
          var: str = "feature", val: str = "value") -> DataFrame:
-    """Wide to long ``(by..., feature, value)`` by ``unpivot`` (a generator, no shuffle)."""
-    src = df.select(*[col_of(b) for b in by], *[col_of(c).cast(cast).alias(c) for c in cols])
+    """Wide to long ``(by..., feature, value)`` by ``unpivot`` (a generator). Only the needed
+    columns are kept; a single-partition input is spread first (see ``session.spread``)."""
+    src = spread(df.select(*[col_of(b) for b in by], *[col_of(c).cast(cast).alias(c) for c in cols]))
     return src.unpivot(list(by), list(cols), var, val)
 
 

@@ -77,3 +77,13 @@ def bucket_count(spark: SparkSession, floor: int = 64) -> int:
 
 def env_flag(name: str, default: str = "") -> str:
     return os.environ.get(name, default)
+
+
+def spread(df):
+    """Give row-expanding work (melts, bootstrap replicates, per-row hashing) at least the
+    cluster's parallelism. A table stored as one row group scans as one task; on a real
+    cluster the input already has more partitions than cores, and this is a no-op."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() * 2 <= target:
+        return df.repartition(target)
+    return df
