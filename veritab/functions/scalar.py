@@ -101,13 +101,14 @@ def binary_target(c, positive) -> Column:
 
 
 def fmt_fixed(c, digits: int = 2) -> Column:
-    """``{x:.2f}``."""
-    return F.format_string(f"%.{digits}f", col_of(c))
+    """``{x:.2f}``: half-even rounding of the exact binary value, as Python formats
+    (``format_number`` uses it; its grouping commas are removed)."""
+    return F.regexp_replace(F.format_number(col_of(c), digits), ",", "")
 
 
 def fmt_percent(c, digits: int = 2) -> Column:
     """``{x:.2%}``."""
-    return F.concat(F.format_string(f"%.{digits}f", col_of(c) * 100), F.lit("%"))
+    return F.concat(fmt_fixed(col_of(c) * 100, digits), F.lit("%"))
 
 
 def map_keys_of(c) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab import thresholds as T
+from veritab.functions.scalar import fmt_fixed
 
 RULE_SCHEMA = "rule string, metric string, op string, limit double, message string"
 
@@ -54,8 +55,7 @@ def apply_rules(metrics: DataFrame, rules: DataFrame, scope: str = "scope",
     v, lim, op = F.col("value"), F.col("limit"), F.col("op")
     fired = (F.when(op == "<", v < lim).when(op == "<=", v <= lim).when(op == ">", v > lim)
              .when(op == ">=", v >= lim).otherwise(F.lit(False)))
-    msg = F.concat(F.col("message"), F.coalesce(F.col(scope), F.lit("")), F.lit(" "),
-                   F.format_string(f"%.{digits}f", v))
+    msg = F.concat(F.col("message"), F.coalesce(F.col(scope), F.lit("")), F.lit(" "), fmt_fixed(v, digits))
     return j.where(fired).select("rule", F.col(scope).alias("scope"), "metric", "value", "limit",
                                  msg.alias("message"))
 
