@@ -127,7 +127,7 @@ def li_scored(spark: SparkSession, sf: str, sides: bool = True) -> DataFrame:
     from veritab.functions.scalar import uniform_hash
     from veritab.operators.score import linear_score
     li = tbl(spark, sf, "lineitem")
-    z = F.lit(SCORE_B) + sum((F.col(c) * w for c, w in SCORE_W), F.lit(0.0))
+    z = sum((F.col(c) * w for c, w in SCORE_W), F.lit(SCORE_B))
     u = uniform_hash(*LI_KEY, seed=NOISE_SEED)
     # score rounded to 9 digits: equal scores must stay equal across engines (float ties)
     out = (li.withColumn("score", F.round(linear_score(dict(SCORE_W), SCORE_B), 9))

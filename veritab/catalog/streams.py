@@ -61,7 +61,7 @@ def _scored_stream(spark, sf):
     from veritab.functions.scalar import uniform_hash
     from veritab.operators.score import linear_score
     li = clean_nan(S.file_stream(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
-    z = F.lit(SCORE_B) + sum((F.col(c) * w for c, w in SCORE_W), F.lit(0.0))
+    z = sum((F.col(c) * w for c, w in SCORE_W), F.lit(SCORE_B))
     u = uniform_hash(*LI_KEY, seed=NOISE_SEED)
     return (li.withColumn("score", F.round(linear_score(dict(SCORE_W), SCORE_B), 9))
             .withColumn("label", ((z + 3 * (u - 0.5)) > 0).cast("int"))

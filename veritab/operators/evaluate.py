@@ -211,3 +211,71 @@ def performance_drift(tagged: DataFrame, label: str, pred: str, side_col: str =
 def performance_trends(drift: DataFrame, limit: float = 0.05) -> DataFrame:
     """V5: metrics whose absolute drift is over ``limit``, with direction."""
     return drift.where(F.abs("drift") > limit).select("metric", "drift", "direction")
+
+
+# ---------------------------------------------------------------------------
+# Joins used by the reports (J1, J2, J4) and linear-scorer permutation importance (M9)
+# ---------------------------------------------------------------------------
+def pair_sides(long: DataFrame, keys: Sequence[str] = ("feature", "metric"), side_col: str = "side") -> DataFrame:
+    """Reference and current values of each (feature, metric) side by side, with the
+    absolute delta and the relative change where the reference is > 0."""
+    ref = long.where(F.col(side_col) == "reference").select(*keys, F.col("value").alias("reference"))
+    cur = long.where(F.col(side_col) == "current").select(*keys, F.col("value").alias("current"))
+    j = ref.join(cur, list(keys), "inner")
+    return j.select(*keys, "reference", "current", (F.col("current") - F.col("reference")).alias("delta"),
+                    F.when(F.col("reference") > 0, (F.col("current") - F.col("reference")) / F.col("reference"))
+                    .alias("relative"))
+
+
+def permutation_pairs(df: DataFrame, features: Sequence[str], key: Sequence[str], repeats: int,
+                      seed=42) -> DataFrame:
+    """For every (feature, repeat) each row receives the feature value of the row with
+    the same rank in md5(key|feature|repeat|seed) order as its own rank in md5(key|seed)
+    order. Ranks are distributed (hash buckets per group); pairing is an equi-join."""
+    from veritab.operators.features import _class_rank
+    jobs = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
+                     for f in features for r in range(repeats)])
+    vals = F.create_map(*[x for f in features for x in (F.lit(f), col_of(f).cast("double"))])
+    x = spread(df).select(*[col_of(k) for k in key], vals.alias("_vals"), F.explode(jobs).alias("_job")) \
+        .select(*key, "_vals", F.col("_job.feature").alias("feature"), F.col("_job.repeat").alias("repeat"))
+    x = x.withColumn("_grp", F.concat_ws("|", "feature", F.col("repeat").cast("string")))
+    own = _class_rank(x, "_grp", key, seed).select(*key, "feature", "repeat", "_grp", F.col("_rank").alias("_r"))
+    src = _class_rank(x, "_grp", [*key, "feature", "repeat"], seed) \
+        .select("_grp", F.col("_rank").alias("_r"), F.col("_vals")[F.col("feature")].alias("permuted"))
+    return own.join(src, ["_grp", "_r"], "inner").drop("_grp", "_r")
+
+
+def linear_permutation_importance(df: DataFrame, weights: Mapping[str, float], bias: float, label: str,
+                                  key: Sequence[str], repeats: int = 10, seed=42,
+                                  metric: str = "recall", score_digits: int = 9) -> DataFrame:
+    """M9 for a linear scorer, every feature and repeat in one job: the permuted score is
+    ``z + w_j (x'_j - x_j)``; metric drop = baseline - permuted, mean and std (n)."""
+    feats = list(weights)
+    z = sum((col_of(c).cast("double") * float(w) for c, w in weights.items()), F.lit(float(bias)))
+    base = df.select(*[col_of(k) for k in key], col_of(label).alias("label"), z.alias("_z"),
+                     *[col_of(f).cast("double").alias(f"_x_{f}") for f in feats])
+    pairs = permutation_pairs(df, feats, key, repeats, seed)
+    j = pairs.join(base, list(key), "inner")
+    wmap = F.create_map(*[x for f, w in weights.items() for x in (F.lit(f), F.lit(float(w)))])
+    xmap = F.create_map(*[x for f in feats for x in (F.lit(f), F.col(f"_x_{f}"))])
+    zp = F.col("_z") + wmap[F.col("feature")] * (F.col("permuted") - xmap[F.col("feature")])
+    sp = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-zp)), score_digits)
+    scored = j.select("feature", "repeat", "label", (sp >= 0.5).cast("int").alias("prediction"))
+    per = classification_metrics(scored, "label", "prediction", ["feature", "repeat"]).select("feature", "repeat", metric)
+    b = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z"))), score_digits)
+    baseline = classification_metrics(base.withColumn("prediction", (b >= 0.5).cast("int")),
+                                      "label", "prediction").select(metric).scalar()
+    drops = per.select("feature", "repeat", (baseline - F.col(metric)).alias("drop"))
+    return drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"),
+                                        F.stddev_pop("drop").alias("importance_std"))
+
+
+def combine_importance(coef: DataFrame, perm: DataFrame) -> DataFrame:
+    """Coefficient and permutation importance joined on feature, each normalised by its
+    maximum (W3)."""
+    j = coef.join(perm, "feature", "inner")
+    mc = j.agg(F.max(F.abs("coefficient"))).scalar()
+    mp = j.agg(F.max("importance_mean")).scalar()
+    return j.select("feature", "coefficient", "importance_mean",
+                    (F.abs("coefficient") / mc).alias("coefficient_norm"),
+                    (F.col("importance_mean") / mp).alias("permutation_norm"))

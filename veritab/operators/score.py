@@ -13,7 +13,7 @@ from veritab.functions.scalar import col_of, confidence_band, label_text
 
 def linear_score(weights: Mapping[str, float], bias: float) -> Column:
     """``1 / (1 + exp(-(b + sum w*x)))`` as one codegen expression."""
-    z = F.lit(float(bias)) + sum((col_of(c).cast("double") * float(w) for c, w in weights.items()), F.lit(0.0))
+    z = sum((col_of(c).cast("double") * float(w) for c, w in weights.items()), F.lit(float(bias)))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
@@ -34,7 +34,7 @@ def score_records(records: DataFrame, record_col: str, weights: Mapping[str, flo
     m = F.col(record_col)
     names = list(weights)
     missing = F.filter(F.array(*[F.lit(n) for n in names]), lambda k: ~F.map_contains_key(m, k))
-    z = F.lit(float(bias)) + sum((m[n] * float(w) for n, w in weights.items()), F.lit(0.0))
+    z = sum((m[n] * float(w) for n, w in weights.items()), F.lit(float(bias)))
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
     ok = F.size(missing) == 0
     out = records.select(
