@@ -29,13 +29,30 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round floating columns so float-sum order cannot change the value hash."""
+SIG_DIGITS = 10
+
+
+def sig_round(c, digits: int = SIG_DIGITS):
+    """Round to ``digits`` significant digits. The value is scaled into [1, 10) by an exact
+    power of ten (multiplying or dividing by 10^k, k <= 22, is exact-rounded in both
+    engines), rounded, and scaled back, so Spark and DuckDB give the same double even when
+    their float sums differ in the last bits."""
+    a = F.abs(c)
+    e = F.floor(F.log10(a)).cast("int")
+    up = F.pow(F.lit(10.0), e.cast("double"))
+    down = F.pow(F.lit(10.0), (-e).cast("double"))
+    r = F.when(e >= 0, F.round(c / up, digits - 1) * up).otherwise(F.round(c * down, digits - 1) / down)
+    return F.when(c.isNull() | (c == 0) | F.isnan(c) | (a == float("inf")), c).otherwise(r)
+
+
+def rounded(df: DataFrame, digits: int = SIG_DIGITS) -> DataFrame:
+    """Normalise floating columns (significant-digit rounding) so float-sum order cannot
+    change the value hash."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            c = F.round(c, digits).alias(f.name)
+            c = sig_round(c.cast("double"), digits).alias(f.name)
         cols.append(c)
     return df.select(*cols)
 
@@ -68,9 +85,16 @@ def sql_union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def sql_round(expr: str, digits: int = 6) -> str:
-    # "+ 0.0" turns -0.0 into 0.0, as Spark's round does
-    return f"(ROUND(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
+def sql_round(expr: str, digits: int | None = None) -> str:
+    """SQL twin of ``rounded``: optional fixed-decimal rounding first (when the Spark side
+    rounds explicitly too), then significant-digit rounding; "+ 0.0" turns -0.0 into 0.0."""
+    x = f"CAST({expr} AS DOUBLE)" if digits is None else f"ROUND(CAST({expr} AS DOUBLE), {digits})"
+    e = f"FLOOR(LOG10(ABS({x})))"
+    d = SIG_DIGITS - 1
+    sig = (f"CASE WHEN {x} IS NULL OR {x} = 0 OR isnan({x}) OR isinf({x}) THEN {x} "
+           f"WHEN {e} >= 0 THEN ROUND({x} / POW(10.0, {e}), {d}) * POW(10.0, {e}) "
+           f"ELSE ROUND({x} * POW(10.0, -{e}), {d}) / POW(10.0, -{e}) END")
+    return f"(({sig}) + 0.0)"
 
 
 # ---- derived fixtures (same expression in the query and in the oracle) ----

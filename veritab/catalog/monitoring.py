@@ -70,3 +70,6 @@ def d04_cv_drift(spark, sf):
        f"WITH {SQL_LI_SIDES}, {_Q4_CTE}, {_D4_CTE}\n{_Q4_BODY}\nUNION ALL\n{_D4_BODY}")
 def b01_monitor_run(spark, sf):
     return rounded(run_checks(lineitem_sides(spark, sf), LINEITEM))
+
+
+REGISTRY_SQL = {"b01_monitor_run": f"WITH {SQL_LI_SIDES}, {_Q4_CTE}, {_D4_CTE}\n{_Q4_BODY}\nUNION ALL\n{_D4_BODY}"}
