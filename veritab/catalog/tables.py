@@ -147,4 +147,5 @@ def _boot_cdf_sql(u):
        "CAST(SUM(bw) AS BIGINT) AS total_weight FROM bw GROUP BY replicate")
 def j05(spark, sf):
     b = EV.bootstrap_weights(tbl(spark, sf, "lineitem").select(*LI_KEY), LI_KEY, 20, 42)
-    return b.groupBy("replicate").agg(F.count(F.lit(1)).alias("rows_kept"), F.sum("bw").cast("long").alias("total_weight"))
+    return b.groupBy("replicate").agg(F.count_if(F.col("bw") > 0).alias("rows_kept"),
+                                      F.sum("bw").cast("long").alias("total_weight"))

@@ -27,24 +27,40 @@ def _bucket_expr(df: DataFrame, value: str, by: Sequence[str], buckets: int):
     map-side: the large input is never shuffled for it.
     """
     fractions = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10000, buckets * 100)
+    accuracy = max(1000, buckets * 20)
     bounds = df.groupBy(*by).agg(
         F.approx_percentile(F.col(value), fractions, accuracy).alias("_bounds"))
+    # one row per group with a sorted array of bounds
     framed = df.join(F.broadcast(bounds), on=list(by), how="inner")
-    bk = F.size(F.filter(F.col("_bounds"), lambda b: b < F.col(value)))
-    return framed, bk
+    return framed, bucket_search(F.col("_bounds"), F.col(value), buckets - 1)
+
+
+def bucket_search(bounds: Column, v: Column, n_bounds: int) -> Column:
+    """Number of sorted ``bounds`` strictly below ``v``, as a balanced binary-search tree of
+    ``CASE WHEN`` (log2 comparisons per row, inside whole-stage codegen)."""
+    def tree(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(v > F.element_at(bounds, mid + 1), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+    return tree(0, n_bounds)
 
 
 def running_sums(df: DataFrame, value: str, sums: Mapping[str, Column], by: Sequence[str] = (),
                  buckets: int | None = None, bucket: Column | None = None,
-                 next_value: bool = False) -> DataFrame:
+                 next_value: bool = False, materialize: bool = True) -> DataFrame:
     """Collapse ``df`` to one row per (by..., value) and add running totals.
 
     Output columns: ``by..., value``, for each name in ``sums``: ``name`` (sum at this value),
     ``cum_name`` (sum over values <= this one within the group) and ``tot_name`` (group total);
     with ``next_value``: the next larger distinct value of the group (null for the last).
     ``bucket`` may give a ready bucket expression monotone in ``value`` (e.g. a hash prefix);
-    otherwise buckets come from approximate quantiles of the value.
+    otherwise buckets come from approximate quantiles of the distinct values.
+
+    Plan: one scan; the collapse to distinct values is a partial + final aggregate (a hot
+    value is merged map-side); with ``materialize`` the collapsed table is written once as
+    a reliable checkpoint (shared checkpoint folder), so bounds, bucket totals and the
+    window all read it instead of recomputing the scan, and lineage is cut.
     """
     by = list(by)
     names = list(sums)
@@ -53,14 +69,16 @@ def running_sums(df: DataFrame, value: str, sums: Mapping[str, Column], by: Sequ
         # one global group: a constant key keeps every step below the same
         df = df.withColumn("_g", F.lit(0))
         by = ["_g"]
-    if bucket is None:
-        framed, bk = _bucket_expr(df, value, by, buckets or bucket_count(df.sparkSession))
-    else:
-        framed, bk = df, bucket
-    collapsed = (framed.select(*by, F.col(value).alias(value), bk.alias("_bk"),
-                               *[sums[n].alias(n) for n in names])
-                 .groupBy(*by, "_bk", value)
+    pre = [] if bucket is None else [bucket.alias("_bk")]
+    collapsed = (df.select(*by, F.col(value).alias(value), *pre, *[sums[n].alias(n) for n in names])
+                 .groupBy(*by, *(["_bk"] if pre else []), value)
                  .agg(*[F.sum(n).alias(n) for n in names]))
+    if materialize:
+        from veritab.session import cut_lineage
+        collapsed = cut_lineage(collapsed)
+    if bucket is None:
+        framed, bk = _bucket_expr(collapsed, value, by, buckets or bucket_count(df.sparkSession))
+        collapsed = framed.withColumn("_bk", bk).drop("_bounds")
 
     bucket_aggs = [F.sum(n).alias(f"_bs_{n}") for n in names]
     if next_value:
@@ -75,7 +93,8 @@ def running_sums(df: DataFrame, value: str, sums: Mapping[str, Column], by: Sequ
         cols.append(F.sum(f"_bs_{n}").over(wall).alias(f"tot_{n}"))
     if next_value:
         cols.append(F.min("_bmin").over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("_nextb"))
-    offsets = totals.select(*cols)
+    # groups x buckets rows: broadcast
+    offsets = F.broadcast(totals.select(*cols))
 
     joined = collapsed.join(offsets, on=[*by, "_bk"], how="inner")
     w = Window.partitionBy(*by, "_bk").orderBy(value)

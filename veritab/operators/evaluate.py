@@ -132,19 +132,15 @@ def poisson1(u: Column) -> Column:
 
 
 def bootstrap_weights(df: DataFrame, key: Sequence[str], replicates: int, seed=42) -> DataFrame:
-    """Each row once per replicate with a Poisson(1) weight from
-    ``md5(key|replicate|seed)`` (Chamandy et al. 2012). Zero weights (37 % of pairs) are
-    dropped at once; the expansion is a generator, never a join."""
-    # (replicate, uniform) pairs are built inside the array, weights computed from them and
-    # zero weights removed before ``inline``: the generator is an optimization barrier, so
-    # md5 runs once per (row, replicate) and the inverse-CDF chain reads a plain field.
-    key_text = F.concat_ws("|", *[col_of(k).cast("string") for k in key])
-    pairs = F.transform(F.sequence(F.lit(0), F.lit(replicates - 1)), lambda r: F.struct(
-        r.alias("replicate"),
-        (F.conv(F.substring(F.md5(F.concat_ws("|", key_text, r.cast("string"), F.lit(str(seed)))), 1, 8), 16, 10)
-         .cast("double") / float(2 ** 32)).alias("u")))
-    weights = F.transform(pairs, lambda x: F.struct(x["replicate"].alias("replicate"), poisson1(x["u"]).alias("bw")))
-    return spread(df).select("*", F.inline(F.filter(weights, lambda x: x["bw"] > 0)))
+    """Each row once per replicate with a Poisson(1) weight ``bw`` from
+    ``md5(key|replicate|seed)`` (Chamandy et al. 2012). The expansion is a generator, never
+    a join. Zero weights (37 % of pairs) are kept here and dropped after the first
+    aggregate: a filter on ``bw`` would be pushed below the projection and re-evaluate
+    md5 in every branch of the inverse-CDF chain; the map-side partial aggregate absorbs
+    the zero rows before any shuffle instead."""
+    x = spread(df).select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
+    x = x.withColumn("_u", uniform_hash(*key, "replicate", seed=seed))
+    return x.withColumn("bw", poisson1(F.col("_u"))).drop("_u")
 
 
 def bootstrap_metrics(df: DataFrame, label: str, pred: str, score: str, key: Sequence[str],
@@ -156,7 +152,7 @@ def bootstrap_metrics(df: DataFrame, label: str, pred: str, score: str, key: Seq
                           key, replicates, seed)
     # pre-aggregate: weights summed per (replicate, label, prediction, score) once,
     # map-side; every metric below reads this compact table (one shared exchange)
-    c = b.groupBy("replicate", label, pred, score).agg(F.sum("bw").alias("bw"))
+    c = b.groupBy("replicate", label, pred, score).agg(F.sum("bw").alias("bw")).where(F.col("bw") > 0)
     cm = classification_metrics(c, label, pred, ["replicate"], weight="bw")
     rk = ranking_metrics(c, label, score, ["replicate"], weight="bw")
     wide = cm.join(rk, "replicate")

@@ -65,14 +65,15 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def bucket_count(spark: SparkSession, floor: int = 64) -> int:
-    """Number of range buckets for distributed running sums: at least the shuffle width,
-    so a big cluster (many shuffle partitions) gets proportionally more, smaller buckets."""
+def bucket_count(spark: SparkSession, floor: int = 64, cap: int = 1024) -> int:
+    """Number of range buckets for distributed running sums: the shuffle width, at least
+    ``floor`` and at most ``cap`` (groups x buckets already spread the windows over many
+    tasks; the bucket lookup is a binary-search expression of about 2 x buckets nodes)."""
     try:
         width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     except ValueError:
         width = 200
-    return max(floor, width)
+    return min(cap, max(floor, width))
 
 
 def env_flag(name: str, default: str = "") -> str:
