@@ -101,7 +101,10 @@ def window_cv_drift(df: DataFrame, reference: DataFrame, ts: str, feature: str,
     g = x.groupBy(F.window("event_ts", duration), *[col_of(b) for b in by]).agg(
         F.count(v).alias("n"), (F.stddev_samp(v) / F.avg(v)).alias("cv"))
     ref = reference_cv(reference, feature, by)
-    j = g.join(F.broadcast(ref), list(by), "inner") if by else g.crossJoin(ref)
+    if by:
+        j = g.join(F.broadcast(ref), list(by), "inner")
+    else:  # one reference row: joined on a constant key, broadcast
+        j = g.withColumn("_k", F.lit(0)).join(F.broadcast(ref.withColumn("_k", F.lit(0))), "_k").drop("_k")
     raw = F.abs(F.col("cv") - F.col("ref_cv")) / F.greatest(F.col("ref_cv"), F.lit(T.CV_DIVISOR_FLOOR))
     score = F.when((F.col("n") > 1) & (F.col("ref_n") > 1), F.least(F.lit(1.0), F.coalesce(raw, F.lit(0.0)))) \
         .otherwise(F.lit(0.0))
