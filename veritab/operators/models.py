@@ -44,8 +44,14 @@ def prepare(df: DataFrame, label: str, key: Sequence[str], array_col: str | None
     """Features vector, balanced class weight (M5) and exact stratified fold (M6)."""
     v = vectorize(df, array_col, cols)
     w = balanced_weights(v, label, "weight")
-    # iterative fits read this frame many times: keep it (lost blocks recompute from lineage)
-    return stratified_folds(w, label, key, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    # iterative fits read this frame many times: keep it (lost blocks recompute from lineage),
+    # in at most one partition per core, so every optimizer iteration is one task per core
+    # rather than one per shuffle partition
+    out = stratified_folds(w, label, key, k, seed)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if out.rdd.getNumPartitions() > cores:
+        out = out.coalesce(cores)
+    return out.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 # ---------------- M1-M4 estimators ----------------
