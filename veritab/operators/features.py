@@ -122,7 +122,9 @@ def select_k_best(df: DataFrame, features: Sequence[str], label: str, k: int,
 
 
 # ---------------- E6 / M6 exact stratified split and folds ----------------
-def _class_rank(df: DataFrame, label: str, key: Sequence[str], seed) -> DataFrame:
+def _class_rank(df: DataFrame, label: str, key: Sequence[str], seed, with_counts: bool = False):
+    """Rank of each row inside its class in md5(key|seed) order (1-based ``_rank``).
+    With ``with_counts`` also return the (class, bucket) count table it is built from."""
     h = hash_order_key(*key, seed=seed)
     x = spread(df).withColumn("_h", h).withColumn(
         "_b", F.conv(F.substring("_h", 1, HASH_BUCKET_DIGITS), 16, 10).cast("int"))
@@ -133,13 +135,16 @@ def _class_rank(df: DataFrame, label: str, key: Sequence[str], seed) -> DataFram
     j = x.join(F.broadcast(offs), (x[label].eqNullSafe(offs["_lbl"])) & (x["_b"] == offs["_b"]), "inner") \
         .drop(offs["_b"]).drop("_lbl")
     w = Window.partitionBy(col_of(label), F.col("_b")).orderBy("_h")
-    return j.withColumn("_rank", F.row_number().over(w) + F.col("_off")).drop("_off")
+    ranked = j.withColumn("_rank", F.row_number().over(w) + F.col("_off")).drop("_off")
+    return (ranked, counts) if with_counts else ranked
 
 
-def class_quotas(df: DataFrame, label: str, test_size: float) -> DataFrame:
+def class_quotas(df: DataFrame, label: str, test_size: float, class_counts: DataFrame | None = None) -> DataFrame:
     """Test rows per class: ``T = ceil(N * test_size)`` shared by largest remainder
-    (ties to the smaller class value). Small table: one row per class."""
-    c = df.groupBy(col_of(label).alias("_lbl")).agg(F.count(F.lit(1)).alias("n_k"))
+    (ties to the smaller class value). Small table: one row per class. ``class_counts``
+    (``_lbl, n_k``) may be given to avoid another scan."""
+    c = class_counts if class_counts is not None else \
+        df.groupBy(col_of(label).alias("_lbl")).agg(F.count(F.lit(1)).alias("n_k"))
     w = Window.partitionBy()
     n = F.sum("n_k").over(w)
     t = F.ceil(n * F.lit(float(test_size)))
@@ -156,8 +161,9 @@ def stratified_split(df: DataFrame, label: str, key: Sequence[str], test_size: f
                      seed=42, split_col: str = "split") -> DataFrame:
     """Exact stratified split; ``split`` is ``test`` for the first quota rows of each
     class in md5(key|seed) order, else ``train``."""
-    ranked = _class_rank(df, label, key, seed)
-    q = class_quotas(df, label, test_size)
+    ranked, counts = _class_rank(df, label, key, seed, with_counts=True)
+    # per-class totals from the (class, bucket) counts: no second scan of the input
+    q = class_quotas(df, label, test_size, counts.groupBy("_lbl").agg(F.sum("_c").alias("n_k")))
     j = ranked.join(F.broadcast(q.select("_lbl", "quota")), ranked[label].eqNullSafe(q["_lbl"]), "inner")
     return j.withColumn(split_col, F.when(F.col("_rank") <= F.col("quota"), "test").otherwise("train")) \
         .drop("_lbl", "quota", "_rank", "_h", "_b")
