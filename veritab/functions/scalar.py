@@ -17,7 +17,7 @@ __all__ = [
     "col_of", "row_mean", "row_std", "row_max", "safe_ratio", "clamp01", "floor_at",
     "band", "quality_band", "drift_band", "confidence_band", "label_text", "binary_target",
     "fmt_fixed", "fmt_percent", "map_keys_of", "relative_change", "direction_word",
-    "uniform_hash", "hash_order_key", "nan_to_null", "feature_name_lit", "ks_pvalue", "chi2_sf",
+    "uniform_hash", "hash_order_key", "nan_to_null", "ks_pvalue", "chi2_sf",
 ]
 
 
@@ -146,10 +146,6 @@ def nan_to_null(c) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def feature_name_lit(name: str) -> Column:
-    return F.lit(name)
-
-
 def ks_pvalue(d, n, m, terms: int = 100) -> Column:
     """Asymptotic two-sample Kolmogorov-Smirnov p-value (Smirnov 1948), with
     ``lambda = D * sqrt(n*m/(n+m))``: for ``lambda < 1.18`` the theta-function form

@@ -6,7 +6,6 @@ cluster; this module only fills in values that are unset, which is what tests ne
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -76,10 +75,6 @@ def bucket_count(spark: SparkSession, floor: int = 64, cap: int = 1024) -> int:
     return min(cap, max(floor, width))
 
 
-def env_flag(name: str, default: str = "") -> str:
-    return os.environ.get(name, default)
-
-
 def spread(df):
     """Give row-expanding work (melts, bootstrap replicates, per-row hashing) at least the
     cluster's parallelism. A table stored as one row group scans as one task; on a real
