@@ -122,3 +122,14 @@ def test_describe_matches_numpy(spark):
     d = P.describe(df, ["x"]).first()
     assert d["std"] == pytest.approx(np.std(v, ddof=1))
     assert d["q25"] == pytest.approx(np.quantile(v, 0.25)) and d["q75"] == pytest.approx(np.quantile(v, 0.75))
+
+
+def test_zero_divisors_do_not_raise_under_ansi(spark):
+    # Spark 4 runs ANSI mode: x / 0 raises; operators must return null instead
+    ref = spark.createDataFrame([(0.0, "a"), (0.0, "a")], "x double, c string")
+    cur = spark.createDataFrame([(1.0, "b"), (-1.0, "b")], "x double, c string")
+    t = tag_sides(ref, cur)
+    assert D.cv_drift(t, ["x"]).count() == 5
+    assert D.cv_score(ref, ["x"]).first()["cv"] is None
+    assert P.coefficient_of_variation(cur, ["x"]).first()["cv"] is None
+    assert D.psi_kl(t, ["x"]).first()["psi"] > 0

@@ -26,7 +26,7 @@ def cv_drift_check(features: Sequence[str], side_col: str = "side",
 
     def cv(s, i):
         m = F.col(f"_d4_m_{s}_{i}")
-        return F.col(f"_d4_sd_{s}_{i}") / (F.abs(m) if abs_mean else m)
+        return F.try_divide(F.col(f"_d4_sd_{s}_{i}"), F.abs(m) if abs_mean else m)
 
     def finish() -> list:
         structs, scores = [], []
@@ -77,8 +77,8 @@ def ecdf_frame(tagged: DataFrame, features: Sequence[str], side_col: str = "side
     long = melt(tagged, features, by=[side_col]).where(F.col("value").isNotNull())
     rs = running_sums(long, "value", _side_sums(side_col), by=["feature"], next_value=True)
     return rs.select("feature", "value", "next_value", "tot_nr", "tot_nc",
-                     (F.col("cum_nr") / F.col("tot_nr")).alias("f_ref"),
-                     (F.col("cum_nc") / F.col("tot_nc")).alias("f_cur"))
+                     F.try_divide(F.col("cum_nr"), F.col("tot_nr")).alias("f_ref"),
+                     F.try_divide(F.col("cum_nc"), F.col("tot_nc")).alias("f_cur"))
 
 
 def ks_wasserstein(tagged: DataFrame, features: Sequence[str], side_col: str = "side",
@@ -123,7 +123,7 @@ def chi_square(tagged: DataFrame, features: Sequence[str], side_col: str = "side
     e_r, e_c = row_t * F.col("n_r") / n, row_t * F.col("n_c") / n
     term = (F.when(e_r > 0, (F.col("o_r") - e_r) ** 2 / e_r).otherwise(0.0)
             + F.when(e_c > 0, (F.col("o_c") - e_c) ** 2 / e_c).otherwise(0.0))
-    tv = F.abs(F.col("o_r") / F.col("n_r") - F.col("o_c") / F.col("n_c"))
+    tv = F.abs(F.try_divide(F.col("o_r"), F.col("n_r")) - F.try_divide(F.col("o_c"), F.col("n_c")))
     g = j.groupBy("feature").agg(F.max("n_r").alias("n_reference"), F.max("n_c").alias("n_current"),
                                  (F.max("k") - 1).alias("dof"), F.sum(term).alias("statistic"),
                                  (F.sum(tv) / 2).alias("tv_distance"))
@@ -152,8 +152,8 @@ def psi_kl(tagged: DataFrame, features: Sequence[str], side_col: str = "side",
     grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("bin"))
     full = grid.join(cnt, ["feature", "bin"], "left").fillna(0, subset=["c_r", "c_c"])
     w = Window.partitionBy("feature")
-    r = F.greatest(F.col("c_r") / F.sum("c_r").over(w), F.lit(eps))
-    c = F.greatest(F.col("c_c") / F.sum("c_c").over(w), F.lit(eps))
+    r = F.greatest(F.try_divide(F.col("c_r"), F.sum("c_r").over(w)), F.lit(eps))
+    c = F.greatest(F.try_divide(F.col("c_c"), F.sum("c_c").over(w)), F.lit(eps))
     shares = full.select("feature", r.alias("r"), c.alias("c"))
     return shares.groupBy("feature").agg(
         F.sum((F.col("c") - F.col("r")) * F.log(F.col("c") / F.col("r"))).alias("psi"),
@@ -179,7 +179,7 @@ def cv_score(df: DataFrame, features: Sequence[str]) -> DataFrame:
         F.stddev_samp(col_of(f)).alias(f"_s{i}"))])
     structs = []
     for i, f in enumerate(features):
-        cv = F.col(f"_s{i}") / F.col(f"_m{i}")
+        cv = F.try_divide(F.col(f"_s{i}"), F.col(f"_m{i}"))
         score = F.when(F.col(f"_n{i}") > 1, F.least(F.lit(1.0), cv * T.CV_SCORE_FACTOR)).otherwise(0.0)
         structs.append(F.struct(F.lit(f).alias("feature"), cv.alias("cv"), score.alias("drift_score"),
                                 drift_band(score).alias("status")))

@@ -104,7 +104,7 @@ def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     structs = []
     for i, f in enumerate(features):
         N, K, B, W = (F.col(f"{x}{i}") for x in "NKBW")
-        fstat = (B / (K - 1)) / (W / (N - K))
+        fstat = F.try_divide(F.try_divide(B, K - 1), F.try_divide(W, N - K))
         structs.append(F.struct(F.lit(i).alias("position"), F.lit(f).alias("feature"),
                                 fstat.cast("double").alias("f_stat")))
     return tot.select(F.inline(F.array(*structs)))

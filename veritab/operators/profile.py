@@ -123,7 +123,7 @@ def outlier_cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return f.agg(F.count_if("is_outlier").alias("outlier_cells"),
                  (F.count(F.lit(1)) / len(cols)).cast("long").alias("n_rows")) \
         .withColumn("n_columns", F.lit(len(cols))) \
-        .withColumn("percent", F.col("outlier_cells") * 100.0 / (F.col("n_rows") * F.col("n_columns")))
+        .withColumn("percent", F.try_divide(F.col("outlier_cells") * 100.0, F.col("n_rows") * F.col("n_columns")))
 
 
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -233,7 +233,7 @@ def coefficient_of_variation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         F.avg(col_of(c)).alias(f"_m{i}"), F.stddev_samp(col_of(c)).alias(f"_s{i}"))])
     return one.select(F.inline(F.array(*[F.struct(
         F.lit(c).alias("feature"), F.col(f"_m{i}").alias("mean"), F.col(f"_s{i}").alias("std"),
-        (F.col(f"_s{i}") / F.col(f"_m{i}")).alias("cv")) for i, c in enumerate(cols)])))
+        F.try_divide(F.col(f"_s{i}"), F.col(f"_m{i}")).alias("cv")) for i, c in enumerate(cols)])))
 
 
 def error_feature_stats(df: DataFrame, label: str, pred: str, cols: Sequence[str], k: int = 5) -> DataFrame:

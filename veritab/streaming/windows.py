@@ -88,7 +88,7 @@ def reference_cv(reference: DataFrame, feature: str, by: Sequence[str] = ()) ->
     """Static reference: count, mean, sample std and cv per group (batch aggregate)."""
     x = col_of(feature)
     return reference.groupBy(*by).agg(F.count(x).alias("ref_n"),
-                                      (F.stddev_samp(x) / F.avg(x)).alias("ref_cv"))
+                                      F.try_divide(F.stddev_samp(x), F.avg(x)).alias("ref_cv"))
 
 
 def window_cv_drift(df: DataFrame, reference: DataFrame, ts: str, feature: str, by: Sequence[str] = (),
@@ -99,7 +99,7 @@ def window_cv_drift(df: DataFrame, reference: DataFrame, ts: str, feature: str,
     x = event_time(df, ts).withWatermark("event_ts", watermark)
     v = col_of(feature)
     g = x.groupBy(F.window("event_ts", duration), *[col_of(b) for b in by]).agg(
-        F.count(v).alias("n"), (F.stddev_samp(v) / F.avg(v)).alias("cv"))
+        F.count(v).alias("n"), F.try_divide(F.stddev_samp(v), F.avg(v)).alias("cv"))
     ref = reference_cv(reference, feature, by)
     if by:
         j = g.join(F.broadcast(ref), list(by), "inner")
