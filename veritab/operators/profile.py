@@ -144,6 +144,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson matrix, pairwise complete, as long rows ``(feature_a, feature_b, corr)``.
     One aggregate holds every pair; wide tables are cut into chunks of pairs."""
     cols = list(cols)
+    df = spread(df.select(*[col_of(c) for c in cols]))
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     aggs = [F.corr(col_of(cols[i]).cast("double"), col_of(cols[j]).cast("double")).alias(f"_c{i}_{j}")
             for i, j in pairs]
