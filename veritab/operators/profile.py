@@ -295,13 +295,17 @@ def column_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
     """Q6: per (group, column): count, missing, distinct, most common value (ties to the
     smallest), and for numeric columns mean, std, min, quartiles, max."""
     keys = [*by, "feature"]
+    # missing counts of every column: one grouped aggregate, unpivoted (no melt)
+    allc = [*numeric, *categorical]
+    m1 = df.groupBy(*[col_of(b) for b in by]).agg(
+        *[F.count_if(col_of(c).isNull()).alias(c) for c in allc])
+    miss = m1.unpivot(list(by), allc, "feature", "missing")
     parts = []
     if numeric:
         vc = value_counts(df, numeric, by, cast="double").where(F.col("value").isNotNull())
         modes = vc.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("distinct"),
             F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode_num"))
-        miss = melt(df, numeric, by).groupBy(*keys).agg(F.count_if(F.col("value").isNull()).alias("missing"))
         d = describe(df, numeric, by)
         parts.append(d.join(miss, keys, "left").join(modes, keys, "left")
                      .withColumn("mode_text", F.lit(None).cast("string")))
@@ -310,9 +314,7 @@ def column_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
         modes = vc.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("count"),
             F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode_text"))
-        miss = melt(df, categorical, by, cast="string").groupBy(*keys).agg(
-            F.count_if(F.col("value").isNull()).alias("missing"))
-        c = miss.join(modes, keys, "left")
+        c = miss.where(F.col("feature").isin(list(categorical))).join(modes, keys, "left")
         for name in ("mean", "std", "min", *QNAMES, "max", "mode_num"):
             c = c.withColumn(name, F.lit(None).cast("double"))
         parts.append(c)
