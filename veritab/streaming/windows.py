@@ -34,8 +34,19 @@ def file_stream(spark: SparkSession, path: str, fmt: str = "parquet", max_files:
     return r.load(src)
 
 
+def _tz(df: DataFrame) -> str:
+    return df.sparkSession.conf.get("spark.sql.session.timeZone")
+
+
 def event_time(df: DataFrame, ts: str, out: str = "event_ts") -> DataFrame:
-    return df.withColumn(out, col_of(ts).cast("timestamp"))
+    """Event time as ``timestamp`` (watermarks need it). A ``timestamp_ntz`` wall time is
+    read as UTC, so tumbling windows fall on its own calendar days whatever the session
+    time zone is (the window renderer below undoes the shift)."""
+    from pyspark.sql.types import TimestampNTZType
+    c = col_of(ts).cast("timestamp")
+    if isinstance(df.schema[ts].dataType, TimestampNTZType):
+        c = F.from_utc_timestamp(c, _tz(df))
+    return df.withColumn(out, c)
 
 
 def stream_folder(spark: SparkSession, name: str) -> str:
@@ -59,9 +70,10 @@ def run_available_now(stream: DataFrame, name: str, mode: str = "append", fmt: s
     return spark.read.format(fmt).load(out)
 
 
-def _window_cols(win: str = "window") -> list[Column]:
-    return [F.date_format(F.col(f"{win}.start"), "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-            F.date_format(F.col(f"{win}.end"), "yyyy-MM-dd HH:mm:ss").alias("window_end")]
+def _window_cols(tz: str, win: str = "window") -> list[Column]:
+    """Window bounds as UTC wall-clock text (the calendar of the event times)."""
+    return [F.date_format(F.to_utc_timestamp(F.col(f"{win}.start"), tz), "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+            F.date_format(F.to_utc_timestamp(F.col(f"{win}.end"), tz), "yyyy-MM-dd HH:mm:ss").alias("window_end")]
 
 
 # ---------------- T1 quality ----------------
@@ -79,7 +91,7 @@ def window_quality(df: DataFrame, ts: str, duration: str = "1 day", watermark: s
     pct = F.col("missing_cells") * 100.0 / (F.col("n_rows") * len(cols))
     score = F.greatest(F.lit(0.0), F.lit(100.0) - pct)
     extra = ["mean_value", "std_value"] if value else []
-    return g.select(*_window_cols(), "n_rows", pct.alias("missing_percentage"), score.alias("quality_score"),
+    return g.select(*_window_cols(_tz(df)), "n_rows", pct.alias("missing_percentage"), score.alias("quality_score"),
                     quality_band(score).alias("status"), *extra)
 
 
@@ -108,7 +120,7 @@ def window_cv_drift(df: DataFrame, reference: DataFrame, ts: str, feature: str,
     raw = F.abs(F.col("cv") - F.col("ref_cv")) / F.greatest(F.col("ref_cv"), F.lit(T.CV_DIVISOR_FLOOR))
     score = F.when((F.col("n") > 1) & (F.col("ref_n") > 1), F.least(F.lit(1.0), F.coalesce(raw, F.lit(0.0)))) \
         .otherwise(F.lit(0.0))
-    return j.select(*_window_cols(), *by, "n", "cv", "ref_cv", score.alias("drift_score"))
+    return j.select(*_window_cols(_tz(df)), *by, "n", "cv", "ref_cv", score.alias("drift_score"))
 
 
 # ---------------- T3 windowed performance ----------------
@@ -117,7 +129,7 @@ def window_performance(df: DataFrame, ts: str, label: str, pred: str, duration:
     """Per window confusion cells and accuracy, precision, recall, F1."""
     x = event_time(df, ts).withWatermark("event_ts", watermark)
     g = x.groupBy(F.window("event_ts", duration)).agg(*EV._cells(label, pred))
-    return g.select(*_window_cols(), "tp", "fp", "fn", "tn", *EV.metric_columns())
+    return g.select(*_window_cols(_tz(df)), "tp", "fp", "fn", "tn", *EV.metric_columns())
 
 
 # ---------------- T4 streaming scoring ----------------
