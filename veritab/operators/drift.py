@@ -76,23 +76,25 @@ def ecdf_frame(tagged: DataFrame, features: Sequence[str], side_col: str = "side
     distinct value: the shared input of KS and Wasserstein (distributed running sums)."""
     long = melt(tagged, features, by=[side_col]).where(F.col("value").isNotNull())
     rs = running_sums(long, "value", _side_sums(side_col), by=["feature"], next_value=True)
-    return rs.select("feature", "value", "next_value", "tot_nr", "tot_nc",
+    return rs.select("feature", "value", "next_value", "nr", "nc", "cum_nr", "tot_nr", "tot_nc",
                      F.try_divide(F.col("cum_nr"), F.col("tot_nr")).alias("f_ref"),
                      F.try_divide(F.col("cum_nc"), F.col("tot_nc")).alias("f_cur"))
 
 
 def ks_wasserstein(tagged: DataFrame, features: Sequence[str], side_col: str = "side",
-                   alpha: float = T.STATISTICAL_TEST_THRESHOLD) -> DataFrame:
+                   alpha: float = T.STATISTICAL_TEST_THRESHOLD, ecdf: DataFrame | None = None) -> DataFrame:
     """D1 + D3 (W1) per numeric feature: KS statistic ``max |F_r - F_c|``, asymptotic
     p-value, drift flag ``p < alpha``; Wasserstein-1 ``sum |F_r - F_c| * gap`` and the
-    same divided by the reference population std."""
-    e = ecdf_frame(tagged, features, side_col)
+    same divided by the reference population std (from the per-value reference counts)."""
+    e = ecdf if ecdf is not None else ecdf_frame(tagged, features, side_col)
     gap = F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))
     diff = F.abs(F.col("f_ref") - F.col("f_cur"))
     g = e.groupBy("feature").agg(F.max("tot_nr").alias("n_reference"), F.max("tot_nc").alias("n_current"),
                                  F.max(diff).alias("statistic"), F.sum(diff * gap).alias("wasserstein"))
-    sd = melt(tagged.where(F.col(side_col) == REF), features).groupBy("feature") \
-        .agg(F.stddev_pop("value").alias("_sd"))
+    # reference population std, two passes over the collapsed (value, count) rows
+    mean = e.groupBy("feature").agg(F.try_divide(F.sum(F.col("value") * F.col("nr")), F.sum("nr")).alias("_m"))
+    sd = e.join(F.broadcast(mean), "feature").groupBy("feature").agg(
+        F.sqrt(F.try_divide(F.sum(F.col("nr") * (F.col("value") - F.col("_m")) ** 2), F.sum("nr"))).alias("_sd"))
     out = g.join(F.broadcast(sd), "feature", "left")
     p = ks_pvalue("statistic", "n_reference", "n_current")
     return out.select("feature", "n_reference", "n_current", "statistic", p.alias("p_value"),
@@ -138,17 +140,28 @@ DECILE_NAMES = tuple(f"e{i}" for i in range(1, 10))
 
 
 def psi_kl(tagged: DataFrame, features: Sequence[str], side_col: str = "side",
-           eps: float = EPS) -> DataFrame:
+           eps: float = EPS, ecdf: DataFrame | None = None) -> DataFrame:
     """D3: PSI and KL(reference || current) on reference-decile bins. Bin = number of
     decile edges strictly below the value (10 bins); shares floored at ``eps``;
-    ``PSI = sum (c - r) ln(c / r)``, ``KL = sum r ln(r / c)``."""
-    long = melt(tagged, features, by=[side_col]).where(F.col("value").isNotNull())
-    edges = exact_quantiles(long.where(F.col(side_col) == REF), "value", DECILES, ["feature"],
-                            DECILE_NAMES).drop("n")
-    j = long.join(F.broadcast(edges), "feature")
-    b = sum((F.when(F.col("value") > F.col(e), 1).otherwise(0) for e in DECILE_NAMES), F.lit(0))
-    cnt = j.groupBy("feature", b.alias("bin")).agg(
-        F.count_if(F.col(side_col) == REF).alias("c_r"), F.count_if(F.col(side_col) == CUR).alias("c_c"))
+    ``PSI = sum (c - r) ln(c / r)``, ``KL = sum r ln(r / c)``. Deciles and bin counts are
+    read from the per-value side counts of the ECDF frame (no second scan)."""
+    e = ecdf if ecdf is not None else ecdf_frame(tagged, features, side_col)
+    below = F.col("cum_nr") - F.col("nr")
+    aggs = [F.max("tot_nr").alias("_n")]
+    for name, p in zip(DECILE_NAMES, DECILES):
+        pos = (F.col("tot_nr") - 1) * F.lit(float(p))
+        for tag, r in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            aggs.append(F.max(F.when((below <= r) & (r < F.col("cum_nr")), F.col("value"))).alias(f"_{tag}_{name}"))
+    picks = e.groupBy("feature").agg(*aggs)
+    cols = ["feature"]
+    for name, p in zip(DECILE_NAMES, DECILES):
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        cols.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
+    edges = picks.select(*cols)
+    j = e.join(F.broadcast(edges), "feature")
+    b = sum((F.when(F.col("value") > F.col(x), 1).otherwise(0) for x in DECILE_NAMES), F.lit(0))
+    cnt = j.groupBy("feature", b.alias("bin")).agg(F.sum("nr").alias("c_r"), F.sum("nc").alias("c_c"))
     grid = edges.select("feature", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("bin"))
     full = grid.join(cnt, ["feature", "bin"], "left").fillna(0, subset=["c_r", "c_c"])
     w = Window.partitionBy("feature")
@@ -163,8 +176,9 @@ def psi_kl(tagged: DataFrame, features: Sequence[str], side_col: str = "side",
 def distances(tagged: DataFrame, features: Sequence[str], side_col: str = "side",
               th: T.Thresholds = T.DEFAULT) -> DataFrame:
     """D3: PSI, KL, Wasserstein-1 (raw and normed) with their configured limits' flags."""
-    kw = ks_wasserstein(tagged, features, side_col).select("feature", "wasserstein", "wasserstein_normed")
-    pk = psi_kl(tagged, features, side_col)
+    e = ecdf_frame(tagged, features, side_col)
+    kw = ks_wasserstein(tagged, features, side_col, ecdf=e).select("feature", "wasserstein", "wasserstein_normed")
+    pk = psi_kl(tagged, features, side_col, ecdf=e)
     out = pk.join(kw, "feature", "inner")
     return out.select("feature", "psi", "kl_divergence", "wasserstein", "wasserstein_normed",
                       (F.col("psi") > th.psi).alias("psi_drift"),
