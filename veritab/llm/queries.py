@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["ngram_join"]
+_MODULES = ["ngram_join", "url_filter", "token_count", "sharding", "suffix_dedup", "quality_rank", "merkle", "decontaminate",
+            "language", "packing"]
 
 
 def queries() -> dict:
