@@ -6,6 +6,7 @@ which still run in the JVM.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -17,7 +18,7 @@ __all__ = [
     "col_of", "row_mean", "row_std", "row_max", "safe_ratio", "clamp01", "floor_at",
     "band", "quality_band", "drift_band", "confidence_band", "label_text", "binary_target",
     "fmt_fixed", "fmt_percent", "map_keys_of", "relative_change", "direction_word",
-    "uniform_hash", "hash_order_key", "nan_to_null", "ks_pvalue", "chi2_sf",
+    "uniform_hash", "hash_order_key", "nan_to_null", "ks_pvalue", "erfc", "chi2_sf",
 ]
 
 
@@ -68,12 +69,11 @@ def floor_at(c, lo: float) -> Column:
 
 def band(c, cuts, otherwise: str, ascending: bool) -> Column:
     """band a value. ``ascending=False``: first cut with value >= cut wins;
-    ``ascending=True``: first cut with value < cut wins."""
+    ``ascending=True``: first cut with value < cut wins. A null value has no band."""
     x = col_of(c)
-    expr = None
+    expr = F.when(x.isNull(), F.lit(None).cast("string"))
     for cut, name in cuts:
-        cond = (x < cut) if ascending else (x >= cut)
-        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
+        expr = expr.when((x < cut) if ascending else (x >= cut), name)
     return expr.otherwise(otherwise)
 
 
@@ -91,8 +91,9 @@ def confidence_band(c) -> Column:
 
 
 def label_text(c) -> Column:
-    """F8: text of a 0/1 prediction."""
-    return F.when(col_of(c) == 1, T.LABEL_POSITIVE).otherwise(T.LABEL_NEGATIVE)
+    """F8: text of a 0/1 prediction; a null prediction has none."""
+    x = col_of(c)
+    return F.when(x == 1, T.LABEL_POSITIVE).when(x.isNotNull(), T.LABEL_NEGATIVE)
 
 
 def binary_target(c, positive) -> Column:
@@ -163,25 +164,52 @@ def ks_pvalue(d, n, m, terms: int = 100) -> Column:
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), p))
 
 
-def chi2_sf(stat, dof, terms: int = 2000) -> Column:
-    """Chi-square survival function ``Q(k/2, x/2)`` by the power series of the lower
-    regularized gamma function, ``P(a, y) = sum_n exp(-y + (a+n) ln y - lnGamma(a+n+1))``.
-    ``lnGamma(a+1)`` is exact for the integer and half-integer ``a`` that degrees of
-    freedom give. Far in the tail (where the series would need more terms) 0 is returned."""
-    x, k = col_of(stat).cast("double"), col_of(dof).cast("double")
-    a = k / 2
-    y = x / 2
-    t = F.when(a == F.floor(a), F.lit(1.0)).otherwise(F.lit(0.5))
-    lg_base = F.when(t == 0.5, F.lit(0.5723649429247001)).otherwise(F.lit(0.0))  # lnGamma(1/2) = ln sqrt(pi)
-    lg_a1 = lg_base + F.aggregate(F.sequence(F.lit(0), (a - t).cast("int")), F.lit(0.0),
-                                  lambda acc, i: acc + F.log(a - i))
-    start = F.struct((-y + a * F.log(y) - lg_a1).alias("lt"), F.exp(-y + a * F.log(y) - lg_a1).alias("s"))
-    series = F.aggregate(
-        F.sequence(F.lit(1), F.lit(terms)), start,
-        lambda acc, n: F.struct((acc["lt"] + F.log(y) - F.log(a + n)).alias("lt"),
-                                (acc["s"] + F.exp(acc["lt"] + F.log(y) - F.log(a + n))).alias("s")))
-    p = F.lit(1.0) - series["s"]
-    tail = y > a + F.lit(10.0) * F.sqrt(a) + F.lit(100.0)
-    out = F.when(x.isNull() | k.isNull(), None).when(k <= 0, 1.0).when(x <= 0, 1.0) \
-        .when(tail, 0.0).otherwise(p)
+def erfc(x) -> Column:
+    """Complementary error function of ``x >= 0``: below 1.5 by the series of erf (40 terms
+    reach double precision there), else by the continued fraction of 60 levels."""
+    x = col_of(x).cast("double")
+    z = x * x
+    term = F.aggregate(F.sequence(F.lit(1), F.lit(40)), F.struct(x.alias("t"), x.alias("s")),
+                       lambda acc, n: F.struct((acc["t"] * 2 * z / (2 * n + 1)).alias("t"),
+                                               (acc["s"] + acc["t"] * 2 * z / (2 * n + 1)).alias("s")))
+    small = F.lit(1.0) - F.lit(2 / math.sqrt(math.pi)) * F.exp(-z) * term["s"]
+    # erfc(x) = exp(-x^2) / sqrt(pi) / (x + (1/2)/(x + (2/2)/(x + (3/2)/(x + ...))))
+    tail = F.aggregate(F.sequence(F.lit(60), F.lit(1), F.lit(-1)), x, lambda acc, n: x + n / F.lit(2.0) / acc)
+    return F.when(x < 1.5, small).otherwise(F.exp(-z) / F.lit(math.sqrt(math.pi)) / tail)
+
+
+#: Degrees of freedom up to which the finite sum is used; beyond, the expansion errs by less than 1e-9.
+CHI2_SUM_DOF = 2000
+
+
+def chi2_sf(stat, dof) -> Column:
+    """Chi-square survival function ``Q(a, y)`` with ``a = dof / 2``, ``y = stat / 2``.
+
+    Up to ``CHI2_SUM_DOF`` degrees by the finite sum over all of its ``a`` terms (for odd degrees
+    ``erfc(sqrt(y))`` first), which is exact and keeps small p-values. Beyond, by Temme's
+    uniform expansion in ``1 / a`` with two terms, whose error falls as ``a^-2.5``."""
+    x, k = col_of(stat).cast("double"), col_of(dof).cast("long")
+    a, y = k / F.lit(2.0), x / 2
+    odd = k % 2 == 1
+    # terms exp(-y) y^j / Gamma(j + 1), j = 0, 1, ... (even) or 1/2, 3/2, ... (odd), as logarithms
+    first = F.when(odd, F.lit(0.5) * F.log(y) - F.lit(math.log(math.sqrt(math.pi) / 2))).otherwise(0.0) - y
+    shift = F.when(odd, 0.5).otherwise(0.0)
+    start = F.struct(first.alias("t"), F.exp(first).alias("s"))
+    total = F.aggregate(F.when(a > shift + 1, F.sequence(F.lit(1), F.ceil(a - shift).cast("int") - 1)).otherwise(F.array()), start,
+                        lambda acc, n: F.struct((acc["t"] + F.log(y) - F.log(n + shift)).alias("t"),
+                                                (acc["s"] + F.exp(acc["t"] + F.log(y) - F.log(n + shift))).alias("s")))["s"]
+    total = F.when(odd, erfc(F.sqrt(y)) + F.when(k > 1, total).otherwise(0.0)).otherwise(total)
+    # Temme: Q = erfc(eta sqrt(a / 2)) / 2 + exp(-a eta^2 / 2) / sqrt(2 pi a) (C0 + C1 / a)
+    mu = y / a - 1
+    near = F.abs(mu) < 0.01  # mu - ln(1 + mu) cancels there
+    half = F.when(near, mu * mu * (F.lit(0.5) - mu / 3 + mu * mu / 4 - mu ** 3 / 5 + mu ** 4 / 6)).otherwise(mu - F.log(mu + 1))
+    eta = F.signum(mu) * F.sqrt(2 * half)
+    c0 = F.when(near, F.lit(-1 / 3) + eta / 12 - eta ** 2 * 2 / 135 + eta ** 3 / 864 + eta ** 4 / 2835).otherwise(1 / mu - 1 / eta)
+    c1 = F.when(near, F.lit(-1 / 540) - eta / 288 + eta ** 2 / 378).otherwise(
+        1 / eta ** 3 - 1 / mu ** 3 - 1 / mu ** 2 - 1 / (12 * mu))
+    rest = F.exp(-a * half) / F.sqrt(F.lit(2 * math.pi) * a) * (c0 + c1 / a)
+    side = erfc(F.abs(eta) * F.sqrt(a / 2)) / 2
+    wide = F.when(eta >= 0, side).otherwise(1 - side) + rest
+    out = (F.when(x.isNull() | k.isNull(), None).when(k <= 0, 1.0).when(x <= 0, 1.0)
+           .when(k <= CHI2_SUM_DOF, total).otherwise(wide))
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), out))

@@ -223,7 +223,7 @@ def column_drift(tagged: DataFrame, numeric: Sequence[str], categorical: Sequenc
 def dataset_drift(columns: DataFrame, share_limit: float = T.DATASET_DRIFT_SHARE) -> DataFrame:
     """Number and share of drifted columns; dataset drift when the share is over the limit."""
     return columns.agg(F.count(F.lit(1)).alias("n_columns"), F.count_if("drifted").alias("n_drifted")) \
-        .withColumn("drift_share", F.col("n_drifted") / F.col("n_columns")) \
+        .withColumn("drift_share", F.try_divide(F.col("n_drifted"), F.col("n_columns"))) \
         .withColumn("dataset_drift", F.col("drift_share") > share_limit)
 
 

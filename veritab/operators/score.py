@@ -18,7 +18,8 @@ def linear_score(weights: Mapping[str, float], bias: float) -> Column:
 
 
 def score_linear(df: DataFrame, weights: Mapping[str, float], bias: float, threshold: float = 0.5) -> DataFrame:
-    """Probability, class at ``>= threshold``, confidence band and label text."""
+    """Probability, class at ``>= threshold``, confidence band and label text; all of them null
+    where an input is null."""
     p = linear_score(weights, bias)
     return (df.withColumn("probability", p)
             .withColumn("prediction", (F.col("probability") >= threshold).cast("int"))
@@ -29,14 +30,19 @@ def score_linear(df: DataFrame, weights: Mapping[str, float], bias: float, thres
 def score_records(records: DataFrame, record_col: str, weights: Mapping[str, float], bias: float,
                   id_col: str | None = None, threshold: float = 0.5) -> DataFrame:
     """Score feature records (``map<string,double>``); each record gives a result or an
-    error naming the missing features. Per-record position comes from ``id_col`` when
+    error naming what is missing or null (all other fields are null then). Per-record position comes from ``id_col`` when
     given (e.g. ``posexplode`` of a request array)."""
     m = F.col(record_col)
     names = list(weights)
-    missing = F.filter(F.array(*[F.lit(n) for n in names]), lambda k: ~F.map_contains_key(m, k))
+    wanted = F.array(*[F.lit(n) for n in names])
+    missing = F.filter(wanted, lambda k: ~F.map_contains_key(m, k))
+    empty = F.filter(wanted, lambda k: F.map_contains_key(m, k) & F.element_at(m, k).isNull())
+    error = (F.when(m.isNull(), F.lit("record is null"))
+             .when(F.size(missing) > 0, F.concat(F.lit("missing features: "), F.array_join(missing, ", ")))
+             .when(F.size(empty) > 0, F.concat(F.lit("null features: "), F.array_join(empty, ", "))))
     z = sum((m[n] * float(w) for n, w in weights.items()), F.lit(float(bias)))
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
-    ok = F.size(missing) == 0
+    ok = error.isNull()
     out = records.select(
         *([F.col(id_col).alias("id")] if id_col else []),
         F.when(ok, (p >= threshold).cast("int")).alias("prediction"),
@@ -44,7 +50,7 @@ def score_records(records: DataFrame, record_col: str, weights: Mapping[str, flo
         F.when(ok, confidence_band(p)).alias("confidence"),
         F.when(ok, label_text((p >= threshold).cast("int"))).alias("prediction_label"),
         F.when(ok, F.array_sort(F.map_keys(m))).alias("features_used"),
-        F.when(~ok, F.concat(F.lit("missing features: "), F.array_join(missing, ", "))).alias("error"))
+        error.alias("error"))
     return out
 
 
@@ -53,13 +59,6 @@ def explode_batch(batch: DataFrame, array_col: str) -> DataFrame:
     return batch.select(F.posexplode(F.col(array_col)).alias("id", "record"))
 
 
-def score_model(model, df: DataFrame, features_col: str = "features") -> DataFrame:
-    """G1: fitted ``PipelineModel`` transform, plus ``prediction_probability`` of class 1."""
-    from pyspark.ml.functions import vector_to_array
-    out = model.transform(df)
-    return out.withColumn("prediction_probability", vector_to_array(F.col("probability"))[1])
-
-
 def prediction_log(df: DataFrame, features: Sequence[str], prob_col: str = "probability",
                    pred_col: str = "prediction") -> DataFrame:
     """Log rows ``timestamp, features map, prediction, probability, label``."""
