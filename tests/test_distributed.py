@@ -14,7 +14,7 @@ def test_running_sums_brute_force(spark):
     v = rng.integers(0, 200, 3000).astype(float)  # heavy ties
     v[:1000] = 7.0  # one value holds a third of the rows
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, v)], "g int, v double")
-    rs = running_sums(df, "v", {"n": F.lit(1)}, by=["g"], buckets=16, next_value=True).collect()
+    rs = running_sums(df, "v", {"n": F.lit(1)}, by=["g"], next_value=True).collect()
     for r in rs:
         sel = g == r["g"]
         assert r["cum_n"] == (v[sel] <= r["v"]).sum()
@@ -28,7 +28,7 @@ def test_exact_quantiles_match_numpy(spark):
     v = np.round(rng.exponential(3.0, 2500), 3)
     df = spark.createDataFrame([(float(x),) for x in v], "v double")
     probs = (0.0, 0.1, 0.25, 0.5, 0.75, 0.975, 1.0)
-    q = exact_quantiles(df, "v", probs, names=[f"p{i}" for i in range(len(probs))], buckets=8).first()
+    q = exact_quantiles(df, "v", probs, names=[f"p{i}" for i in range(len(probs))]).first()
     for i, p in enumerate(probs):
         assert q[f"p{i}"] == pytest.approx(np.quantile(v, p), abs=1e-9)
 

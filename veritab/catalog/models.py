@@ -37,26 +37,26 @@ def _holdout_metrics(model, df):
 @query("m01_logistic_regression")
 def m01(spark, sf):
     df = _emb(spark, sf)
-    return _holdout_metrics(M.logistic(C=1.0, n=_n(df)).fit(df.where("fold != 0")), df)
+    return _holdout_metrics(M.logistic(C=1.0, n=_n(df)).fit(M.training_part(df.where("fold != 0"))), df)
 
 
 @query("m02_random_forest")
 def m02(spark, sf):
     df = _emb(spark, sf)
-    return _holdout_metrics(M.random_forest().fit(df.where("fold != 0")), df)
+    return _holdout_metrics(M.random_forest().fit(M.training_part(df.where("fold != 0"))), df)
 
 
 @query("m03_fourier_svm")
 def m03(spark, sf):
     df = _emb(spark, sf)
-    model = M.FourierSVM("embedding", DIM).fit(df.where("fold != 0"))
+    model = M.FourierSVM("embedding", DIM).fit(M.training_part(df.where("fold != 0")))
     return _holdout_metrics(model, df)
 
 
 @query("m04_boosted_trees")
 def m04(spark, sf):
     df = _emb(spark, sf)
-    return _holdout_metrics(M.boosted_trees().fit(df.where("fold != 0")), df)
+    return _holdout_metrics(M.boosted_trees().fit(M.training_part(df.where("fold != 0"))), df)
 
 
 @query("m07_cross_validation")
@@ -162,7 +162,7 @@ def m25(spark, sf):
 def s11(spark, sf):
     df = _emb(spark, sf)
     pipe = M.as_pipeline(M.logistic(C=1.0, n=_n(df)))
-    model = pipe.fit(df.where("fold != 0"))
+    model = pipe.fit(M.training_part(df.where("fold != 0")))
     path = f"{checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
     from veritab.sources.io import load_model, save_model
     save_model(model, path)
@@ -172,7 +172,7 @@ def s11(spark, sf):
 @query("g01_batch_scoring")
 def g01(spark, sf):
     df = _emb(spark, sf)
-    model = M.as_pipeline(M.logistic(C=1.0, n=_n(df))).fit(df.where("fold != 0"))
+    model = M.as_pipeline(M.logistic(C=1.0, n=_n(df))).fit(M.training_part(df.where("fold != 0")))
     s = M.scored(model, df)
     return rounded(s.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"),
                                                F.avg("prediction_probability").alias("mean_probability")))

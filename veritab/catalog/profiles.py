@@ -105,22 +105,28 @@ def a09(spark, sf):
     return rounded(P.outlier_cells(tbl(spark, sf, "events"), _EV_NUM))
 
 
-_DUP_COLS = ["l_returnflag", "l_linestatus", "l_quantity"]
+#: all columns; the rows of every 13th order occur twice, so that there are duplicates
+_SQL_COPIED = "ld AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 13 = 0)"
+
+
+def _copied(spark, sf):
+    li = tbl(spark, sf, "lineitem")
+    return li.unionByName(li.where("l_orderkey % 13 = 0"))
 
 
 @query("a10_duplicate_rows",
-       f"SELECT CAST(SUM(c) AS BIGINT) AS n_rows, CAST(SUM(c - 1) AS BIGINT) AS duplicates, "
+       f"WITH {_SQL_COPIED} SELECT CAST(SUM(c) AS BIGINT) AS n_rows, CAST(SUM(c - 1) AS BIGINT) AS duplicates, "
        f"{R6('SUM(c - 1) * 100.0 / SUM(c)')} AS percent FROM "
-       f"(SELECT COUNT(*) AS c FROM lineitem GROUP BY {', '.join(_DUP_COLS)})")
+       "(SELECT COUNT(*) AS c FROM ld GROUP BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, "
+       "l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)")
 def a10(spark, sf):
-    return rounded(P.duplicate_rows(tbl(spark, sf, "lineitem"), _DUP_COLS))
+    return rounded(P.duplicate_rows(_copied(spark, sf)))
 
 
 @query("a11_drop_duplicates",
-       f"SELECT COUNT(*) AS n_rows, {R6('SUM(l_quantity)')} AS sum_quantity FROM "
-       f"(SELECT DISTINCT {', '.join(_DUP_COLS)} FROM lineitem)")
+       f"WITH {_SQL_COPIED} SELECT COUNT(*) AS n_rows, {R6('SUM(l_quantity)')} AS sum_quantity FROM (SELECT DISTINCT * FROM ld)")
 def a11(spark, sf):
-    d = P.drop_duplicates(tbl(spark, sf, "lineitem").select(*_DUP_COLS))
+    d = P.drop_duplicates(_copied(spark, sf))
     return rounded(d.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").alias("sum_quantity")))
 
 
@@ -365,32 +371,34 @@ def q01(spark, sf):
     return rounded(Q.structure_validation(li_with_nulls(spark, sf), _Q1_ROLES))
 
 
-_Q2_COLS = ["l_returnflag", "l_linestatus", "l_quantity"]
-_Q2_SQL_CTE = ("s AS (SELECT side, l_returnflag, l_linestatus, "
-               "CASE WHEN l_orderkey % 17 <> 0 THEN l_quantity END AS l_quantity FROM li), "
-               "g AS (SELECT side, COUNT(*) AS c, MAX((l_returnflag IS NULL)::INT + (l_linestatus IS NULL)::INT + "
-               "(l_quantity IS NULL)::INT) AS nulls FROM s GROUP BY side, l_returnflag, l_linestatus, l_quantity), "
+#: every column of the table; a null quantity in every 17th order, the rows of every 13th order twice
+_Q2_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate"]
+_Q2_LIST = ", ".join("CASE WHEN l_orderkey % 17 <> 0 THEN l_quantity END AS l_quantity" if c == "l_quantity" else c for c in _Q2_COLS)
+_Q2_SQL_CTE = (f"s0 AS (SELECT side, {_Q2_LIST} FROM li), s AS (SELECT * FROM s0 UNION ALL SELECT * FROM s0 WHERE l_orderkey % 13 = 0), "
+               f"g AS (SELECT side, COUNT(*) AS c, MAX({' + '.join(f'({c} IS NULL)::INT' for c in _Q2_COLS)}) AS nulls "
+               f"FROM s GROUP BY side, {', '.join(_Q2_COLS)}), "
                "p AS (SELECT side, SUM(c) AS n_rows, SUM(c * nulls) AS missing_cells, SUM(c - 1) AS duplicates FROM g GROUP BY side)")
 
 
 def _q2_frame(spark, sf):
-    t = lineitem_sides(spark, sf)
-    return t.select("side", "l_returnflag", "l_linestatus",
-                    F.when(F.col("l_orderkey") % 17 != 0, F.col("l_quantity")).alias("l_quantity"))
+    t = lineitem_sides(spark, sf).select("side", *_Q2_COLS)
+    t = t.withColumn("l_quantity", F.when(F.col("l_orderkey") % 17 != 0, F.col("l_quantity")))
+    return t.unionByName(t.where("l_orderkey % 13 = 0"))
 
 
 @query("q02_dataset_summary",
-       f"WITH {SQL_LI_SIDES}, {_Q2_SQL_CTE} SELECT side, CAST(n_rows AS BIGINT) AS n_rows, 3 AS n_columns, "
-       f"CAST(missing_cells AS BIGINT) AS missing_cells, {R6('missing_cells / (n_rows * 3.0)')} AS missing_share, "
+       f"WITH {SQL_LI_SIDES}, {_Q2_SQL_CTE} SELECT side, CAST(n_rows AS BIGINT) AS n_rows, 11 AS n_columns, "
+       f"CAST(missing_cells AS BIGINT) AS missing_cells, {R6('missing_cells / (n_rows * 11.0)')} AS missing_share, "
        f"CAST(duplicates AS BIGINT) AS duplicates, {R6('duplicates * 1.0 / n_rows')} AS duplicate_share FROM p")
 def q02(spark, sf):
     return rounded(Q.dataset_summary(_q2_frame(spark, sf)))
 
 
 @query("q03_quality_score",
-       f"WITH {SQL_LI_SIDES}, {_Q2_SQL_CTE} SELECT side, {R6('missing_cells / (n_rows * 3.0)')} AS missing_share, "
+       f"WITH {SQL_LI_SIDES}, {_Q2_SQL_CTE} SELECT side, {R6('missing_cells / (n_rows * 11.0)')} AS missing_share, "
        f"{R6('duplicates * 1.0 / n_rows')} AS duplicate_share, "
-       f"{R6('((1 - missing_cells / (n_rows * 3.0)) + (1 - duplicates * 1.0 / n_rows)) / 2')} AS quality_score FROM p")
+       f"{R6('((1 - missing_cells / (n_rows * 11.0)) + (1 - duplicates * 1.0 / n_rows)) / 2')} AS quality_score FROM p")
 def q03(spark, sf):
     return rounded(Q.quality_score(_q2_frame(spark, sf)))
 
@@ -449,9 +457,9 @@ def q06(spark, sf):
 
 @query("q07_quality_alerts",
        f"WITH {SQL_LI_SIDES}, {_Q2_SQL_CTE}, m AS ("
-       "SELECT side AS scope, 'missing_share' AS metric, missing_cells / (n_rows * 3.0) AS value FROM p UNION ALL "
+       "SELECT side AS scope, 'missing_share' AS metric, missing_cells / (n_rows * 11.0) AS value FROM p UNION ALL "
        "SELECT side, 'duplicate_share', duplicates * 1.0 / n_rows FROM p UNION ALL "
-       "SELECT side, 'quality_score', ((1 - missing_cells / (n_rows * 3.0)) + (1 - duplicates * 1.0 / n_rows)) / 2 FROM p), "
+       "SELECT side, 'quality_score', ((1 - missing_cells / (n_rows * 11.0)) + (1 - duplicates * 1.0 / n_rows)) / 2 FROM p), "
        "r AS (SELECT * FROM (VALUES ('low_quality_score', 'quality_score', 0.8, 'Low data quality score: '), "
        "('too_many_missing', 'missing_share', 0.1, 'Too many missing values: '), "
        "('too_many_duplicates', 'duplicate_share', 0.05, 'Too many duplicate rows: ')) r(rule, metric, lim, msg)) "

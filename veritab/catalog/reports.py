@@ -34,15 +34,21 @@ def _scratch(spark, name):
 
 @query("s01_scan_csv",
        f"SELECT COUNT(*) AS n, {R6('SUM(l_quantity)')} AS quantity_sum, {R6('SUM(l_extendedprice)', 2)} AS price_sum, "
-       "COUNT(DISTINCT l_returnflag) AS flags FROM lineitem")
+       f"{R6('SUM(l_discount)', 4)} AS discount_sum, {R6('SUM(l_tax)', 4)} AS tax_sum, CAST(SUM(l_orderkey) AS BIGINT) AS orders, "
+       "CAST(SUM(l_partkey) AS BIGINT) AS parts, CAST(SUM(l_suppkey) AS BIGINT) AS suppliers, "
+       "CAST(SUM(l_linenumber) AS BIGINT) AS lines, COUNT(DISTINCT l_returnflag) AS flags, "
+       "COUNT(DISTINCT l_linestatus) AS statuses, COUNT(DISTINCT l_shipdate) AS days FROM lineitem")
 def s01(spark, sf):
     path = _scratch(spark, "csv")
-    tbl(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag") \
-        .write.option("header", "true").csv(path)
+    tbl(spark, sf, "lineitem").write.option("header", "true").csv(path)
     back = IO.read_csv(spark, path)
     return rounded(back.agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity_sum"),
                             F.round(F.sum("l_extendedprice"), 2).alias("price_sum"),
-                            F.count_distinct("l_returnflag").alias("flags")))
+                            F.round(F.sum("l_discount"), 4).alias("discount_sum"), F.round(F.sum("l_tax"), 4).alias("tax_sum"),
+                            *[F.sum(c).cast("long").alias(n) for c, n in (("l_orderkey", "orders"), ("l_partkey", "parts"),
+                                                                          ("l_suppkey", "suppliers"), ("l_linenumber", "lines"))],
+                            F.count_distinct("l_returnflag").alias("flags"), F.count_distinct("l_linestatus").alias("statuses"),
+                            F.count_distinct("l_shipdate").alias("days")))
 
 
 @query("s02_load_pair",

@@ -120,11 +120,9 @@ def f10(spark, sf):
 
 @query("f11_number_text",
        "SELECT printf('%.2f', o_totalprice / 1000) AS fixed_text, printf('%.1f', o_totalprice / 5000) || '%' AS percent_text, "
-       "o_orderkey FROM orders WHERE o_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20)")
+       "o_orderkey FROM orders")
 def f11(spark, sf):
-    o = tbl(spark, sf, "orders")
-    top = o.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20)
-    return top.select(S.fmt_fixed(F.col("o_totalprice") / 1000, 2).alias("fixed_text"),
+    return tbl(spark, sf, "orders").select(S.fmt_fixed(F.col("o_totalprice") / 1000, 2).alias("fixed_text"),
                       S.fmt_percent(F.col("o_totalprice") / 500000, 1).alias("percent_text"), "o_orderkey")
 
 

@@ -77,7 +77,7 @@ def j01(spark, sf):
 
 
 _PERM_FEATS = [c for c, _ in SCORE_W]
-_PERM_REPEATS = 3
+_PERM_REPEATS = 10
 
 
 def _perm_sql():

@@ -2,11 +2,11 @@
 
 A plain ``Window.orderBy(v)`` (no partition) runs in one task; grouping only by a
 feature or a label gives one task per group, and a group may hold a third of all rows.
-Here the order is cut into range buckets: bucket bounds come from ``approx_percentile``
-(one distributed aggregate), rows are collapsed to distinct values per (group, bucket)
-with map-side partial aggregation, bucket totals (groups x buckets rows, bounded by
-parameters) give each bucket its offset, and the running sum is finished by a window
-partitioned by (group, bucket). No step holds a whole group in one task.
+Here rows are collapsed to distinct values per group with map-side partial aggregation, dealt
+out by range of (group, value), and written once with the number of their range. Adaptive
+execution sets the number of ranges by the size of the data. The totals of the ranges (one row per
+range and group in it) give each its offset, and the running sum is finished by a window
+partitioned by (group, range). No step holds a whole group in one task.
 """
 
 from __future__ import annotations
@@ -16,51 +16,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.session import bucket_count
-
-
-def _bucket_expr(df: DataFrame, value: str, by: Sequence[str], buckets: int):
-    """Return (frame, bucket column): bucket = number of approx-quantile bounds below the value.
-
-    The bounds table has one row per group and ``buckets`` doubles per row; groups are a
-    bounded set (features, sides, replicates), so it is broadcast. The join stays
-    map-side: the large input is never shuffled for it.
-    """
-    fractions = [i / buckets for i in range(1, buckets)]
-    accuracy = max(1000, buckets * 20)
-    bounds = df.groupBy(*by).agg(
-        F.approx_percentile(F.col(value), fractions, accuracy).alias("_bounds"))
-    # one row per group with a sorted array of bounds
-    framed = df.join(F.broadcast(bounds), on=list(by), how="inner")
-    return framed, bucket_search(F.col("_bounds"), F.col(value), buckets - 1)
-
-
-def bucket_search(bounds: Column, v: Column, n_bounds: int) -> Column:
-    """Number of sorted ``bounds`` strictly below ``v``, as a balanced binary-search tree of
-    ``CASE WHEN`` (log2 comparisons per row, inside whole-stage codegen)."""
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(v > F.element_at(bounds, mid + 1), tree(mid + 1, hi)).otherwise(tree(lo, mid))
-    return tree(0, n_bounds)
+from veritab.session import run_table
 
 
 def running_sums(df: DataFrame, value: str, sums: Mapping[str, Column], by: Sequence[str] = (),
-                 buckets: int | None = None, bucket: Column | None = None,
-                 next_value: bool = False, materialize: bool = True) -> DataFrame:
+                 next_value: bool = False) -> DataFrame:
     """Collapse ``df`` to one row per (by..., value) and add running totals.
 
     Output columns: ``by..., value``, for each name in ``sums``: ``name`` (sum at this value),
     ``cum_name`` (sum over values <= this one within the group) and ``tot_name`` (group total);
     with ``next_value``: the next larger distinct value of the group (null for the last).
-    ``bucket`` may give a ready bucket expression monotone in ``value`` (e.g. a hash prefix);
-    otherwise buckets come from approximate quantiles of the distinct values.
 
-    Plan: one scan; the collapse to distinct values is a partial + final aggregate (a hot
-    value is merged map-side); with ``materialize`` the collapsed table is written once as
-    a reliable checkpoint (shared checkpoint folder), so bounds, bucket totals and the
-    window all read it instead of recomputing the scan, and lineage is cut.
+    The collapse is a partial + final aggregate (a hot value is merged map-side). The collapsed
+    table is written once (``session.run_table``) when this is called: the number of a row's range
+    must not change between the offsets and the rows, which a plan that is run twice
+    could not promise.
     """
     by = list(by)
     names = list(sums)
@@ -69,16 +39,10 @@ def running_sums(df: DataFrame, value: str, sums: Mapping[str, Column], by: Sequ
         # one global group: a constant key keeps every step below the same
         df = df.withColumn("_g", F.lit(0))
         by = ["_g"]
-    pre = [] if bucket is None else [bucket.alias("_bk")]
-    collapsed = (df.select(*by, F.col(value).alias(value), *pre, *[sums[n].alias(n) for n in names])
-                 .groupBy(*by, *(["_bk"] if pre else []), value)
+    collapsed = (df.select(*by, F.col(value).alias(value), *[sums[n].alias(n) for n in names])
+                 .groupBy(*by, value)
                  .agg(*[F.sum(n).alias(n) for n in names]))
-    if materialize:
-        from veritab.session import cut_lineage
-        collapsed = cut_lineage(collapsed)
-    if bucket is None:
-        framed, bk = _bucket_expr(collapsed, value, by, buckets or bucket_count(df.sparkSession))
-        collapsed = framed.withColumn("_bk", bk).drop("_bounds")
+    collapsed = run_table(collapsed.repartitionByRange(*by, value).withColumn("_bk", F.spark_partition_id()))
 
     bucket_aggs = [F.sum(n).alias(f"_bs_{n}") for n in names]
     if next_value:
@@ -93,8 +57,8 @@ def running_sums(df: DataFrame, value: str, sums: Mapping[str, Column], by: Sequ
         cols.append(F.sum(f"_bs_{n}").over(wall).alias(f"tot_{n}"))
     if next_value:
         cols.append(F.min("_bmin").over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("_nextb"))
-    # groups x buckets rows: broadcast
-    offsets = F.broadcast(totals.select(*cols))
+    # one row per range and group in it; adaptive execution broadcasts it if its measured size allows
+    offsets = totals.select(*cols)
 
     joined = collapsed.join(offsets, on=[*by, "_bk"], how="inner")
     w = Window.partitionBy(*by, "_bk").orderBy(value)
@@ -111,7 +75,7 @@ def running_sums(df: DataFrame, value: str, sums: Mapping[str, Column], by: Sequ
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    names: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (position ``p*(n-1)``), nulls skipped.
 
     Equal to Spark ``percentile`` and DuckDB ``quantile_cont``, but computed from
@@ -120,8 +84,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     """
     by = list(by)
     names = list(names) if names else [f"q{int(round(p * 100)):02d}" for p in probs]
-    rs = running_sums(df.where(F.col(value).isNotNull()), value, {"n": F.lit(1)}, by,
-                      buckets=buckets)
+    rs = running_sums(df.where(F.col(value).isNotNull()), value, {"n": F.lit(1)}, by)
     below = F.col("cum_n") - F.col("n")
     aggs = [F.max("tot_n").alias("n")]
     for name, p in zip(names, probs):

@@ -273,5 +273,5 @@ def combine_importance(coef: DataFrame, perm: DataFrame) -> DataFrame:
     mc = j.agg(F.max(F.abs("coefficient"))).scalar()
     mp = j.agg(F.max("importance_mean")).scalar()
     return j.select("feature", "coefficient", "importance_mean",
-                    (F.abs("coefficient") / mc).alias("coefficient_norm"),
-                    (F.col("importance_mean") / mp).alias("permutation_norm"))
+                    F.try_divide(F.abs("coefficient"), mc).alias("coefficient_norm"),
+                    F.try_divide(F.col("importance_mean"), mp).alias("permutation_norm"))

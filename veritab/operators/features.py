@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from veritab.functions.scalar import col_of, hash_order_key, row_max, row_mean, row_std, safe_ratio
 from veritab.operators.shape import drop_all_null_columns, drop_name_pattern
+from veritab.operators.cumulative import running_sums
 from veritab.session import spread
 
 HASH_BUCKET_DIGITS = 3  # 16^3 = 4096 rank buckets per class
@@ -67,23 +68,15 @@ def derive(df: DataFrame, spec: Derivation) -> DataFrame:
 # ---------------- E3 encode ----------------
 def encode_target(df: DataFrame, target: str, out: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Label index by alphabetical order of the distinct values (B->0, M->1).
-    The mapping is a small table (one row per class), joined by broadcast."""
+    The order is a distributed running count of the distinct values, so any number of values
+    will do; adaptive execution broadcasts the mapping where its measured size allows."""
     out = out or f"{target}_encoded"
-    mapping = df.select(col_of(target).alias("value")).where(F.col("value").isNotNull()).distinct()
-    mapping = mapping.withColumn("index", (F.row_number().over(Window.orderBy("value")) - 1).cast("int"))
-    enc = df.join(F.broadcast(mapping.withColumnRenamed("value", target).withColumnRenamed("index", out)),
-                  on=target, how="left")
+    values = df.select(col_of(target).alias("value")).where(F.col("value").isNotNull()).distinct()
+    mapping = running_sums(values, "value", {"n": F.lit(1)}).select("value", (F.col("cum_n") - 1).cast("int").alias("index"))
+    enc = df.join(mapping.withColumnRenamed("value", target).withColumnRenamed("index", out), on=target, how="left")
     return enc, mapping
 
 
-def encode_target_ml(df: DataFrame, target: str, out: str | None = None):
-    """E3 with Spark ML: ``StringIndexer(stringOrderType='alphabetAsc')``; returns (frame, model)."""
-    from pyspark.ml.feature import StringIndexer
-    si = StringIndexer(inputCol=target, outputCol=out or f"{target}_encoded", stringOrderType="alphabetAsc")
-    model = si.fit(df)
-    return model.transform(df), model
-
-
 # ---------------- E4/E5 ANOVA F selection ----------------
 def anova_f(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """One-way ANOVA F per feature: ``(sum n_k (m_k - m)^2 / (K-1)) / (sum (n_k-1) s_k^2 / (N-K))``.

@@ -44,14 +44,16 @@ def prepare(df: DataFrame, label: str, key: Sequence[str], array_col: str | None
     """Features vector, balanced class weight (M5) and exact stratified fold (M6)."""
     v = vectorize(df, array_col, cols)
     w = balanced_weights(v, label, "weight")
-    # iterative fits read this frame many times: keep it (lost blocks recompute from lineage),
-    # in at most one partition per core, so every optimizer iteration is one task per core
-    # rather than one per shuffle partition
-    out = stratified_folds(w, label, key, k, seed)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if out.rdd.getNumPartitions() > cores:
-        out = out.coalesce(cores)
-    return out.persist(StorageLevel.MEMORY_AND_DISK)
+    # iterative fits read this frame many times: keep it (lost blocks recompute from lineage);
+    # adaptive execution sizes its partitions by the data
+    return stratified_folds(w, label, key, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def training_part(df: DataFrame) -> DataFrame:
+    """Rows for one fit, with the balanced class weights (M5) of these rows only."""
+    if "weight" not in df.columns:
+        return df
+    return balanced_weights(df.drop("weight"), "label", "weight")
 
 
 # ---------------- M1-M4 estimators ----------------
@@ -153,7 +155,7 @@ def cross_validate(df: DataFrame, make: Callable[[], object], fold_col: str = "f
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
     parts = []
     for f in folds:
-        model = make().fit(df.where(F.col(fold_col) != f))
+        model = make().fit(training_part(df.where(F.col(fold_col) != f)))
         parts.append(scored(model, df.where(F.col(fold_col) == f))
                      .select(fold_col, "label", "prediction", "prediction_probability"))
     out = parts[0]
@@ -229,7 +231,7 @@ def learning_curve(df: DataFrame, make, sizes: Sequence[float], key: str, fold_c
         tr_scores, va_scores = [], []
         for f in folds:
             tr = x.where((F.col(fold_col) != f) & (F.col("_u") < s))
-            model = make().fit(tr)
+            model = make().fit(training_part(tr))
             tr_scores.append(EV.classification_metrics(scored(model, tr), "label", "prediction").first()["recall"])
             va = x.where(F.col(fold_col) == f)
             va_scores.append(EV.classification_metrics(scored(model, va), "label", "prediction").first()["recall"])
@@ -280,7 +282,7 @@ def _search(df: DataFrame, combos: list[dict], n: int, fold_col: str, parallelis
     lr = LogisticRegression(featuresCol="features", labelCol="label", standardization=False)
     maps = []
     for c in combos:
-        enet = {"l2": 0.0, "l1": 1.0, "elasticnet": 0.5}[c.get("penalty", "l2")]
+        enet = {"l2": 0.0, "l1": 1.0, "elasticnet": float(c.get("l1_ratio", 0.5))}[c.get("penalty", "l2")]
         m = {lr.regParam: 1.0 / (float(c.get("C", 1.0)) * n), lr.elasticNetParam: enet,
              lr.maxIter: int(c.get("max_iter", 100))}
         if c.get("class_weight") == "balanced":
@@ -302,7 +304,7 @@ def _search(df: DataFrame, combos: list[dict], n: int, fold_col: str, parallelis
 def evaluate_tuned(train: DataFrame, test: DataFrame, make, fold_col: str = "fold") -> DataFrame:
     """Test metrics of the model fitted on all training rows, plus fold-mean F1 and
     accuracy from cross-validation on the training rows."""
-    model = make().fit(train)
+    model = make().fit(training_part(train))
     t = scored(model, test)
     cm = EV.classification_metrics(t, "label", "prediction")
     rk = EV.ranking_metrics(t, "label", "prediction_probability")

@@ -21,12 +21,11 @@ from veritab.session import spread
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Equi-join with a table of one row per group of a bounded group set (per-feature
-    or per-class statistics): broadcast, so the big side stays in place. With no keys the
-    small side is a single row, joined on a constant key."""
+    """Equi-join with a table of one row per group; adaptive execution broadcasts it where its
+    measured size allows. With no keys the small side is a single row, joined on a constant key."""
     on = list(on)
     if on:
-        return big.join(F.broadcast(small), on=on, how="inner")
+        return big.join(small, on=on, how="inner")
     return (big.withColumn("_g", F.lit(0))
             .join(F.broadcast(small.withColumn("_g", F.lit(0))), on="_g", how="inner").drop("_g"))
 
@@ -55,9 +54,9 @@ def class_counts(df: DataFrame, target: str) -> DataFrame:
 
 
 def class_shares(df: DataFrame, target: str) -> DataFrame:
-    """A3: class counts and percent of all rows (window over the few class rows only)."""
-    c = class_counts(df, target)
-    return c.withColumn("percent", F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()))
+    """A3: class counts and percent of all rows (the total is a scalar subquery)."""
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return class_counts(df, target).withColumn("percent", F.col("n") * 100.0 / total)
 
 
 def missing_values(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -104,8 +103,8 @@ def iqr_fences(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (),
 def _flag_outliers(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     long = melt(df, cols, by)
     fences = iqr_fences(df, cols, by)
-    # fences: one row per (group, feature), a bounded set -> broadcast, map-side join
-    j = long.join(F.broadcast(fences), on=[*by, "feature"], how="inner")
+    # fences: one row per (group, feature); adaptive execution broadcasts them if they are small
+    j = long.join(fences, on=[*by, "feature"], how="inner")
     return j.withColumn("is_outlier", (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
 
 
@@ -126,13 +125,21 @@ def outlier_cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         .withColumn("percent", F.try_divide(F.col("outlier_cells") * 100.0, F.col("n_rows") * F.col("n_columns")))
 
 
+def row_hashes(cols: Sequence[str]) -> list:
+    """Two independent 64-bit hashes of a row. A null is told from any value by its own flag."""
+    cs = [col_of(c) for c in cols]
+    flags = [c.isNull() for c in cs]
+    return [F.xxhash64(*cs, *flags).alias("_h1"), F.xxhash64(F.lit("second"), *flags, *reversed(cs)).alias("_h2")]
+
+
 def duplicate_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """A10: copies after the first, and their percent. A hot group of copies is merged
-    map-side by the partial aggregate, so it never travels whole."""
+    """A10: copies after the first, and their percent. Rows are compared by a 128-bit hash of
+    all columns, so 24 bytes per distinct row are shuffled whatever the width of the table; a hot
+    group of copies is merged map-side by the partial aggregate."""
     cols = list(cols or df.columns)
-    g = df.groupBy(*[col_of(c) for c in cols]).agg(F.count(F.lit(1)).alias("_c"))
-    return g.agg(F.sum("_c").alias("n_rows"), F.sum(F.col("_c") - 1).alias("duplicates")) \
-        .withColumn("percent", F.col("duplicates") * 100.0 / F.col("n_rows"))
+    g = df.groupBy(*row_hashes(cols)).agg(F.count(F.lit(1)).alias("_c"))
+    return g.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("duplicates")) \
+        .withColumn("percent", F.try_divide(F.col("duplicates") * 100.0, F.col("n_rows")))
 
 
 def drop_duplicates(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -205,15 +212,16 @@ def histogram(df: DataFrame, col: str, by: Sequence[str] = (), bins: int = 20) -
 
 def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), factor: float = T.IQR_FACTOR) -> DataFrame:
     """Quartiles, whiskers (last datum inside the fences) and flier count per group."""
-    f = _flag_outliers(df, [col], by)
-    inner = F.when(~F.col("is_outlier"), F.col("value"))
-    agg = f.groupBy(*by).agg(F.first("q1").alias("q1"), F.first("q3").alias("q3"),
+    long = melt(df, [col], by)
+    q = exact_quantiles(long, "value", QUARTILES, [*by, "feature"], ("q1", "median", "q3")).drop("n")
+    j = long.join(q, on=[*by, "feature"], how="inner")
+    iqr = F.col("q3") - F.col("q1")
+    inside = F.col("value").between(F.col("q1") - factor * iqr, F.col("q3") + factor * iqr)
+    inner = F.when(inside, F.col("value"))
+    agg = j.groupBy(*by).agg(F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
                              F.min(inner).alias("whisker_low"), F.max(inner).alias("whisker_high"),
-                             F.count_if("is_outlier").alias("fliers"))
-    med = exact_quantiles(melt(df, [col], by), "value", (0.5,), [*by, "feature"], ("median",)) \
-        .drop("n", "feature")
-    return join_small(agg, med, by).select(*by, "q1", "median", "q3", "whisker_low", "whisker_high",
-                                           "fliers")
+                             F.count_if(~inside).alias("fliers"))
+    return agg.select(*by, "q1", "median", "q3", "whisker_low", "whisker_high", "fliers")
 
 
 def score_summary(df: DataFrame, col: str) -> DataFrame:
@@ -280,7 +288,7 @@ def top_k(df: DataFrame, col: str, k: int, tiebreak: Sequence[str]) -> DataFrame
 def normalise_by_max(df: DataFrame, col: str, out: str = "normalised") -> DataFrame:
     """``x / max(x)``; the maximum is a scalar subquery, so rows are not moved."""
     mx = df.agg(F.max(col_of(col))).scalar()
-    return df.withColumn(out, col_of(col) / mx)
+    return df.withColumn(out, F.try_divide(col_of(col), mx))
 
 
 def value_counts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), cast: str = "string") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.types import NumericType
 
 from veritab import thresholds as T
 from veritab.functions.scalar import col_of, quality_band
+from veritab.operators.profile import row_hashes
 from veritab.operators.report import AggCheck, row, rows_from, run_agg_checks
 from veritab.roles import Roles
 
@@ -72,7 +73,7 @@ def structure_validation(df: DataFrame, roles: Roles,
     structs += [F.struct(F.lit("non_numeric").alias("issue"), F.lit(c).alias("column_name"),
                          F.lit(None).cast("double").alias("value")) for c in non_numeric]
     structs += [F.struct(F.lit("missing_share").alias("issue"), F.lit(c).alias("column_name"),
-                         (F.col(f"_m{i}") / F.col("_n")).alias("value")) for i, c in enumerate(present)]
+                         F.try_divide(F.col(f"_m{i}"), F.col("_n")).alias("value")) for i, c in enumerate(present)]
     long = one.select(F.inline(F.array(*structs)))
     return long.where((F.col("issue") != "missing_share") | (F.col("value") > missing_limit))
 
@@ -83,13 +84,13 @@ def dataset_summary(tagged: DataFrame, side_col: str = "side",
     (copies after the first) and duplicate share."""
     cols = [c for c in tagged.columns if c != side_col]
     nulls = sum((F.when(col_of(c).isNull(), 1).otherwise(0) for c in cols), F.lit(0))
-    g = tagged.groupBy(F.col(side_col), *[col_of(c) for c in cols]).agg(
-        F.count(F.lit(1)).alias("_c"), F.first(nulls).alias("_nulls"))
+    g = tagged.groupBy(F.col(side_col), *row_hashes(cols)).agg(
+        F.count(F.lit(1)).alias("_c"), F.max(nulls).alias("_nulls"))
     per = g.groupBy(side_col).agg(F.sum("_c").alias("n_rows"),
                                   F.sum(F.col("_c") * F.col("_nulls")).alias("missing_cells"),
                                   F.sum(F.col("_c") - 1).alias("duplicates"))
     return per.select(side_col, "n_rows", F.lit(len(cols)).alias("n_columns"), "missing_cells",
-                      (F.col("missing_cells") / (F.col("n_rows") * len(cols))).alias("missing_share"),
+                      F.try_divide(F.col("missing_cells"), F.col("n_rows") * len(cols)).alias("missing_share"),
                       "duplicates", (F.col("duplicates") / F.col("n_rows")).alias("duplicate_share"))
 
 

@@ -20,6 +20,14 @@ class Prepared:
     metadata: dict
 
 
+def _class_map(mapping: DataFrame, most: int = 10_000) -> dict:
+    """value -> index of a target's classes; a target of more than ``most`` values is refused."""
+    rows = mapping.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"the target has more than {most} classes")
+    return {r["value"]: r["index"] for r in rows}
+
+
 def preprocess(df: DataFrame, target: str, key: Sequence[str], derivation: FE.Derivation | None = None,
                k_best: int = 20, test_size: float = 0.2, seed=42, select_on: str = "all",
                exclude: Sequence[str] = ()) -> Prepared:
@@ -39,5 +47,5 @@ def preprocess(df: DataFrame, target: str, key: Sequence[str], derivation: FE.De
     test = split.where(F.col("split") == "test").drop("split")
     train_s, test_s, fitted = FE.standard_scale(train, test, chosen)
     meta = {"feature_names": chosen, "n_features": len(chosen), "test_size": test_size, "seed": seed,
-            "target_mapping": {r["value"]: r["index"] for r in mapping.collect()}}
+            "target_mapping": _class_map(mapping)}
     return Prepared(train_s, test_s, fitted, chosen, meta)

@@ -6,9 +6,11 @@ cluster; this module only fills in values that are unset, which is what tests ne
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -58,28 +60,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+_WRITTEN: list[tuple[SparkSession, str]] = []
 
 
-def bucket_count(spark: SparkSession, floor: int = 64, cap: int = 1024) -> int:
-    """Number of range buckets for distributed running sums: the shuffle width, at least
-    ``floor`` and at most ``cap`` (groups x buckets already spread the windows over many
-    tasks; the bucket lookup is a binary-search expression of about 2 x buckets nodes)."""
-    try:
-        width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    except ValueError:
-        width = 200
-    return min(cap, max(floor, width))
+def run_table(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in a folder of this run below the shared checkpoint folder, and
+    read back: cuts lineage, survives executor loss, prunes columns. :func:`drop_run_tables` removes
+    the tables of the run; it is also called when the driver ends."""
+    spark = df.sparkSession
+    if not _WRITTEN:
+        atexit.register(drop_run_tables)
+    path = f"{checkpoint_dir(spark)}/run-table-{uuid.uuid4().hex}"
+    _WRITTEN.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df):
-    """Give row-expanding work (melts, bootstrap replicates, per-row hashing) at least the
-    cluster's parallelism. A table stored as one row group scans as one task; on a real
-    cluster the input already has more partitions than cores, and this is a no-op."""
+def drop_run_tables() -> None:
+    """Delete the tables that :func:`run_table` has written; frames that read them are void then."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        sc = spark.sparkContext
+        if sc._jsc is None or sc._jsc.sc().isStopped():
+            continue  # the folder belongs to a run that has ended
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread row-expanding work (melts, bootstrap replicates, per-row hashing) of a table that
+    lies in few files over all cores: one row group scans as one task. The number of files is known
+    when the plan is made, so no job is started; a table of many files is left as it is, without
+    a shuffle. Results do not depend on it."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 2 <= target:
+    if len(df.inputFiles()) * 2 <= target:
         return df.repartition(target)
     return df

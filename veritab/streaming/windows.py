@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def run_available_now(stream: DataFrame, name: str, mode: str = "append", fmt: s
     out = stream_folder(spark, name)
     w = stream.writeStream.option("checkpointLocation", f"{out}_checkpoint").trigger(availableNow=True)
     if mode == "complete":
-        def write(batch: DataFrame, _id: int) -> None:
+        def write(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").format(fmt).save(out)
         q = w.outputMode("complete").foreachBatch(write).start()
     else:
@@ -152,20 +153,23 @@ def performance_alerts(windowed: DataFrame, rules: DataFrame) -> DataFrame:
 
 def run_alert_stream(windowed_stream: DataFrame, rules: DataFrame, name: str = "alerts") -> DataFrame:
     """T5: windows finalized by the watermark (append mode) go through the rules in
-    ``foreachBatch``; only fired alerts are appended, partitioned by type and date."""
+    ``foreachBatch``; only fired alerts are kept, partitioned by type and date. Each batch
+    overwrites the folder of its own id, so a replayed batch writes its alerts once."""
     spark = windowed_stream.sparkSession
     out = stream_folder(spark, name)
 
-    def write(batch: DataFrame, _id: int) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
         fired = performance_alerts(batch, rules).withColumn("type", F.lit("performance")) \
             .withColumn("date", F.substring("scope", 1, 10))
-        fired.write.mode("append").partitionBy("type", "date").parquet(out)
+        fired.write.mode("overwrite").partitionBy("type", "date").parquet(f"{out}/batch={batch_id}")
 
     q = (windowed_stream.writeStream.option("checkpointLocation", f"{out}_checkpoint").outputMode("append")
          .trigger(availableNow=True).foreachBatch(write).start())
     q.awaitTermination()
+    schema = "rule string, scope string, metric string, value double, `limit` double, message string, type string, date string"
     try:
-        return spark.read.parquet(out)
-    except Exception:  # noqa: BLE001 - nothing fired, nothing written
-        return spark.createDataFrame([], "rule string, scope string, metric string, value double, "
-                                         "`limit` double, message string, type string, date string")
+        return spark.read.schema(schema).parquet(out).drop("batch")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # no batch ran, so no folder was made
+            raise
+        return spark.createDataFrame([], schema)
