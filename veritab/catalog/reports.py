@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from veritab.catalog.base import (LI_KEY, LI_NUMERIC, LP_NUMERIC, SQL_LI_NULLS, SQL_LI_PRICED,
                                   SQL_LI_SCORED, li_priced, li_scored, li_with_nulls, lineitem_sides,
                                   query, rounded, sql_round, sql_union, tbl)
+from veritab.catalog import features as CF
 from veritab.catalog import monitoring as MON
 from veritab.catalog import profiles as PRO
 from veritab.operators import evaluate as EV
@@ -219,8 +220,29 @@ def b02(spark, sf):
     return rounded(run_checks(lineitem_sides(spark, sf), LINEITEM, extra=[perf]))
 
 
-# ---------------- E8 preprocessing flow (rows-only) ----------------
-@query("e08_preprocess_flow")
+# ---------------- E8 preprocessing flow ----------------
+_E8_FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "rate_avg", "amount_max", "unit_price"]
+
+
+def _e08_sql():
+    """Clean, derive, encode, select by F, split and scale, each step written out in SQL."""
+    kept = ", ".join(CF._KEEP)
+    derived = (f"{CF._sql_mean(['l_discount', 'l_tax'])} AS rate_avg, GREATEST(l_quantity, l_extendedprice) AS amount_max, "
+               "CASE WHEN l_quantity <> 0 THEN l_extendedprice / l_quantity END AS unit_price, "
+               "DENSE_RANK() OVER (ORDER BY l_linestatus) - 1 AS target")
+    scaled = sql_union([
+        f"SELECT split, '{c}' AS feature, COUNT({c}) AS n, {R6(f'AVG(({c} - m_{c}) / s_{c})')} AS mean, "
+        f"{R6(f'STDDEV_POP(({c} - m_{c}) / s_{c})')} AS std FROM sp, fit GROUP BY split" for c in _E8_FEATS])
+    fit = ", ".join(f"AVG({c}) AS m_{c}, CASE WHEN STDDEV_POP({c}) = 0 THEN 1 ELSE STDDEV_POP({c}) END AS s_{c}" for c in _E8_FEATS)
+    return (f"WITH {SQL_LI_NULLS}, e8 AS (SELECT DISTINCT {kept} FROM (SELECT * FROM lin UNION ALL SELECT * FROM lin WHERE l_orderkey % 10 = 0)), "
+            f"ed AS (SELECT *, {derived} FROM e8), "
+            f"f AS ({CF._anova_sql('ed', _E8_FEATS, 'target')}), "
+            "top AS (SELECT feature FROM f ORDER BY f_stat DESC NULLS LAST, position LIMIT 3), "
+            f"{CF._split_sql('target').replace('lineitem', 'ed')}, fit AS (SELECT {fit} FROM sp WHERE split = 'train'), "
+            f"sc AS ({scaled}) SELECT * FROM sc WHERE feature IN (SELECT feature FROM top)")
+
+
+@query("e08_preprocess_flow", _e08_sql())
 def e08(spark, sf):
     lin = li_with_nulls(spark, sf)
     lin = lin.unionByName(lin.where(F.col("l_orderkey") % 10 == 0))
