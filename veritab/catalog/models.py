@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from veritab.catalog.base import LI_KEY, SQL_LI_SCORED, li_scored, query, rounded, sql_round, tbl
+from veritab.catalog.base import LI_KEY, SQL_LI_SCORED, li_scored, query, rounded, sql_round, sql_union, tbl
 from veritab.operators import evaluate as EV
 from veritab.operators import features as FE
 from veritab.operators import models as M
@@ -135,10 +135,36 @@ def m22(spark, sf):
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    wide = long.groupBy("model_name").pivot("metric", [*EV.METRICS, "roc_auc", "average_precision"]).agg(F.first("value"))
-    best = wide.orderBy(F.desc("recall"), "model_name").limit(1).select(F.col("model_name").alias("_best"))
-    return wide.join(F.broadcast(best), F.col("model_name") == F.col("_best"), "left") \
-        .withColumn("best", F.col("_best").isNotNull()).drop("_best")
+    return M.comparison_table(long, [*EV.METRICS, "roc_auc", "average_precision"])
+
+
+#: thresholds of three fixed scorers over the same linear score
+_LINEAR_MODELS = [("cautious", 0.3), ("even", 0.5), ("strict", 0.7)]
+
+
+def _linear_comparison_sql():
+    cells = sql_union([
+        f"SELECT '{name}' AS model_name, SUM(CASE WHEN label = 1 AND score >= {t} THEN 1 ELSE 0 END) AS tp, "
+        f"SUM(CASE WHEN label = 0 AND score >= {t} THEN 1 ELSE 0 END) AS fp, SUM(CASE WHEN label = 1 AND score < {t} THEN 1 ELSE 0 END) AS fn, "
+        f"SUM(CASE WHEN label = 0 AND score < {t} THEN 1 ELSE 0 END) AS tn FROM ls" for name, t in _LINEAR_MODELS])
+    return (f"WITH {SQL_LI_SCORED}, c AS ({cells}), m AS (SELECT model_name, (tp + tn) * 1.0 / (tp + fp + fn + tn) AS accuracy, "
+            "CASE WHEN tp + fp > 0 THEN tp * 1.0 / (tp + fp) ELSE 0 END AS precision, "
+            "CASE WHEN tp + fn > 0 THEN tp * 1.0 / (tp + fn) ELSE 0 END AS recall FROM c), "
+            "mf AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM m) "
+            f"SELECT model_name, {sql_round('accuracy')} AS accuracy, {sql_round('precision')} AS precision, {sql_round('recall')} AS recall, "
+            f"{sql_round('f1')} AS f1, ROW_NUMBER() OVER (ORDER BY recall DESC, model_name) = 1 AS best FROM mf")
+
+
+@query("m22_linear_model_comparison", _linear_comparison_sql())
+def m22l(spark, sf):
+    ls, parts = li_scored(spark, sf), []
+    for name, t in _LINEAR_MODELS:
+        wide = EV.classification_metrics(ls.withColumn("prediction", (F.col("score") >= t).cast("int")), "label", "prediction")
+        parts.append(M._one_row_union(wide.select(*EV.METRICS)).withColumn("model_name", F.lit(name)))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    return rounded(M.comparison_table(long, EV.METRICS))
 
 
 @query("m23_ablation")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from veritab.catalog.base import (LI_KEY, LI_NUMERIC, SCORE_B, SCORE_W, SQL_LI_SCORED, SQL_LI_SIDES,
                                   li_scored, lineitem_sides, query, rounded, sql_round, sql_union, tbl)
+from veritab.operators.models import importance_summary
 from veritab.operators import evaluate as EV
 from veritab.operators import features as FE
 from veritab.operators import runs as RU
@@ -117,6 +118,20 @@ def j02(spark, sf):
     return rounded(EV.combine_importance(coef, perm))
 
 
+@query("m25_linear_importance_summary",
+       f"WITH {_perm_sql()}, co AS (SELECT * FROM (VALUES " + ", ".join(f"('{f}', {w}, {i})" for i, (f, w) in enumerate(SCORE_W))
+       + ") v(feature, coefficient, i)), "
+       f"cc AS (SELECT 'coefficient' AS kind, feature, {R6('ABS(coefficient)')} AS score FROM co ORDER BY ABS(coefficient) DESC, feature LIMIT 2), "
+       f"pp AS (SELECT 'permutation' AS kind, 'f' || i AS feature, {R6('importance_mean')} AS score FROM pi JOIN co ON pi.feature = co.feature "
+       "ORDER BY importance_mean DESC, i LIMIT 2) SELECT * FROM cc UNION ALL SELECT * FROM pp")
+def m25l(spark, sf):
+    perm = EV.linear_permutation_importance(li_scored(spark, sf), dict(SCORE_W), SCORE_B, "label", LI_KEY, _PERM_REPEATS, 42)
+    coef = spark.createDataFrame([(f, float(w), abs(float(w)), i) for i, (f, w) in enumerate(SCORE_W)],
+                                 "feature string, coefficient double, abs_coefficient double, feature_index int")
+    perm = perm.join(coef.select("feature", "feature_index"), "feature")
+    return rounded(importance_summary(coef.drop("feature_index"), perm, 2))
+
+
 @query("j04_permutation_pairs",
        f"WITH {_perm_sql()} SELECT own.feature, own.repeat AS repeat, COUNT(*) AS n, "
        f"{R6('SUM(permuted)', 4)} AS permuted_sum, {R6('SUM(xv)', 4)} AS original_sum, "

@@ -344,6 +344,16 @@ def ablation(df: DataFrame, array_col: str, indices: Sequence[int], make,
         rows, "feature_index int, recall_drop double, f1_drop double, accuracy_drop double")
 
 
+# ---------------- M22 comparison ----------------
+def comparison_table(long: DataFrame, metrics: Sequence[str], by: str = "recall") -> DataFrame:
+    """One row per model from ``(model_name, metric, value)`` rows, the best by ``by`` (ties:
+    the first name) flagged."""
+    wide = long.groupBy("model_name").pivot("metric", list(metrics)).agg(F.first("value"))
+    best = wide.orderBy(F.desc(by), "model_name").limit(1).select(F.col("model_name").alias("_best"))
+    return wide.join(F.broadcast(best), F.col("model_name") == F.col("_best"), "left") \
+        .withColumn("best", F.col("_best").isNotNull()).drop("_best")
+
+
 # ---------------- M25 summary ----------------
 def importance_summary(coef: DataFrame, perm: DataFrame, k: int = 5) -> DataFrame:
     """Top ``k`` by |coefficient| and by permutation importance (J2 join on feature)."""
