@@ -30,11 +30,23 @@ from pyspark.sql import functions as F
 from .shared import Scratch, table
 
 #: Tokens of a sequence, id that ends a document, pieces packed by one task, words remembered.
-CAPACITY, END_ID, GROUP, REMEMBERED = 4096, 1, 50_000, 500_000
+CAPACITY, END_ID, GROUP, REMEMBERED = 4096, 1, 50_000, 600_000
+#: Bytes of short texts and words of a text that are handled at once.
+TOGETHER, WORDS = 1 << 18, 1 << 17
 
 
 #: Punctuation (without apostrophes) that ends a word after a letter is a token run of its own.
-_ENDING = re.compile(rb"(?<=[a-z])([!-&(-/:-@\[-`{-~]+)(?=\s|\Z)")
+_ENDING = re.compile(rb"(.*[a-z])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+#: Letters that no rule before the model changes but by lower-casing.
+_LETTERS = re.compile("[a-zß-öø-ÿÀ-ÖØ-Þ]+")
+
+
+def _byte_signs() -> dict[int, str]:
+    """The printable sign that stands for each byte in a byte-level vocabulary: its own where it
+    has one in Latin-1, else the next free one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class WordIds:
@@ -43,53 +55,111 @@ class WordIds:
     def __init__(self, tokenizer_path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.remembered = Tokenizer.from_file(tokenizer_path), remembered
+        self.tokenizer, self.remembered, self.signs = Tokenizer.from_file(tokenizer_path), remembered, _byte_signs()
         self._clear()
 
     def _clear(self) -> None:
         self.code: dict[bytes, int] = {}
+        self.tails: dict[bytes, list[int]] = {}
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
         self.first = np.zeros(1 << 16, dtype=np.int64)
         self.length = np.zeros(1 << 16, dtype=np.int64)
 
+    def _letters(self, word: bytes) -> list[int] | None:
+        """Ids of a word of letters that no rule before the model changes but by lower-casing."""
+        if not word.isalpha():  # of bytes: a-z, as A-Z are lower-cased
+            text = word.decode()
+            if not _LETTERS.fullmatch(text):
+                return None
+            word = "".join(map(self.signs.__getitem__, text.lower().encode())).encode()
+        return [t.id for t in self.tokenizer.model.tokenize(word.decode())]
+
+    def _known(self, word: bytes) -> list[int] | None:
+        at = self.code.get(word)
+        if at is None:
+            return None
+        return self.ids[self.first[at]:self.first[at] + self.length[at]].tolist()
+
+    def _ids_of(self, words: list[bytes]) -> list[list[int]]:
+        out: list[list[int] | None] = []
+        rest = []
+        for w in words:
+            ids = self._letters(w)
+            if ids is None and (cut := _ENDING.fullmatch(w)):
+                body, tail = cut.groups()
+                ids = self._known(body) or self._letters(body)
+                if ids is not None:
+                    if tail not in self.tails:
+                        self.tails[tail] = self.tokenizer.encode(tail.decode(), add_special_tokens=False).ids
+                    ids = ids + self.tails[tail]
+            out.append(ids)
+            if ids is None:
+                rest.append(w.decode())
+        found = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False))
+        return [next(found).ids if x is None else x for x in out]
+
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.code) + len(words) > self.remembered:
-            self._clear()
-        new = [w for w in words if w not in self.code]
-        rest = [w for w in new if not w.isalpha()]  # of bytes: a-z only here, which no rule before the model changes
-        whole = dict(zip(rest, self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False), strict=True))
-        model = self.tokenizer.model
-        for word in new:
-            ids, code = whole[word].ids if word in whole else [t.id for t in model.tokenize(word.decode())], len(self.code)
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            if code == len(self.first):
-                self.first, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.length))
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.first[code], self.length[code] = self.used, len(ids)
-            self.used += len(ids)
-            self.code[word] = code
-
-    def encode(self, text: bytes) -> np.ndarray:
-        if b"<|" in text:  # may hold a special token, which is found before letters are lower-cased
-            found = self.tokenizer.encode(text.decode(), add_special_tokens=False)
-            return np.array(found.ids, dtype=np.uint32)
-        out, words = [], _ENDING.sub(rb" \1", text.lower()).split()
-        for at in range(0, len(words), 1 << 16):
-            part = words[at:at + (1 << 16)]
-            get = self.code.get
-            codes = [get(w, -1) for w in part]
-            if -1 in codes:
-                self._learn(list(dict.fromkeys(w for w, c in zip(part, codes, strict=True) if c < 0)))
-                if any(w not in self.code for w in part):  # the table was emptied
-                    self._learn(list(dict.fromkeys(part)))
-                codes = [self.code[w] for w in part]
-            code = np.array(codes, dtype=np.int64)
-            length = self.length[code]
-            ends = np.cumsum(length)
-            out.append(self.ids[np.repeat(self.first[code] - ends + length, length) + np.arange(ends[-1])])
-        return np.concatenate(out) if out else np.zeros(0, np.uint32)
+        """Adds new, different words."""
+        found = self._ids_of(words)
+        lengths = np.array([len(x) for x in found], dtype=np.int64)
+        flat = np.array([i for x in found for i in x], dtype=np.uint32)
+        code = len(self.code)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while code + len(words) > len(self.first):
+            self.first, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.length))
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.first[code:code + len(words)] = self.used + np.cumsum(lengths) - lengths
+        self.length[code:code + len(words)] = lengths
+        self.used += len(flat)
+        self.code.update(zip(words, range(code, code + len(words)), strict=True))
+
+    def _codes(self, words: list[bytes]) -> np.ndarray:
+        get = self.code.get
+        codes = [get(w, -1) for w in words]
+        if -1 in codes:
+            new = list(dict.fromkeys(w for w, c in zip(words, codes, strict=True) if c < 0))
+            if len(self.code) + len(new) > self.remembered:
+                self._clear()
+                codes, new = [-1] * len(words), list(dict.fromkeys(words))
+            self._learn(new)
+            get = self.code.__getitem__
+            codes = [get(w) if c < 0 else c for w, c in zip(words, codes, strict=True)]
+        return np.array(codes, dtype=np.int64)
+
+    def _words_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids before each word and in all)."""
+        code = self._codes(words)
+        length = self.length[code]
+        ends = np.r_[0, np.cumsum(length)]
+        return self.ids[np.repeat(self.first[code] - ends[:-1], length) + np.arange(ends[-1])], ends
+
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids of every text, in order; texts are handled about ``TOGETHER`` bytes at once."""
+        at = 0
+        while at < len(texts):
+            to, held = at, 0
+            while to < len(texts) and (to == at or held + len(texts[to]) <= TOGETHER):
+                held += len(texts[to])
+                to += 1
+            words, cuts, special = [], [0], {}
+            for i, text in enumerate(texts[at:to]):
+                if b"<|" in text:  # may hold a special token, which is found before letters are lower-cased
+                    special[i] = np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, dtype=np.uint32)
+                else:
+                    words += text.lower().split()
+                cuts.append(len(words))
+            parts = [self._words_ids(words[k:k + WORDS]) for k in range(0, len(words), WORDS)]
+            ids = np.concatenate([x for x, _ in parts]) if parts else np.zeros(0, np.uint32)
+            base, before = 0, [np.zeros(1, np.int64)]
+            for x, ends in parts:
+                before.append(ends[1:] + base)
+                base += len(x)
+            place = np.concatenate(before)[cuts]
+            for i in range(to - at):
+                yield special[i] if i in special else ids[place[i]:place[i + 1]]
+            at = to
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -103,9 +173,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
             rows: list[tuple] = []
-            for i, value in enumerate(batch.column("text")):
-                buffer = value.as_buffer() if value.is_valid else None
-                ids = np.append(words.encode(buffer.to_pybytes() if buffer else b""), np.uint32(end_id)).astype("<u4")
+            texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
+            for i, found in enumerate(words.encode(texts)):
+                ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 for p, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
                     rows.append((doc_ids[i], p, start, len(part), zlib.crc32(part.tobytes())))
