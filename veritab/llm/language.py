@@ -30,6 +30,8 @@ from .shared import table
 TRAIN_BYTES, SAMPLE_DOCS, HIDDEN, STEPS, BATCH, RATE, SEED = 400_000, 400, 16, 500, 256, 0.02, 7
 #: Longest sequence in bytes (a longer word is cut into more), sequences remembered by a task.
 LONGEST, REMEMBERED = 24, 400_000
+#: Sequences looked up at once.
+TOGETHER = 1 << 15
 
 _END = re.compile(rb"(?<=[a-z\x80-\xff])[!-&(-/:-@\[-`{-~]+(?=\s|\Z)")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -163,9 +165,8 @@ class Scorer:
         self.positions = np.zeros(1 << 12)
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.code) + len(words) > REMEMBERED:
-            self._clear()
-        new = sorted((w for w in words if w not in self.code), key=len)
+        """Runs new, different words through the network."""
+        new = sorted(words, key=len)
         while len(self.code) + len(new) > len(self.positions):
             self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
             self.positions = np.concatenate([self.positions, np.zeros_like(self.positions)])
@@ -177,24 +178,45 @@ class Scorer:
             self.positions[codes] = lengths
             self.code.update(zip(part, codes.tolist(), strict=True))
 
-    def pooled(self, text: bytes) -> np.ndarray:
-        """Language probabilities of a document: the normalised mean of all positions."""
-        total, positions, words = 0.0, 0.0, sequences(text)
-        for at in range(0, len(words), 1 << 16):
-            part = words[at:at + (1 << 16)]
-            codes = [self.code.get(w, -1) for w in part]
-            if -1 in codes:
-                self._learn(list(dict.fromkeys(w for w, c in zip(part, codes, strict=True) if c < 0)))
-                if any(w not in self.code for w in part):  # the table was emptied
-                    self._learn(list(dict.fromkeys(part)))
-                codes = [self.code[w] for w in part]
-            total = total + self.sums[codes].sum(axis=0)
-            positions += self.positions[codes].sum()
-        if not positions:
-            return np.full(len(self.model.languages), 1 / len(self.model.languages))
-        mean = total / positions
-        prob = np.exp(mean - mean.max())
-        return prob / prob.sum()
+    def _codes(self, words: list[bytes]) -> np.ndarray:
+        get = self.code.get
+        codes = [get(w, -1) for w in words]
+        if -1 in codes:
+            new = list(dict.fromkeys(w for w, c in zip(words, codes, strict=True) if c < 0))
+            if len(self.code) + len(new) > REMEMBERED:
+                self._clear()
+                codes, new = [-1] * len(words), list(dict.fromkeys(words))
+            self._learn(new)
+            get = self.code.__getitem__
+            codes = [get(w) if c < 0 else c for w, c in zip(words, codes, strict=True)]
+        return np.array(codes, dtype=np.int64)
+
+    def pooled(self, texts: list[bytes]) -> np.ndarray:
+        """Language probabilities of every text: the normalised mean of all its positions."""
+        many = len(self.model.languages)
+        total, positions = np.zeros((len(texts), many)), np.zeros(len(texts))
+        words: list[bytes] = []
+        owner: list[int] = []
+        for i, text in enumerate(texts):
+            own = sequences(text)
+            for at in range(0, len(own), TOGETHER):
+                part = own[at:at + TOGETHER]
+                words += part
+                owner += [i] * len(part)
+                if len(words) >= TOGETHER:
+                    self._add(words, owner, total, positions)
+                    words, owner = [], []
+        if words:
+            self._add(words, owner, total, positions)
+        mean = total / np.maximum(positions, 1)[:, None]
+        prob = np.exp(mean - mean.max(axis=1, keepdims=True))
+        return prob / prob.sum(axis=1, keepdims=True)
+
+    def _add(self, words: list[bytes], owner: list[int], total: np.ndarray, positions: np.ndarray) -> None:
+        codes, rows = self._codes(words), np.array(owner)
+        first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+        total[rows[first]] += np.add.reduceat(self.sums[codes], first, axis=0)
+        positions[rows[first]] += np.add.reduceat(self.positions[codes], first)
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
@@ -243,16 +265,13 @@ def label_languages(docs: DataFrame, model: ByteGru | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model) if model else None
         for batch in batches:
-            names, scores = [], []
-            for value in batch.column("text"):
-                text = value.as_py()
-                if scorer is None or not text or not _LETTER.search(text):
-                    names.append("und")
-                    scores.append(0.0)
-                    continue
-                prob = scorer.pooled(text.encode("utf-8", "surrogatepass"))
-                names.append(model.languages[int(prob.argmax())])
-                scores.append(float(prob.max()))
+            texts = batch.column("text").to_pylist()
+            known = [i for i, x in enumerate(texts) if model and x and _LETTER.search(x)]
+            names, scores = ["und"] * len(texts), [0.0] * len(texts)
+            if known:
+                prob = scorer.pooled([texts[i].encode("utf-8", "surrogatepass") for i in known])
+                for i, best, score in zip(known, prob.argmax(axis=1), prob.max(axis=1), strict=True):
+                    names[i], scores[i] = model.languages[int(best)], float(score)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              ["doc_id", "lang_pred", "score"])
 
