@@ -1,5 +1,7 @@
 """Streaming queries T1-T5: each runs a file stream to completion (availableNow) and returns
-the sink; the SQL twin is the batch computation of the same windows."""
+the sink; the SQL twin is the batch computation of the same windows. Windows are appended once the
+watermark has passed their end, so the twins take the windows that end at or before the latest event time
+less the watermark's delay."""
 
 from __future__ import annotations
 
@@ -31,11 +33,12 @@ _T1_NULLS = " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in _EV_COLS if c !=
        f"{R6(f'GREATEST(0.0, 100.0 - SUM({_T1_NULLS}) * 100.0 / (COUNT(*) * 5))')} AS quality_score, "
        f"CASE WHEN GREATEST(0.0, 100.0 - SUM({_T1_NULLS}) * 100.0 / (COUNT(*) * 5)) >= 90 THEN 'good' "
        f"WHEN GREATEST(0.0, 100.0 - SUM({_T1_NULLS}) * 100.0 / (COUNT(*) * 5)) >= 70 THEN 'warning' ELSE 'critical' END AS status, "
-       f"{R6('AVG(value)')} AS mean_value, {R6('STDDEV_SAMP(value)')} AS std_value FROM e GROUP BY ws")
+       f"{R6('AVG(value)')} AS mean_value, {R6('STDDEV_SAMP(value)')} AS std_value FROM e GROUP BY ws "
+       "HAVING ws + INTERVAL '1 day' <= (SELECT MAX(ts) - INTERVAL '1 day' FROM events)")
 def t01(spark, sf):
     w = S.window_quality(_events_stream(spark, sf), "ts", "1 day", "1 day",
                          columns=[c for c in _EV_COLS if c != "ts"], value="value")
-    return rounded(S.run_available_now(w, "t01", mode="complete"))
+    return rounded(S.run_available_now(w, "t01"))
 
 
 _REF_END = "2024-01-08"
@@ -49,11 +52,12 @@ _REF_END = "2024-01-08"
        "SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(ws + INTERVAL '7 days', '%Y-%m-%d %H:%M:%S') AS window_end, "
        f"w.event_type, n, {R6('cv')} AS cv, {R6('ref_cv')} AS ref_cv, "
        f"{R6('CASE WHEN n > 1 AND ref_n > 1 THEN LEAST(1.0, COALESCE(ABS(cv - ref_cv) / GREATEST(ref_cv, 0.001), 0.0)) ELSE 0.0 END')} AS drift_score "
-       "FROM w JOIN r ON w.event_type = r.event_type")
+       "FROM w JOIN r ON w.event_type = r.event_type "
+       "WHERE ws + INTERVAL '7 days' <= (SELECT MAX(ts) - INTERVAL '7 days' FROM events)")
 def t02(spark, sf):
     ref = tbl(spark, sf, "events").where(F.col("ts") < F.lit(_REF_END).cast("timestamp_ntz"))
     w = S.window_cv_drift(_events_stream(spark, sf), ref, "ts", "value", ["event_type"], "7 days", "7 days")
-    return rounded(S.run_available_now(w, "t02", mode="complete"))
+    return rounded(S.run_available_now(w, "t02"))
 
 
 def _scored_stream(spark, sf):
@@ -82,10 +86,11 @@ _T3_SQL = (f"WITH {SQL_LI_SCORED}, w AS (SELECT time_bucket(INTERVAL '1 day', l_
 @query("t03_stream_window_performance",
        f"{_T3_SQL} SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, "
        "strftime(ws + INTERVAL '1 day', '%Y-%m-%d %H:%M:%S') AS window_end, tp, fp, fn, tn, "
-       f"{R6('accuracy')} AS accuracy, {R6('precision')} AS precision, {R6('recall')} AS recall, {R6('f1')} AS f1 FROM mf")
+       f"{R6('accuracy')} AS accuracy, {R6('precision')} AS precision, {R6('recall')} AS recall, {R6('f1')} AS f1 FROM mf "
+       "WHERE ws + INTERVAL '1 day' <= (SELECT MAX(l_shipdate) - INTERVAL '1 day' FROM lineitem)")
 def t03(spark, sf):
     w = S.window_performance(_scored_stream(spark, sf), "l_shipdate", "label", "prediction", "1 day", "1 day")
-    return rounded(S.run_available_now(w, "t03", mode="complete"))
+    return rounded(S.run_available_now(w, "t03"))
 
 
 @query("t04_stream_scoring_log")
