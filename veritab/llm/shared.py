@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,19 +16,28 @@ class Scratch:
     """Intermediate tables of one run, as Parquet in the folder of ``spark.checkpoint.dir``.
 
     A written table cuts lineage and survives lost executors. ``drop`` removes tables that no
-    later frame reads."""
+    later frame reads; the rest goes when the driver ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+        atexit.register(self.drop, "")
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> None:
+        """Lets Spark's cleaner delete the shuffle files behind written tables: it does so when the
+        driver has collected the frames that made them."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         sc = self.spark.sparkContext
+        if sc._jsc is None or sc._jsc.sc().isStopped():
+            return  # the run has ended
         for name in names:
             path = sc._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

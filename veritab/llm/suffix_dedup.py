@@ -4,20 +4,20 @@ construction of a multi-string Burrows-Wheeler transform.
 A transform of the whole collection needs as many passes over all of it as the longest text has
 symbols. So the collection is first cut, without loss, into small ones:
 
-1. Anchors. In every 400-byte string the 32-byte gram of smallest hash (leftmost on ties) is an
+1. Anchors. In every 400-byte string the 200-byte gram of smallest hash (leftmost on ties) is an
    anchor; equal strings have equal anchors at equal places. Only grams at two places or more
    matter. The segment of an anchor holds every 400-byte string with that gram in it: the bytes
-   from 368 before its start to 400 after it.
+   from 200 before its start to 400 after it.
 2. Equal segments are one string with a count; a string that occurs twice is repeated as a whole.
-3. The different segments of one gram form a collection. Its strings are read in symbols of 50
-   bytes, at all 50 phases, each tagged with its gram and its place from the gram, so only strings
+3. The different segments of one gram form a collection. Its strings are read in symbols of 100
+   bytes, at all 100 phases, each tagged with its gram and its place from the gram, so only strings
    at the same place can match and a text does not match itself. Round j inserts the j-th symbol
    from the right of every string at once: the transform gives the new suffixes' ranks, it and the
-   common prefixes are then rewritten in one sequential pass. A suffix that shares 8 symbols with
+   common prefixes are then rewritten in one sequential pass. A suffix that shares 4 symbols with
    a neighbour starts a repeated 400-byte string.
-4. A gram with more than ``CROWD`` different segments (a passage that many documents share, at
-   its edges) is split by the hash of each of its 400-byte strings instead, in packed arrays; so
-   no collection, task or group grows with the number of copies.
+4. A gram with more than ``CROWD`` different segments (a passage that very many documents share,
+   at its edges) is split by the hash of each of its 400-byte strings instead, in packed arrays;
+   so no collection, task or group grows with the number of copies.
 
 The sequential files of the published method are arrays here: a collection is bounded, and
 executors share no local folder. Texts are read whole, in pieces of bounded size. Grams, symbols,
@@ -42,9 +42,9 @@ from .words import _tables as _hash_tables
 from .words import mix
 
 #: Length of a repeated string, gram and symbol in bytes (the last divides the first).
-LENGTH, GRAM, SYMBOL = 400, 32, 50
+LENGTH, GRAM, SYMBOL = 400, 200, 100
 #: Different segments of one gram up to which they form a collection; segments per collection.
-CROWD, COLLECTION = 2_000, 1_000
+CROWD, COLLECTION = 20_000, 1_000
 #: Bytes read at once; pieces overlap by LENGTH - 1.
 READ = 1 << 19
 
@@ -95,30 +95,30 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def insert_columns(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Transform and common prefixes of a collection, one symbol per string and round.
 
-    ``symbols``: string x column, right-aligned numbers >= 0. Returns per suffix in sorted
-    order its string, its first column and the common prefix with the suffix before it. The empty
-    suffixes, one per string, come first."""
-    count, wide = symbols.shape
-    string, column = np.arange(count, dtype=np.int32), np.full(count, wide, dtype=np.int32)
+    ``symbols``: string x column, numbers >= 0 in the first ``lengths`` columns. Returns per suffix
+    in sorted order its string, its first column and the common prefix with the suffix before it.
+    The empty suffixes, one per string, come first."""
+    count = len(lengths)
+    string, column = np.arange(count, dtype=np.int32), lengths.astype(np.int32)
     prefix = np.zeros(count, dtype=np.int32)
-    transform = np.where(lengths > 0, symbols[:, -1], -1).astype(np.int64)
+    transform = symbols[np.arange(count), np.maximum(lengths - 1, 0)].astype(np.int64)
+    transform[lengths == 0] = -1
     rank = np.arange(count)
-    for j in range(1, wide + 1):
+    for j in range(1, int(lengths.max(initial=0)) + 1):
         active = np.flatnonzero(lengths >= j)
-        if not len(active):
-            break
         # ranks of all suffixes with one symbol more, from the transform
         has = np.flatnonzero(transform >= 0)
-        order = has[np.argsort(transform[has], kind="stable")]
+        order = np.sort((transform[has] << 32) | has) & 0xFFFFFFFF
         rank_of = np.empty(len(transform), dtype=np.int64)
         rank_of[order] = count + np.arange(len(order))
         place = rank_of[rank[active]]
         size = count + len(order)
-        fresh = np.zeros(size, dtype=bool)
-        fresh[place] = True
+        old = np.ones(size, dtype=bool)
+        old[place] = False
         # common prefixes of the new suffixes and of those that now follow one
-        touched = np.unique(np.concatenate([place, np.minimum(place + 1, size - 1)]))
-        touched = touched[touched > count] - count
+        touched = np.zeros(size + 1, dtype=bool)
+        touched[place] = touched[place + 1] = True
+        touched = np.flatnonzero(touched[count + 1:size]) + 1
         a, b = order[touched - 1], order[touched]
         same = transform[a] == transform[b]
         value = np.zeros(len(touched), dtype=np.int32)
@@ -126,57 +126,110 @@ def insert_columns(symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray
             spans = np.stack([a[same] + 1, b[same] + 1], axis=1).ravel()
             value[same] = 1 + np.minimum.reduceat(np.append(prefix, 0), spans)[::2]
 
-        def spread(old: np.ndarray, new: np.ndarray, fresh: np.ndarray = fresh, place: np.ndarray = place) -> np.ndarray:
-            out = np.empty(len(fresh), dtype=old.dtype)
-            out[~fresh] = old
+        def spread(before: np.ndarray, new: np.ndarray | int, old: np.ndarray = old, place: np.ndarray = place) -> np.ndarray:
+            out = np.empty(len(old), dtype=before.dtype)
+            out[old] = before
             out[place] = new
             return out
 
-        prefix = spread(prefix, np.zeros(len(active), np.int32))
+        prefix = spread(prefix, 0)
         prefix[touched + count] = value
-        string = spread(string, active.astype(np.int32))
-        column = spread(column, np.full(len(active), wide - j, np.int32))
-        following = np.where(lengths[active] > j, symbols[active, max(wide - j - 1, 0)], -1)
+        string = spread(string, active)
+        column = spread(column, lengths[active] - j)
+        following = symbols[active, np.maximum(lengths[active] - j - 1, 0)].astype(np.int64)
+        following[lengths[active] == j] = -1
         transform = spread(transform, following)
         rank[active] = place
     return string, column, prefix
 
 
-def _tagged(hashes: np.ndarray, gram: int, first: int) -> np.ndarray:
-    """Symbols that differ unless gram, place and bytes agree."""
-    places = (np.arange(len(hashes), dtype=np.int64) + first).view(np.uint64)
-    return mix(hashes ^ mix(places ^ np.uint64(gram & (1 << 64) - 1)))
-
-
-def repeated_starts(segments: list[np.ndarray], before: list[int], grams: list[int]) -> list[np.ndarray]:
+def _tagged(hashes: np.ndarray, gram: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Symbols that differ unless gram, place from the gram and bytes agree."""
+    return mix(hashes ^ mix(place.astype(np.int64).view(np.uint64) ^ gram.astype(np.int64).view(np.uint64)))
+
+
+def _symbols_of(segments: list[bytes], before: np.ndarray, grams: np.ndarray, size: int,
+                phases: tuple[int, int] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(tagged hash of every run of ``size`` bytes, its segment, its offset), of all phases or a
+    range of them."""
+    out: list[tuple] = []
+    together = 1_000  # segments hashed in one buffer, which must not be longer than a piece
+    for at in range(0, len(segments), together):
+        part = segments[at:at + together]
+        ends = np.cumsum([len(x) for x in part])
+        starts = np.r_[0, ends[:-1]]
+        own = np.arange(at, at + len(part))
+        many = np.maximum(ends - starts - size + 1, 0)
+        if not many.any():
+            continue
+        owner = np.repeat(own, many)
+        offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        if phases is not None:
+            take = (offset % SYMBOL >= phases[0]) & (offset % SYMBOL < phases[1])
+            owner, offset = owner[take], offset[take]
+        found = rolling(np.frombuffer(b"".join(part), np.uint8), size)[starts[owner - at] + offset]
+        out.append((_tagged(found, grams[owner], offset - before[owner]), owner, offset))
+    if not out:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))  # type: ignore[return-value]
+
+
+def _numbered(value: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each value, occurrences by number); values of one block have neighbouring
+    numbers, so suffixes to compare lie near each other."""
+    # 22 bits for the block (at most COLLECTION / 2 + 1 grams of 3 * LENGTH places), the rest of the value
+    order = np.argsort((block.astype(np.uint64) << np.uint64(42)) | (value >> np.uint64(22)))
+    new = np.ones(len(value), dtype=bool)
+    new[1:] = value[order][1:] != value[order][:-1]
+    number = np.empty(len(value), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, np.bincount(number)
+
+
+def repeated_starts(segments: list[bytes], before: list[int], grams: list[int]) -> list[np.ndarray]:
     """Offsets in each segment of the 400-byte strings that another segment of its gram has at the
-    same place. ``before``: bytes before the gram."""
-    per = LENGTH // SYMBOL
-    runs = [_tagged(rolling(s, SYMBOL), g, -b) if len(s) >= LENGTH else np.zeros(0, np.uint64)
-            for s, b, g in zip(segments, before, grams, strict=True)]
-    if not sum(map(len, runs)):
-        return [np.zeros(0, np.int64) for _ in segments]
-    _, number = np.unique(np.concatenate(runs), return_inverse=True)
-    edges = np.cumsum([0, *map(len, runs)])
-    wide = max(-(-len(r) // SYMBOL) for r in runs)
-    symbols = np.full((len(runs) * SYMBOL, wide), -1, dtype=np.int64)
-    lengths = np.zeros(len(runs) * SYMBOL, dtype=np.int64)
-    for i in range(len(runs)):
-        own = number[edges[i]:edges[i + 1]]
-        for phase in range(min(SYMBOL, len(own))):
-            line = own[phase::SYMBOL]
-            symbols[i * SYMBOL + phase, wide - len(line):] = line
-            lengths[i * SYMBOL + phase] = len(line)
-    string, column, prefix = insert_columns(symbols, lengths)
-    near = prefix >= per
-    near[:-1] |= prefix[1:] >= per
-    string, column = string[near], column[near]
-    start = (column - (wide - lengths[string])) * SYMBOL + string % SYMBOL
-    owner = string // SYMBOL
+    same place. ``before``: bytes before the gram.
+
+    Strings of different phases never match, so a large collection is built phase by phase, in
+    memory that depends on ``COLLECTION`` alone."""
+    rounds = min(SYMBOL, -(-len(segments) // (2 * COLLECTION)))
+    cuts = [SYMBOL * i // rounds for i in range(rounds + 1)]
+    found = [_repeated_in(segments, np.array(before), np.array(grams, dtype=np.int64), cuts[i:i + 2]) for i in range(rounds)]
+    owner, start = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((start, owner))
     owner, start = owner[order], start[order]
-    cuts = np.searchsorted(owner, np.arange(len(runs) + 1))
-    return [start[cuts[i]:cuts[i + 1]].astype(np.int64) for i in range(len(runs))]
+    edges = np.searchsorted(owner, np.arange(len(segments) + 1))
+    return [start[edges[i]:edges[i + 1]] for i in range(len(segments))]
+
+
+def _repeated_in(segments: list[bytes], before: np.ndarray, grams: np.ndarray, phases: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(segment, offset) of every repeated string of these phases.
+
+    A symbol that occurs once can be in no match, so strings without ``LENGTH / SYMBOL`` other
+    symbols in a row are left out."""
+    per, none = LENGTH // SYMBOL, (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    value, owner, offset = _symbols_of(segments, before, grams, SYMBOL, (phases[0], phases[1]))
+    if not len(value):
+        return none
+    number, often = _numbered(value, np.unique(grams, return_inverse=True)[1][owner] * (3 * LENGTH) + offset - before[owner] + LENGTH)
+    wide, many = int(offset.max()) // SYMBOL + 1, phases[1] - phases[0]
+    row, col = owner * many + offset % SYMBOL - phases[0], offset // SYMBOL
+    symbols = np.full((len(segments) * many, wide), -1, dtype=np.int32)
+    symbols[row, col] = number
+    several = np.zeros(symbols.shape, dtype=bool)
+    several[row, col] = often[number] > 1
+    possible = np.zeros(len(symbols), dtype=bool)
+    for c in range(wide - per + 1):
+        possible |= several[:, c:c + per].all(axis=1)
+    kept = np.flatnonzero(possible)
+    if not len(kept):
+        return none
+    symbols = symbols[kept]
+    string, column, prefix = insert_columns(symbols, (symbols >= 0).sum(axis=1))
+    near = prefix >= per
+    near[:-1] |= prefix[1:] >= per
+    string = kept[string[near]]
+    return string // many, column[near].astype(np.int64) * SYMBOL + string % many + phases[0]
 
 
 def _runs(starts: np.ndarray) -> bytes:
@@ -211,9 +264,10 @@ def _anchor_rows(texts: DataFrame) -> DataFrame:
 
 
 def _segment_rows(wanted: DataFrame) -> DataFrame:
-    """(gram, segment hash, key, first byte, bytes before the gram, body): body only once per task."""
-    names = ["gram", "segment", "key", "first", "before", "body"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    """(gram, segment hash, key, first byte, bytes before the gram, size, body): body only once per
+    task."""
+    names = ["gram", "segment", "key", "first", "before", "size", "body"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -230,7 +284,7 @@ def _segment_rows(wanted: DataFrame) -> DataFrame:
                     body = data[first:place + LENGTH]
                     digest = hashlib.blake2b(body + gram.to_bytes(8, "little", signed=True) + (place - first).to_bytes(4, "little"), digest_size=8)
                     segment = int.from_bytes(digest.digest(), "little", signed=True)
-                    rows.append((gram, segment, key, first, place - first, None if segment in sent else body))
+                    rows.append((gram, segment, key, first, place - first, len(body), None if segment in sent else body))
                     sent.add(segment)
                 if len(rows) > 4_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
@@ -239,32 +293,46 @@ def _segment_rows(wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     return (wanted.select("key", "text", "places", "grams")
-            .mapInArrow(run, "gram long, segment long, key long, first long, before int, body binary"))
+            .mapInArrow(run, "gram long, segment long, key long, first long, before int, size int, body binary"))
 
 
-def _by_collections(strings: DataFrame) -> DataFrame:
-    """(segment, spans): repeated spans of the segments of grams that are not crowded."""
+def _by_collections(bodies: DataFrame) -> DataFrame:
+    """(segment, spans, crowded): repeated spans of the segments of every gram, or the gram alone
+    if it has more than CROWD different segments."""
+    names, kinds = ["segment", "spans", "crowded"], [pa.int64(), pa.binary(), pa.int64()]
 
-    def solve(held: list[tuple]) -> pa.RecordBatch:
-        found = repeated_starts([np.frombuffer(b, np.uint8) for _, _, _, b in held], [x[2] for x in held], [x[0] for x in held])
-        rows = [(x[1], _runs(s)) for x, s in zip(held, found, strict=True) if len(s)]
-        cols = list(zip(*rows, strict=True)) or [(), ()]
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary())], ["segment", "spans"])
+    def solve(held: list[tuple], crowded: list[int]) -> pa.RecordBatch:
+        found = repeated_starts([x[3] for x in held], [x[2] for x in held], [x[0] for x in held]) if held else []
+        rows = [(x[1], _runs(s), None) for x, s in zip(held, found, strict=True) if len(s)] + [(None, None, g) for g in crowded]
+        cols = list(zip(*rows, strict=True)) or [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # whole grams
+        own: list[tuple] = []  # of the gram being read
+        crowded: list[int] = []
+        gram = None
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "segment", "before", "body")), strict=True):
-                if len(held) >= COLLECTION and held[-1][0] != row[0]:
-                    yield solve(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield solve(held)
+                if row[0] != gram:
+                    if 1 < len(own) <= CROWD:
+                        held += own
+                    gram, own = row[0], []
+                    if len(held) >= COLLECTION:
+                        yield solve(held, crowded)
+                        held, crowded = [], []
+                if len(own) > CROWD or own and own[-1][1] == row[1]:  # crowded, or sent by another task too
+                    continue
+                own.append(row)
+                if len(own) > CROWD:
+                    crowded.append(gram)
+        if 1 < len(own) <= CROWD:
+            held += own
+        yield solve(held, crowded)
 
-    width = 2 * shuffle_width(strings.sparkSession)
-    return (strings.repartition(width, "gram").sortWithinPartitions("gram").select("gram", "segment", "before", "body")
-            .mapInArrow(run, "segment long, spans binary"))
+    width = 2 * shuffle_width(bodies.sparkSession)
+    return (bodies.repartition(width, "gram").sortWithinPartitions("gram", "segment").select("gram", "segment", "before", "body")
+            .mapInArrow(run, "segment long, spans binary, crowded long"))
 
 
 def _by_windows(strings: DataFrame) -> DataFrame:
@@ -274,13 +342,9 @@ def _by_windows(strings: DataFrame) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, owners, starts = [], [], []
-            for gram, segment, before, body in zip(*(batch.column(c).to_pylist() for c in ("gram", "segment", "before", "body")), strict=True):
-                found = _tagged(rolling(np.frombuffer(body, np.uint8), LENGTH), gram, -before)
-                hashes.append(found)
-                owners.append(np.full(len(found), segment, np.int64))
-                starts.append(np.arange(len(found), dtype=np.int32))
-            value, owner, start = np.concatenate(hashes), np.concatenate(owners), np.concatenate(starts)
+            gram, segment, before, body = (batch.column(c).to_pylist() for c in ("gram", "segment", "before", "body"))
+            value, owner, start = _symbols_of(body, np.array(before), np.array(gram, dtype=np.int64), LENGTH)
+            owner, start = np.array(segment, dtype=np.int64)[owner], start.astype(np.int32)
             block = value >> shift
             order = np.argsort(block, kind="stable")
             edges = np.searchsorted(block[order], np.arange(blocks + 1, dtype=np.uint64))
@@ -293,8 +357,14 @@ def _by_windows(strings: DataFrame) -> DataFrame:
     def count(block: pa.Table) -> pa.Table:
         value, owner, start = (np.frombuffer(b"".join(block.column(c).to_pylist()), k)
                                for c, k in (("hashes", np.uint64), ("owners", np.int64), ("starts", np.int32)))
-        _, inverse, n = np.unique(value, return_inverse=True, return_counts=True)
-        twice = n[inverse] > 1 if len(value) else np.zeros(0, bool)
+        order = np.lexsort((owner, value))
+        value, owner, start = value[order], owner[order], start[order]
+        fresh = np.ones(len(value), dtype=bool)  # a segment that several tasks sent counts once
+        fresh[1:] = (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])
+        value, owner, start = value[fresh], owner[fresh], start[fresh]
+        twice = np.zeros(len(value), dtype=bool)
+        twice[1:] = value[1:] == value[:-1]
+        twice[:-1] |= twice[1:]
         owner, start = owner[twice], start[twice]
         order = np.lexsort((start, owner))
         owner, start = owner[order], start[order]
@@ -303,7 +373,7 @@ def _by_windows(strings: DataFrame) -> DataFrame:
         return pa.table({"segment": pa.array(owner[edges], pa.int64()),
                          "spans": pa.array([_runs(start[a:z].astype(np.int64)) for a, z in zip(edges, ends, strict=True)] if len(owner) else [], pa.binary())})
 
-    packed = (strings.where(F.octet_length("body") >= LENGTH).select("gram", "segment", "before", "body")
+    packed = (strings.select("gram", "segment", "before", "body")
               .mapInArrow(deal, "block int, hashes binary, owners binary, starts binary"))
     return packed.groupBy("block").applyInArrow(count, "segment long, spans binary")
 
@@ -324,22 +394,27 @@ def repeated_spans(scratch: Scratch, texts: DataFrame) -> DataFrame:
               .agg(F.sort_array(F.collect_list(F.struct("place", "gram"))).alias("x"))
               .select("key", F.col("x.place").alias("places"), F.col("x.gram").alias("grams")))
     rows = scratch.save(_segment_rows(texts.where(F.octet_length("text") >= LENGTH).join(wanted, "key")), "segments")
+    scratch.drop("anchors")
+    scratch.release()
+    # a shorter segment holds no string of LENGTH bytes
+    bodies = rows.where(f"octet_length(body) >= {LENGTH}")
+    solved = scratch.save(_by_collections(bodies), "solved")
+    scratch.release()
+    crowded = solved.where("crowded is not null").select(F.col("crowded").alias("gram"))
+    found = solved.where("segment is not null").select("segment", "spans")
+    if not crowded.isEmpty():
+        found = found.union(scratch.save(_by_windows(bodies.join(crowded, "gram", "left_semi")), "windows"))
     spot = F.struct("key", "first")
-    strings = scratch.save(
-        rows.groupBy("segment").agg(F.first("gram").alias("gram"), F.first("before").alias("before"),
-                                    F.max("body").alias("body"), (F.min(spot) != F.max(spot)).alias("twice")), "strings")
-    grams = strings.groupBy("gram").agg(F.count("*").alias("n"), F.max("twice").alias("some")).where("n > 1")
-    several = strings.join(grams.select("gram", "n"), "gram")
-    whole = (strings.where("twice and octet_length(body) >= " + str(LENGTH))
-             .select("segment", F.octet_length("body").alias("z")))
-    found = scratch.save(_by_collections(several.where(f"n <= {CROWD}"))
-                         .union(_by_windows(several.where(f"n > {CROWD}"))), "found")
-    spans = (rows.join(found, "segment").select("key", "first", "spans", F.lit(0).alias("z"))
-             .union(rows.join(whole, "segment").select("key", "first", F.lit(b"").alias("spans"), "z")))
+    whole = (rows.groupBy("segment").agg(F.min(spot).alias("a"), F.max(spot).alias("z"), F.max("size").alias("size"))
+             .where(f"a <> z and size >= {LENGTH}").select("segment", F.col("size").alias("z")))
+    best = (found.select("segment", "spans", F.lit(0).alias("z"))
+            .union(whole.select("segment", F.lit(b"").alias("spans"), "z"))
+            .groupBy("segment").agg(F.collect_list("spans").alias("spans"), F.max("z").alias("z")))
+    spans = rows.join(best, "segment").select("key", "first", "spans", "z")
 
     def shift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            moved = [((np.array([0, z]) if z else np.frombuffer(s, np.int32).astype(np.int64)) + f).tobytes()
+            moved = [((np.array([0, z]) if z else np.frombuffer(b"".join(s), np.int32).astype(np.int64)) + f).tobytes()
                      for f, s, z in zip(*(batch.column(c).to_pylist() for c in ("first", "spans", "z")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(moved, pa.binary())], ["key", "spans"])
 
@@ -388,6 +463,8 @@ def strip_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     counts = keyed.groupBy("key").agg((F.count("*") > 1).alias("many"))
     spans = scratch.save(repeated_spans(scratch, keyed.select("key", "text"))
                          .join(counts.where("not many"), "key", "left_semi"), "spans")
+    scratch.drop("segments", "solved", "windows")
+    scratch.release()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
