@@ -6,8 +6,8 @@ one's docs. All but the last return the columns of documents.
 1. quality: documents that the ranking classifier predicts as bad go.
 2. near_duplicates: of each group of linked documents the one with the smallest doc_id stays
    (of repeated rows one); documents without words link with nothing and stay.
-3. repeats: every character covered by a 400-byte string that occurs elsewhere goes; the document
-   stays, with its new n_chars.
+3. repeats: every character covered by a passage of more than 50 words, or by a 400-byte string,
+   that occurs elsewhere goes; the document stays, with its new n_chars.
 4. decontamination: documents that contain a benchmark item go.
 5. packing: sequences of at most 4096 tokens.
 """
@@ -33,7 +33,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix_dedup.without_repeats(docs)
+    return suffix_dedup.without_repeats(docs, passages=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,16 @@ def test_other_queries_work_without_this_subpackage(tmp_path):
 @pytest.mark.parametrize("name", ["op3_token_counts", "op4_hilbert_sharding", "op9_language_id"])
 def test_queries_return_every_document(spark, sf, name):
     assert queries.queries()[name](spark, sf).count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+
+
+def test_repeats_stage_catches_passages_of_51_words(spark, sf):
+    passage = " ".join(f"w{i:02d}yz"[:4 + i % 2] for i in range(51))
+    assert len(passage.split()) == 51 and len(passage) <= 300
+    others = [" ".join(f"{a}{i}" for i in range(300)) for a in "pqrs"]
+    short = " ".join(passage.split()[:50])
+    rows = [(1, f"{others[0]} {passage} end"), (2, f"start\n{passage}\n{others[1]}"), (3, f"{others[2]} {short} z"), (4, others[3])]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    out = {r.doc_id: r for r in corpus_pipeline.repeats(spark, docs, sf).collect()}
+    assert out[1].text == f"{others[0]}  end" and out[2].text == f"start\n\n{others[1]}"
+    assert out[3].text == rows[2][1] and out[4].text == rows[3][1]
+    assert all(r.n_chars == len(r.text) for r in out.values())

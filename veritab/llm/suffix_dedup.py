@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import Scratch, shuffle_width, table
+from .word_repeats import WORDS, repeated_words
 from .words import _tables as _hash_tables
 from .words import mix
 
@@ -455,15 +456,21 @@ def kept_text(data: bytes, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, data[at:]]).decode()
 
 
-def strip_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def strip_repeats(docs: DataFrame, passages: bool = False) -> tuple[DataFrame, DataFrame]:
     """((key, many) of every text, many: it occurs twice; (key, n_removed, n_spans, kept_sha256,
-    kept text) of the other texts that lose part of themselves)."""
+    kept text) of the other texts that lose part of themselves). ``passages``: those of more than 50
+    words go too, however few bytes they have."""
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
     keyed = with_keys(docs)
     counts = keyed.groupBy("key").agg((F.count("*") > 1).alias("many"))
     spans = scratch.save(repeated_spans(scratch, keyed.select("key", "text"))
                          .join(counts.where("not many"), "key", "left_semi"), "spans")
     scratch.drop("segments", "solved", "windows")
+    if passages:
+        scratch.release()
+        more = repeated_words(scratch, keyed.select("key", "text")).join(counts.where("not many"), "key", "left_semi")
+        spans = scratch.save(spans.union(more).groupBy("key").agg(F.flatten(F.collect_list("pieces")).alias("pieces")), "all-spans")
+        scratch.drop("spans", "word-windows", "word-ends")
     scratch.release()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,16 +488,20 @@ def strip_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return counts, parts
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, passages: bool = False) -> DataFrame:
     """The documents without repeated characters: text and, where it is a column, n_chars are new.
-    Documents of which nothing is left stay, with an empty text."""
-    counts, parts = strip_repeats(docs.select("text"))
+    Documents of which nothing is left stay, with an empty text. ``passages``: passages of more than
+    50 words that occur elsewhere go too."""
+    counts, parts = strip_repeats(docs.select("text"), passages)
     new = (parts.select("key", "kept")
            .union(counts.where("many").select("key", F.lit("")))
            .toDF("suffix_key", "suffix_kept"))
     keyed = docs.withColumn("suffix_key", F.xxhash64(F.coalesce("text", F.lit("")), F.octet_length(F.coalesce("text", F.lit("")))))
     joined = keyed.join(new, "suffix_key", "left")
-    changed = F.col("suffix_kept").isNotNull() & (F.octet_length("text") >= LENGTH)
+    long = F.octet_length("text") >= LENGTH
+    if passages:
+        long = long | (F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) >= WORDS)
+    changed = F.col("suffix_kept").isNotNull() & long
     out = {"text": F.when(changed, F.col("suffix_kept")).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
