@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from veritab.catalog.base import LI_KEY, SQL_LI_SCORED, li_scored, query, rounded, sql_round, sql_union, tbl
@@ -81,36 +82,37 @@ def _lr_fn(spark, sf, df):
 @query("m09_permutation_importance")
 def m09(spark, sf):
     df = _emb(spark, sf)
-    return rounded(M.permutation_importance(_lr_fn(spark, sf, df), df, "embedding", range(4), "vec_id",
-                                            repeats=2, seed=42))
+    return rounded(M.permutation_importance(_lr_fn(spark, sf, df), df, "embedding", range(DIM), "vec_id",
+                                            repeats=10, seed=42))
 
 
 @query("m17_learning_curve")
 def m17(spark, sf):
     df = _emb(spark, sf)
     n = _n(df)
-    return rounded(M.learning_curve(df, lambda: M.logistic(C=1.0, n=n), (0.4, 0.7, 1.0), "vec_id"))
+    return rounded(M.learning_curve(df, lambda: M.logistic(C=1.0, n=n), [i / 10 for i in range(1, 11)], "vec_id"))
 
 
 @query("m18_validation_curve")
 def m18(spark, sf):
     df = _emb(spark, sf)
-    return rounded(M.validation_curve(df, (0.01, 1.0, 100.0), _n(df)))
+    return rounded(M.validation_curve(df, np.logspace(-4, 2, 20).tolist(), _n(df)))
 
 
 @query("m19_grid_search")
 def m19(spark, sf):
     df = _emb(spark, sf)
-    return rounded(M.grid_search(df, {"C": (0.1, 1.0, 10.0), "penalty": ("l1", "l2"),
-                                      "class_weight": ("balanced",)}, _n(df)))
+    return rounded(M.grid_search(df, {"C": (0.001, 0.01, 0.1, 1.0, 10.0, 100.0), "penalty": ("l1", "l2"),
+                                      "solver": ("liblinear", "saga"), "max_iter": (1000, 2000),
+                                      "class_weight": ("balanced", None)}, _n(df)))
 
 
 @query("m20_random_search")
 def m20(spark, sf):
     df = _emb(spark, sf)
-    space = {"C": (0.001, 0.01, 0.1, 1.0, 10.0, 100.0), "penalty": ("l1", "l2", "elasticnet"),
-             "class_weight": ("balanced", None)}
-    return rounded(M.random_search(df, space, 4, _n(df), seed=42))
+    space = {"C": np.logspace(-4, 4, 20).tolist(), "penalty": ("l1", "l2", "elasticnet"), "solver": ("liblinear", "saga"),
+             "max_iter": (1000, 2000, 3000), "class_weight": ("balanced", None), "l1_ratio": (0.1, 0.3, 0.5, 0.7, 0.9)}
+    return rounded(M.random_search(df, space, 50, _n(df), seed=42))
 
 
 @query("m21_evaluate_tuned")
@@ -171,7 +173,9 @@ def m22l(spark, sf):
 def m23(spark, sf):
     df = _emb(spark, sf)
     n = _n(df)
-    return rounded(M.ablation(df, "embedding", (0, 1, 2), lambda: M.logistic(C=1.0, n=n)))
+    coef = M.logistic(C=1.0, n=n).fit(df).coefficients.toArray()
+    top = sorted(range(DIM), key=lambda j: (-abs(coef[j]), j))[:10]
+    return rounded(M.ablation(df, "embedding", top, lambda: M.logistic(C=1.0, n=n)))
 
 
 @query("m25_importance_summary")
@@ -180,7 +184,7 @@ def m25(spark, sf):
     model = M.logistic(C=1.0, n=_n(df)).fit(df)
     coef = M.coefficient_importance(model, [f"f{i}" for i in range(DIM)])
     fn = lambda frame: M.scored(model, M.vectorize(frame.drop("features"), "embedding"))
-    perm = M.permutation_importance(fn, df, "embedding", range(4), "vec_id", repeats=2)
+    perm = M.permutation_importance(fn, df, "embedding", range(DIM), "vec_id", repeats=10)
     return rounded(M.importance_summary(coef, perm))
 
 

@@ -11,10 +11,11 @@ import itertools
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
@@ -56,6 +57,13 @@ def training_part(df: DataFrame) -> DataFrame:
     return balanced_weights(df.drop("weight"), "label", "weight")
 
 
+def _together(work: Callable, items: Sequence, df: DataFrame, parallelism: int = 4) -> list:
+    """``work`` of every item in order; ``parallelism`` of them submit their jobs at once."""
+    tasks = [inheritable_thread_target(df.sparkSession)(lambda x=x: work(x)) for x in items]
+    with ThreadPool(parallelism) as pool:
+        return pool.map(lambda task: task(), tasks, chunksize=1)
+
+
 # ---------------- M1-M4 estimators ----------------
 def logistic(C: float = 1.0, n: int = 1, penalty: str = "l2", l1_ratio: float = 0.5,
              max_iter: int = 1000, weighted: bool = True) -> LogisticRegression:
@@ -199,19 +207,32 @@ def permuted_element(df: DataFrame, array_col: str, index: int, key: str, seed)
                                                .otherwise(v))).drop("_v")
 
 
+def permuted_elements(df: DataFrame, array_col: str, indices: Sequence[int], key: str, seed) -> DataFrame:
+    """``permuted_element`` of every index in one frame: each row once per index ``_j``. The ranks of
+    all indices come from one distributed ranking; the arrays meet their values by key."""
+    from veritab.operators.features import _class_rank
+    a = _class_rank(df.withColumn("_one", F.lit(1)), "_one", [key], seed=f"a{seed}").select(key, F.col("_rank").alias("_r"))
+    values = df.select(key, F.explode(F.array(*[F.struct(F.lit(i).alias("_j"), F.element_at(F.col(array_col), i + 1).alias("_v"))
+                                                for i in indices])).alias("_x")).select(key, "_x.*")
+    b = _class_rank(values, "_j", [key, "_j"], seed=seed).select(F.col("_rank").alias("_r"), "_j", "_v")
+    j = df.join(a.join(b, "_r").select(key, "_j", "_v"), key)
+    return j.withColumn(array_col, F.transform(F.col(array_col), lambda v, i: F.when(i == F.col("_j"), F.col("_v"))
+                                               .otherwise(v))).drop("_v")
+
+
 def permutation_importance(model_fn, df: DataFrame, array_col: str, indices: Sequence[int], key: str,
                            repeats: int = 10, seed=42, metric: str = "recall") -> DataFrame:
     """M9: mean and std (n) over repeats of ``baseline - permuted`` metric per feature.
-    ``model_fn(frame) -> scored frame``; each (feature, repeat) is one distributed job."""
+    ``model_fn(frame) -> scored frame`` keeps further columns; each repeat is one distributed job
+    over all features."""
     base = EV.classification_metrics(model_fn(df), "label", "prediction").select(metric).first()[0]
-    rows = []
-    for j in indices:
-        drops = []
-        for r in range(repeats):
-            p = permuted_element(df, array_col, j, key, f"{seed}-{r}")
-            v = EV.classification_metrics(model_fn(p), "label", "prediction").select(metric).first()[0]
-            drops.append(base - v)
-        rows.append((j, float(np.mean(drops)), float(np.std(drops))))
+
+    def drops(r):
+        p = model_fn(permuted_elements(df, array_col, indices, key, f"{seed}-{r}"))
+        return {x["_j"]: base - x[metric] for x in EV.classification_metrics(p, "label", "prediction", ["_j"]).collect()}
+
+    found = _together(drops, range(repeats), df)
+    rows = [(j, float(np.mean([x[j] for x in found])), float(np.std([x[j] for x in found]))) for j in indices]
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession().createDataFrame(
         rows, "feature_index int, importance_mean double, importance_std double") \
@@ -226,17 +247,16 @@ def learning_curve(df: DataFrame, make, sizes: Sequence[float], key: str, fold_c
     from veritab.functions.scalar import uniform_hash
     x = df.withColumn("_u", uniform_hash(key, seed=seed))
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-    rows = []
-    for s in sizes:
-        tr_scores, va_scores = [], []
-        for f in folds:
-            tr = x.where((F.col(fold_col) != f) & (F.col("_u") < s))
-            model = make().fit(training_part(tr))
-            tr_scores.append(EV.classification_metrics(scored(model, tr), "label", "prediction").first()["recall"])
-            va = x.where(F.col(fold_col) == f)
-            va_scores.append(EV.classification_metrics(scored(model, va), "label", "prediction").first()["recall"])
-        rows.append((float(s), float(np.mean(tr_scores)), float(np.std(tr_scores)),
-                     float(np.mean(va_scores)), float(np.std(va_scores))))
+
+    def recalls(item):
+        s, f = item
+        tr, va = x.where((F.col(fold_col) != f) & (F.col("_u") < s)), x.where(F.col(fold_col) == f)
+        model = make().fit(training_part(tr))
+        return [EV.classification_metrics(scored(model, part), "label", "prediction").first()["recall"] for part in (tr, va)]
+
+    found = np.array(_together(recalls, list(itertools.product(sizes, folds)), df), dtype=float).reshape(len(sizes), len(folds), 2)
+    rows = [(float(s), float(r[:, 0].mean()), float(r[:, 0].std()), float(r[:, 1].mean()), float(r[:, 1].std()))
+            for s, r in zip(sizes, found)]
     from pyspark.sql import SparkSession
     out = SparkSession.getActiveSession().createDataFrame(
         rows, "train_fraction double, train_mean double, train_std double, val_mean double, val_std double")
@@ -244,15 +264,22 @@ def learning_curve(df: DataFrame, make, sizes: Sequence[float], key: str, fold_c
 
 
 def validation_curve(df: DataFrame, Cs: Sequence[float], n: int, fold_col: str = "fold") -> DataFrame:
-    """Cross-validated recall of the logistic model over a grid of C; best C flagged."""
-    rows = []
-    for C in Cs:
-        oof = cross_validate(df, lambda C=C: logistic(C=C, n=n), fold_col)
-        cm = EV.classification_metrics(oof, "label", "prediction", [fold_col])
-        r = cm.agg(F.avg("recall"), F.stddev_pop("recall")).first()
-        rows.append((float(C), float(r[0]), float(r[1] or 0.0)))
+    """Recall of the logistic model on train and validation rows per fold over a grid of C;
+    mean and std over folds; best C by validation recall flagged."""
+    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
+
+    def recalls(item):
+        C, f = item
+        tr, va = df.where(F.col(fold_col) != f), df.where(F.col(fold_col) == f)
+        model = logistic(C=C, n=n).fit(training_part(tr))
+        return [EV.classification_metrics(scored(model, part), "label", "prediction").first()["recall"] for part in (va, tr)]
+
+    found = np.array(_together(recalls, list(itertools.product(Cs, folds)), df), dtype=float).reshape(len(Cs), len(folds), 2)
+    rows = [(float(C), float(r[:, 0].mean()), float(r[:, 0].std()), float(r[:, 1].mean()), float(r[:, 1].std()))
+            for C, r in zip(Cs, found)]
     from pyspark.sql import SparkSession
-    out = SparkSession.getActiveSession().createDataFrame(rows, "C double, recall_mean double, recall_std double")
+    out = SparkSession.getActiveSession().createDataFrame(
+        rows, "C double, recall_mean double, recall_std double, train_mean double, train_std double")
     best = out.orderBy(F.desc("recall_mean"), "C").first()["C"]
     return out.withColumn("best", F.col("C") == F.lit(best))
 
@@ -265,7 +292,8 @@ def _recall_evaluator():
 def grid_search(df: DataFrame, grid: Mapping[str, Sequence], n: int, fold_col: str = "fold",
                 parallelism: int = 4) -> DataFrame:
     """Every combination of the grid, validated on the fold column by recall of class 1.
-    ``grid`` keys: ``C``, ``penalty``, ``max_iter``, ``class_weight`` (``balanced``/None)."""
+    ``grid`` keys: ``C``, ``penalty``, ``solver``, ``max_iter``, ``class_weight`` (``balanced``/None).
+    Spark has one solver, so combinations that differ in it alone are listed each and fitted once."""
     combos = [dict(zip(grid, v)) for v in itertools.product(*grid.values())]
     return _search(df, combos, n, fold_col, parallelism)
 
@@ -288,12 +316,17 @@ def _search(df: DataFrame, combos: list[dict], n: int, fold_col: str, parallelis
         if c.get("class_weight") == "balanced":
             m[lr.weightCol] = "weight"
         maps.append(m)
+    # equal settings (the solver, or l1_ratio without elasticnet) are fitted once
+    same = [tuple(sorted((p.name, v) for p, v in m.items())) for m in maps]
+    first = {x: i for i, x in reversed(list(enumerate(same)))}
+    fitted = sorted(first.values())
     k = df.select(fold_col).distinct().count()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=maps, evaluator=_recall_evaluator(),
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=[maps[i] for i in fitted], evaluator=_recall_evaluator(),
                         foldCol=fold_col, numFolds=k, parallelism=parallelism)
     model = cv.fit(df)
-    rows = [(i, str(sorted(c.items())), float(s), float(sd))
-            for i, (c, s, sd) in enumerate(zip(combos, model.avgMetrics, model.stdMetrics))]
+    at = [fitted.index(first[x]) for x in same]
+    rows = [(i, str(sorted(c.items())), float(model.avgMetrics[a]), float(model.stdMetrics[a]))
+            for i, (c, a) in enumerate(zip(combos, at))]
     from pyspark.sql import SparkSession
     out = SparkSession.getActiveSession().createDataFrame(
         rows, "candidate int, params string, recall_mean double, recall_std double")
@@ -332,13 +365,16 @@ def ablation(df: DataFrame, array_col: str, indices: Sequence[int], make,
     def cvm(frame):
         oof = cross_validate(frame, make, fold_col)
         return EV.classification_metrics(oof, "label", "prediction").first()
-    base = cvm(df)
-    rows = []
-    for j in indices:
+
+    def without(j):
+        if j is None:
+            return cvm(df)
         drop = df.withColumn(array_col, F.filter(F.col(array_col), lambda v, i: i != j))
-        drop = vectorize(drop, array_col)
-        r = cvm(drop)
-        rows.append((j, base["recall"] - r["recall"], base["f1"] - r["f1"], base["accuracy"] - r["accuracy"]))
+        return cvm(vectorize(drop, array_col))
+
+    base, *found = _together(without, [None, *indices], df)
+    rows = [(j, base["recall"] - r["recall"], base["f1"] - r["f1"], base["accuracy"] - r["accuracy"])
+            for j, r in zip(indices, found)]
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession().createDataFrame(
         rows, "feature_index int, recall_drop double, f1_drop double, accuracy_drop double")
