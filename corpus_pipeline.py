@@ -3,7 +3,8 @@
 A stage takes (spark, docs, sf_dir); its result is written as Parquet and read again as the next
 one's docs. All but the last return the columns of documents.
 
-1. quality: documents that the ranking classifier predicts as bad go.
+1. quality: documents that the ranking classifier predicts as bad go; where the labels teach no
+   model (none, of one class, or other values than 0 and 1) all documents stay.
 2. near_duplicates: of each group of linked documents the one with the smallest doc_id stays
    (of repeated rows one); documents without words link with nothing and stay.
 3. repeats: every character covered by a passage of more than 50 words, or by a 400-byte string,
@@ -24,6 +25,8 @@ from veritab.llm.shared import Scratch, table
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_rank.train(docs, table(spark, sf_dir, "labels"))
+    if model is None:
+        return docs
     scored = quality_rank.score_quality(docs, model, docs.columns)
     return scored.where(F.col("quality_score") >= quality_rank.THRESHOLD).drop("quality_score")
 

@@ -63,3 +63,10 @@ def test_repeats_stage_catches_passages_of_51_words(spark, sf):
     assert out[1].text == f"{others[0]}  end" and out[2].text == f"start\n\n{others[1]}"
     assert out[3].text == rows[2][1] and out[4].text == rows[3][1]
     assert all(r.n_chars == len(r.text) for r in out.values())
+
+
+def test_quality_stage_keeps_all_documents_without_a_model(spark, sf, tmp_path):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(20)
+    spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").write.parquet(f"{tmp_path}/labels.parquet")
+    out = corpus_pipeline.quality(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns and out.count() == docs.count() == 20
