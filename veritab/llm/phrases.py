@@ -42,8 +42,9 @@ from .words import PIECE, _tables, mix, pieces_of_rows, text_buffers
 #: Words of the longest phrase; fewest occurrences; percent of a phrase's occurrences inside a longer one
 #: that drops it; rows returned per language.
 DEPTH, LEAST, INSIDE, FIRST = 4, 30, 80, 2000
-#: Suffixes of a group and of one packed piece; bits of the bitmap of frequent words; parts of a ranking.
-BUDGET, FLUSH, BITMAP_BITS, SALTS = 2_000_000, 1_000_000, 23, 64
+#: Suffixes of a group; words cut into suffixes at once; leaves packed at once; bits of the bitmap of frequent
+#: words; parts of a ranking.
+BUDGET, FLUSH, HOLD, BITMAP_BITS, SALTS = 2_000_000, 1_000_000, 3_000_000, 23, 64
 
 _SPACE, _CUT = b" \t", b".,;:!?\n\x0b\x0c\r"
 
@@ -171,9 +172,9 @@ def _has(bitmap: np.ndarray, symbols: np.ndarray) -> np.ndarray:
     return (bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-def _suffixes(symbol: np.ndarray, piece: np.ndarray, bitmap: np.ndarray, whole: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """(symbols of each column, weights) of the different truncated suffixes of at least two words among
-    the first ``whole`` words; 0 stands for no word."""
+def _suffixes(symbol: np.ndarray, piece: np.ndarray, bitmap: np.ndarray, whole: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(table of symbols, keys, weights) of the different truncated suffixes of at least two words among the
+    first ``whole`` words. A key holds numbers of 16 bits into the table, whose first entry, 0, is no word."""
     frequent = _has(bitmap, symbol)
     table_, number = np.unique(symbol[frequent], return_inverse=True)
     if len(table_) >= (1 << 16) - 1:  # halves, until numbers of 16 bits do
@@ -189,15 +190,17 @@ def _suffixes(symbol: np.ndarray, piece: np.ndarray, bitmap: np.ndarray, whole:
         going &= (code[k:whole + k] > 0) & (group[k:whole + k] == group[:whole])
         key = (key << np.uint64(16)) | np.where(going, code[k:whole + k], np.uint64(0))
     key = key[(key >> np.uint64(16 * (DEPTH - 2))) & np.uint64(0xFFFF) > 0]
-    if not len(key):
-        return
-    key, weight = np.unique(key, return_counts=True)
-    values = np.r_[np.zeros(1, np.uint64), table_]
-    yield [values[(key >> np.uint64(16 * (DEPTH - 1 - k))) & np.uint64(0xFFFF)] for k in range(DEPTH)], weight
+    if len(key):
+        yield np.r_[np.zeros(1, np.uint64), table_], *np.unique(key, return_counts=True)
+
 
+def _column(key: np.ndarray, k: int) -> np.ndarray:
+    """Numbers of the k-th words of keys."""
+    return (key >> np.uint64(16 * (DEPTH - 1 - k))) & np.uint64(0xFFFF)
 
-def _leaves(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-    """The leaves of about FLUSH words at a time."""
+
+def _leaves(batches: Iterator[pa.RecordBatch], bitmap: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The leaves of about FLUSH words at a time, as ``_suffixes`` gives them."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     size, offset = 0, 0
     for batch in batches:
@@ -221,7 +224,8 @@ def _counted_prefixes(docs: DataFrame, bitmap: object, heavy: object, length: in
     """(p, n): prefixes of ``length`` words whose first length - 1 words are a heavy prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns, weight in _leaves(batches, bitmap.value):
+        for symbols, key, weight in _leaves(batches, bitmap.value):
+            columns = [symbols[_column(key, k)] for k in range(length)]
             take = np.isin(_hash(columns[:length - 1]), heavy.value) & (columns[length - 1] > 0)
             if not take.any():
                 continue
@@ -267,32 +271,76 @@ def groups_of(columns: list[np.ndarray], heavy: list[np.ndarray], cuts: np.ndarr
     return np.searchsorted(cuts, h >> np.uint64(64 - bits), side="right")
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Rows of numbers, compressed by byte planes: small numbers cost little."""
+    wide = values.dtype.itemsize
+    bytes_ = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1, wide).transpose(0, 2, 1))
+    return pa.compress(bytes_.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unplanes(data: bytes, rows: int, n: int, kind: type) -> np.ndarray:
+    wide = np.dtype(kind).itemsize
+    raw = np.frombuffer(pa.decompress(data, rows * n * wide, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(rows, wide, n).transpose(0, 2, 1)).view(kind).reshape(rows, n)
+
+
+def _pack(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], heavy: list[np.ndarray], cuts: np.ndarray, bits: int) -> Iterator[tuple]:
+    """(part, symbols, leaves, codes, weights) of all leaves held, one row per group.
+
+    Words are numbered by falling frequency, so that most numbers are small."""
+    symbols, number = np.unique(np.concatenate([t for t, _, _ in held]), return_inverse=True)
+    at = np.cumsum([0, *(len(t) for t, _, _ in held)])
+    columns = [np.concatenate([number[x:][_column(key, k)] for x, (_, key, _) in zip(at, held, strict=False)]) for k in range(DEPTH)]
+    weight = np.concatenate([w for _, _, w in held])
+    often = np.bincount(np.concatenate(columns), minlength=len(symbols))
+    often[0] = often.max() + 1  # no word stays number 0
+    rank = np.empty(len(symbols), dtype=np.uint64)
+    order = np.argsort(-often, kind="stable")
+    rank[order] = np.arange(len(symbols), dtype=np.uint64)
+    symbols, columns = symbols[order], [rank[c] for c in columns]
+    # a suffix that ends within a heavy prefix is already counted
+    known = np.zeros(len(weight), dtype=bool)
+    for length in range(1, min(len(heavy), DEPTH - 1) + 1):
+        if len(heavy[length - 1]):
+            known |= np.isin(_hash([symbols[c] for c in columns[:length]]), heavy[length - 1]) & (columns[length] == 0)
+    columns, weight = [c[~known] for c in columns], weight[~known]
+    part = groups_of([symbols[c] for c in columns], heavy, cuts, bits).astype(np.uint64)
+    first, second = (part << np.uint64(32)) | columns[0], (columns[1] << np.uint64(32)) | columns[2]
+    order = np.lexsort((columns[3], second, first))
+    columns, part, weight = [c[order] for c in columns], part[order], weight[order]
+    new = np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)] if len(weight) else np.zeros(0, bool)
+    weight = np.add.reduceat(weight, np.flatnonzero(new)) if len(weight) else weight
+    columns, part = [c[new] for c in columns], part[new]
+    edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True]) if len(part) else np.zeros(1, int)
+    for x, y in zip(edges[:-1], edges[1:], strict=True):
+        codes = np.stack([c[x:y] for c in columns])
+        used = np.zeros(len(symbols), dtype=bool)
+        used[0] = used[codes.ravel()] = True
+        own = np.cumsum(used) - 1
+        kind = np.uint16 if int(own[-1]) < 1 << 16 else np.uint32
+        yield (int(part[x]), symbols[used].tobytes(), int(y - x), _planes(own[codes].astype(kind)), _planes(weight[None, x:y].astype(np.int64)))
+
+
 def _packed_leaves(docs: DataFrame, bitmap: object, plan: object) -> DataFrame:
-    """(part, symbols, codes, weights): leaves of a group as numbers into a table of symbols."""
+    """Leaves of every group as ``_pack`` gives them, about HOLD at a time."""
+    names, kinds = ["part", "symbols", "leaves", "codes", "weights"], [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heavy, cuts, bits = plan.value
-        for columns, weight in _leaves(batches, bitmap.value):
-            # a suffix that ends within a heavy prefix is already counted
-            known = np.zeros(len(weight), dtype=bool)
-            for length in range(1, min(len(heavy), DEPTH - 1) + 1):
-                known |= np.isin(_hash(columns[:length]), heavy[length - 1]) & (columns[length] == 0) if len(heavy[length - 1]) else False
-            columns, weight = [c[~known] for c in columns], weight[~known]
-            if not len(weight):
-                continue
-            part = groups_of(columns, heavy, cuts, bits)
-            order = np.argsort(part, kind="stable")
-            edges = np.flatnonzero(np.r_[True, part[order][1:] != part[order][:-1], True])
-            out: list[tuple] = []
-            for x, y in zip(edges[:-1], edges[1:], strict=True):
-                own = order[x:y]
-                symbols, codes = np.unique(np.concatenate([c[own] for c in columns]), return_inverse=True)
-                kind = np.uint16 if len(symbols) < 1 << 16 else np.uint32
-                out.append((int(part[own[0]]), symbols.tobytes(), codes.astype(kind).tobytes(), weight[own].astype(np.uint32).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), *[pa.binary()] * 3), strict=True)],
-                                             ["part", "symbols", "codes", "weights"])
+        def pack(held: list) -> pa.RecordBatch:
+            rows = list(zip(*_pack(held, *plan.value), strict=True)) or [()] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names)
+
+        held, size = [], 0
+        for leaves in _leaves(batches, bitmap.value):
+            held.append(leaves)
+            size += len(leaves[1])
+            if size >= HOLD:
+                yield pack(held)
+                held, size = [], 0
+        if held:
+            yield pack(held)
 
-    return docs.mapInArrow(run, "part long, symbols binary, codes binary, weights binary")
+    return docs.mapInArrow(run, "part long, symbols binary, leaves long, codes binary, weights binary")
 
 
 def subtree(columns: list[np.ndarray], weight: np.ndarray, least: int = LEAST) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -322,12 +370,12 @@ def _subtrees(leaves: DataFrame, least: int) -> DataFrame:
     def build(part: pa.Table) -> pa.Table:
         columns: list[list[np.ndarray]] = [[] for _ in range(DEPTH)]
         weights = []
-        for s, c, w in zip(*(part.column(x).to_pylist() for x in ("symbols", "codes", "weights")), strict=True):
-            symbols, weight = np.frombuffer(s, np.uint64), np.frombuffer(w, np.uint32)
-            codes = np.frombuffer(c, np.uint16 if len(symbols) < 1 << 16 else np.uint32).reshape(DEPTH, -1)
+        for s, n, c, w in zip(*(part.column(x).to_pylist() for x in ("symbols", "leaves", "codes", "weights")), strict=True):
+            symbols = np.frombuffer(s, np.uint64)
+            codes = _unplanes(c, DEPTH, n, np.uint16 if len(symbols) <= 1 << 16 else np.uint32)
             for k in range(DEPTH):
                 columns[k].append(symbols[codes[k]])
-            weights.append(weight)
+            weights.append(_unplanes(w, 1, n, np.int64)[0])
         nodes = subtree([np.concatenate(c) for c in columns], np.concatenate(weights), least)
         lists = [x for p, _ in nodes for x in p.view(np.int64).tolist()]
         return pa.table({"p": pa.array(lists, pa.list_(pa.int64())), "n": pa.array(np.concatenate([n for _, n in nodes]), pa.int64())})
