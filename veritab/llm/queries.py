@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 _MODULES = ["ngram_join", "url_filter", "token_count", "sharding", "suffix_dedup", "quality_rank", "merkle", "decontaminate",
-            "language", "packing", "phrases", "hard_negatives"]
+            "language", "packing", "phrases", "hard_negatives", "private_data"]
 
 
 def queries() -> dict:
