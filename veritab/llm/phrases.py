@@ -13,7 +13,8 @@ A symbol is the 64-bit hash of a language and a word. The steps:
 3. Subtrees. Tasks cut the suffixes after ``DEPTH`` words, at the end of their piece and before a word
    that is too rare, merge equal ones (leaves with weights) and send them packed to their group. A
    group's subtree is built alone: sorted leaves, common prefixes with the neighbour, and a node's
-   count is the total of its leaves.
+   count is the total of its leaves. The groups are built in ``ROUNDS`` rounds, one scan each, so that only
+   the leaves of one round are on disk at a time.
 4. Scores. Phrase counts meet their parts, and longer candidates their inner phrases, by equi-joins
    on the symbols; arithmetic is in decimals. The first rows of every language are taken from the first
    of ``SALTS`` parts, so no task ranks a whole language.
@@ -29,7 +30,7 @@ read, so other columns may have any name.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,9 @@ from .words import PIECE, _tables, mix, pieces_of_rows, text_buffers
 #: Words of the longest phrase; fewest occurrences; percent of a phrase's occurrences inside a longer one
 #: that drops it; rows returned per language.
 DEPTH, LEAST, INSIDE, FIRST = 4, 30, 80, 2000
-#: Suffixes of a group; words cut into suffixes at once; leaves packed at once; bits of the bitmap of frequent
-#: words; parts of a ranking.
-BUDGET, FLUSH, HOLD, BITMAP_BITS, SALTS = 2_000_000, 1_000_000, 3_000_000, 23, 64
+#: Suffixes of a group; words cut into suffixes at once; leaves packed at once; rounds in which the groups
+#: are built; bits of the bitmap of frequent words; parts of a ranking.
+BUDGET, FLUSH, HOLD, ROUNDS, BITMAP_BITS, SALTS = 2_000_000, 500_000, 2_000_000, 2, 23, 64
 
 _SPACE, _CUT = b" \t", b".,;:!?\n\x0b\x0c\r"
 
@@ -284,28 +285,31 @@ def _unplanes(data: bytes, rows: int, n: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(rows, wide, n).transpose(0, 2, 1)).view(kind).reshape(rows, n)
 
 
-def _pack(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], heavy: list[np.ndarray], cuts: np.ndarray, bits: int) -> Iterator[tuple]:
-    """(part, symbols, leaves, codes, weights) of all leaves held, one row per group.
+def _pack(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], heavy: list[np.ndarray], cuts: np.ndarray, bits: int, turn: int) -> Iterator[tuple]:
+    """(part, symbols, leaves, codes, weights) of the leaves held whose group is built in this turn, one
+    row per group.
 
     Words are numbered by falling frequency, so that most numbers are small."""
     symbols, number = np.unique(np.concatenate([t for t, _, _ in held]), return_inverse=True)
     at = np.cumsum([0, *(len(t) for t, _, _ in held)])
+    number = number.astype(np.uint32)
     columns = [np.concatenate([number[x:][_column(key, k)] for x, (_, key, _) in zip(at, held, strict=False)]) for k in range(DEPTH)]
     weight = np.concatenate([w for _, _, w in held])
     often = np.bincount(np.concatenate(columns), minlength=len(symbols))
     often[0] = often.max() + 1  # no word stays number 0
-    rank = np.empty(len(symbols), dtype=np.uint64)
+    rank = np.empty(len(symbols), dtype=np.uint32)
     order = np.argsort(-often, kind="stable")
-    rank[order] = np.arange(len(symbols), dtype=np.uint64)
+    rank[order] = np.arange(len(symbols), dtype=np.uint32)
     symbols, columns = symbols[order], [rank[c] for c in columns]
     # a suffix that ends within a heavy prefix is already counted
     known = np.zeros(len(weight), dtype=bool)
     for length in range(1, min(len(heavy), DEPTH - 1) + 1):
         if len(heavy[length - 1]):
             known |= np.isin(_hash([symbols[c] for c in columns[:length]]), heavy[length - 1]) & (columns[length] == 0)
-    columns, weight = [c[~known] for c in columns], weight[~known]
-    part = groups_of([symbols[c] for c in columns], heavy, cuts, bits).astype(np.uint64)
-    first, second = (part << np.uint64(32)) | columns[0], (columns[1] << np.uint64(32)) | columns[2]
+    part = groups_of([symbols[c] for c in columns], heavy, cuts, bits)
+    take = ~known & (part % ROUNDS == turn)
+    columns, weight, part = [c[take] for c in columns], weight[take], part[take].astype(np.uint64)
+    first, second = (part << np.uint64(32)) | columns[0], (columns[1].astype(np.uint64) << np.uint64(32)) | columns[2]
     order = np.lexsort((columns[3], second, first))
     columns, part, weight = [c[order] for c in columns], part[order], weight[order]
     new = np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)] if len(weight) else np.zeros(0, bool)
@@ -321,13 +325,13 @@ def _pack(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]], heavy: list[np.
         yield (int(part[x]), symbols[used].tobytes(), int(y - x), _planes(own[codes].astype(kind)), _planes(weight[None, x:y].astype(np.int64)))
 
 
-def _packed_leaves(docs: DataFrame, bitmap: object, plan: object) -> DataFrame:
-    """Leaves of every group as ``_pack`` gives them, about HOLD at a time."""
+def _packed_leaves(docs: DataFrame, bitmap: object, plan: object, turn: int) -> DataFrame:
+    """Leaves of every group of a turn as ``_pack`` gives them, about HOLD at a time."""
     names, kinds = ["part", "symbols", "leaves", "codes", "weights"], [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pack(held: list) -> pa.RecordBatch:
-            rows = list(zip(*_pack(held, *plan.value), strict=True)) or [()] * len(names)
+            rows = list(zip(*_pack(held, *plan.value, turn), strict=True)) or [()] * len(names)
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], names)
 
         held, size = [], 0
@@ -420,8 +424,11 @@ def phrase_counts(scratch: Scratch, docs: DataFrame, least: int = LEAST, budget:
     cuts = np.flatnonzero(np.diff(np.cumsum(loads) // budget)) + 1
     plan = context.broadcast((heavy, cuts.astype(np.uint64), bits))
 
-    nodes = scratch.save(_subtrees(_packed_leaves(docs, bitmap, plan), least), "nodes")
-    scratch.release()
+    turns = []
+    for turn in range(ROUNDS):
+        turns.append(scratch.save(_subtrees(_packed_leaves(docs, bitmap, plan, turn), least), f"nodes-{turn}"))
+        scratch.release()
+    nodes = _all(turns)
     # a heavy prefix and its extensions may also be a node of a subtree; both have its whole count
     phrases = nodes.union(_all(counts[1:])) if counts[1:] else nodes
     phrases = phrases.groupBy("p").agg(F.max("n").alias("n"))
