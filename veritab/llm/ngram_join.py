@@ -24,7 +24,9 @@ Tokens are word shingles; two documents link when 100 * |x & y| >= 75 * |x | y|.
    what follows it in both orders, and l, still allow the overlap that their sizes need.
 7. Pairs that share enough are verified on the whole sets.
 
-Results are exact for 64-bit shingle hashes. Null and empty texts have no shingles and link with
+Packed tokens keep their block number and 40 more bits of the 64-bit shingle hash (44 to 49 bits at usual
+widths), on which links are verified; two shingles of one pair of texts that fall together can change a link only
+where the similarity is exactly at the limit. Null and empty texts have no shingles and link with
 nothing; repeated rows are members of the same class; a null doc_id takes no part in the minimum.
 """
 
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import Scratch, components, shuffle_width, table
+from .shared import Scratch, components, fresh, shuffle_width, table
 from .words import NEAR, SHINGLE, mix, shingle_sets
 
 #: Shingles packed before rows are sent on; largest l that a class may choose.
@@ -380,12 +382,11 @@ def keep_one(docs: DataFrame, near: int = NEAR, size: int = SHINGLE) -> DataFram
     """Of every component the document with the smallest doc_id, of equal rows one. A null doc_id
     is replaced by a large number, a hash of the text, meanwhile; documents without words all stay."""
     instead = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    named = docs.withColumns({"near_join_id": F.coalesce(F.col("doc_id"), instead),
-                              "near_join_text": F.xxhash64("text")})
-    rows = near_groups(named.select(F.col("near_join_id").alias("doc_id"), "text"), near, size)
-    stay = rows.where("n_shingles = 0 or doc_id = component_id").select(F.col("doc_id").alias("near_join_id")).distinct()
-    return (named.join(stay, "near_join_id", "left_semi").dropDuplicates(["near_join_id", "near_join_text"])
-            .select(*docs.columns))
+    key, text = fresh("near_join_id", docs.columns), fresh("near_join_text", docs.columns)
+    named = docs.withColumns({key: F.coalesce(F.col("doc_id"), instead), text: F.xxhash64("text")})
+    rows = near_groups(named.select(F.col(key).alias("doc_id"), "text"), near, size)
+    stay = rows.where("n_shingles = 0 or doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    return named.join(stay, key, "left_semi").dropDuplicates([key, text]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

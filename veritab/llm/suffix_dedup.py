@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import Scratch, shuffle_width, table
+from .shared import Scratch, fresh, shuffle_width, table
 from .word_repeats import WORDS, repeated_words
 from .words import _tables as _hash_tables
 from .words import mix
@@ -46,6 +46,8 @@ from .words import mix
 LENGTH, GRAM, SYMBOL = 400, 200, 100
 #: Different segments of one gram up to which they form a collection; segments per collection.
 CROWD, COLLECTION = 20_000, 1_000
+#: Bytes of a block of hashes of crowded grams; parts in which one gram is counted and met.
+BLOCK, SALTS = 32 << 20, 64
 #: Bytes read at once; pieces overlap by LENGTH - 1.
 READ = 1 << 19
 
@@ -298,47 +300,42 @@ def _segment_rows(wanted: DataFrame) -> DataFrame:
 
 
 def _by_collections(bodies: DataFrame) -> DataFrame:
-    """(segment, spans, crowded): repeated spans of the segments of every gram, or the gram alone
-    if it has more than CROWD different segments."""
-    names, kinds = ["segment", "spans", "crowded"], [pa.int64(), pa.binary(), pa.int64()]
+    """(segment, spans): repeated spans of the segments of grams with at most CROWD different ones."""
+    names, kinds = ["segment", "spans"], [pa.int64(), pa.binary()]
 
-    def solve(held: list[tuple], crowded: list[int]) -> pa.RecordBatch:
+    def solve(held: list[tuple]) -> pa.RecordBatch:
         found = repeated_starts([x[3] for x in held], [x[2] for x in held], [x[0] for x in held]) if held else []
-        rows = [(x[1], _runs(s), None) for x, s in zip(held, found, strict=True) if len(s)] + [(None, None, g) for g in crowded]
-        cols = list(zip(*rows, strict=True)) or [()] * 3
+        cols = list(zip(*[(x[1], _runs(s)) for x, s in zip(held, found, strict=True) if len(s)], strict=True)) or [()] * 2
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # whole grams
         own: list[tuple] = []  # of the gram being read
-        crowded: list[int] = []
         gram = None
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "segment", "before", "body")), strict=True):
                 if row[0] != gram:
-                    if 1 < len(own) <= CROWD:
+                    if len(own) > 1:
                         held += own
                     gram, own = row[0], []
                     if len(held) >= COLLECTION:
-                        yield solve(held, crowded)
-                        held, crowded = [], []
-                if len(own) > CROWD or own and own[-1][1] == row[1]:  # crowded, or sent by another task too
-                    continue
-                own.append(row)
-                if len(own) > CROWD:
-                    crowded.append(gram)
-        if 1 < len(own) <= CROWD:
+                        yield solve(held)
+                        held = []
+                if not own or own[-1][1] != row[1]:  # else sent by another task too
+                    own.append(row)
+        if len(own) > 1:
             held += own
-        yield solve(held, crowded)
+        yield solve(held)
 
     width = 2 * shuffle_width(bodies.sparkSession)
     return (bodies.repartition(width, "gram").sortWithinPartitions("gram", "segment").select("gram", "segment", "before", "body")
-            .mapInArrow(run, "segment long, spans binary, crowded long"))
+            .mapInArrow(run, "segment long, spans binary"))
 
 
 def _by_windows(strings: DataFrame) -> DataFrame:
     """(segment, spans) of crowded grams: every 400-byte string by its hash, packed per block."""
-    blocks = 1 << max(4, (2 * shuffle_width(strings.sparkSession) - 1).bit_length())
+    size = strings.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    blocks = 1 << max(4, (20 * size // BLOCK).bit_length())  # 20 bytes for every byte of a body
     shift = np.uint64(64 - (blocks.bit_length() - 1))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,24 +383,28 @@ def with_keys(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(scratch: Scratch, texts: DataFrame) -> DataFrame:
-    """(key, pieces): for every text with repeated bytes, its spans as packed int64 pairs that may
-    overlap. Texts that occur twice are not listed. ``texts``: key, text, with equal texts repeated."""
-    places = scratch.save(_anchor_rows(texts.where(F.octet_length("text") >= LENGTH)), "anchors")
+    """(key, pieces): one row for every text with repeated bytes, its merged spans as packed int64
+    pairs. Texts that occur twice are not listed. ``texts``: key, text, with equal texts repeated."""
+    places = scratch.save(_anchor_rows(texts.where(F.octet_length("text") >= LENGTH)).withColumn("salt", F.pmod("key", F.lit(SALTS))), "anchors")
+    # a gram that very many texts share is counted, and later met, in SALTS parts
     spot = F.struct("key", "place")
-    repeated = (places.groupBy("gram").agg(F.min(spot).alias("a"), F.max(spot).alias("z")).where("a <> z").select("gram"))
-    wanted = (places.join(repeated, "gram").distinct().groupBy("key")
-              .agg(F.sort_array(F.collect_list(F.struct("place", "gram"))).alias("x"))
+    ends = scratch.save(places.groupBy("gram", "salt").agg(F.min(spot).alias("a"), F.max(spot).alias("z")), "anchor-ends")
+    repeated = ends.groupBy("gram").agg(F.min("a").alias("a"), F.max("z").alias("z")).where("a <> z").select("gram")
+    repeated = ends.join(repeated, "gram").select("gram", "salt")
+    wanted = (places.join(repeated, ["gram", "salt"]).groupBy("key")
+              .agg(F.sort_array(F.collect_set(F.struct("place", "gram"))).alias("x"))
               .select("key", F.col("x.place").alias("places"), F.col("x.gram").alias("grams")))
     rows = scratch.save(_segment_rows(texts.where(F.octet_length("text") >= LENGTH).join(wanted, "key")), "segments")
-    scratch.drop("anchors")
+    scratch.drop("anchors", "anchor-ends")
     scratch.release()
     # a shorter segment holds no string of LENGTH bytes
     bodies = rows.where(f"octet_length(body) >= {LENGTH}")
-    solved = scratch.save(_by_collections(bodies), "solved")
+    crowded = scratch.save(rows.select("gram", "segment").distinct().groupBy("gram").agg(F.count("*").alias("n"))
+                           .where(F.col("n") > CROWD).select("gram"), "crowded")
+    many = not crowded.isEmpty()
+    found = scratch.save(_by_collections(bodies.join(crowded, "gram", "left_anti") if many else bodies), "solved")
     scratch.release()
-    crowded = solved.where("crowded is not null").select(F.col("crowded").alias("gram"))
-    found = solved.where("segment is not null").select("segment", "spans")
-    if not crowded.isEmpty():
+    if many:
         found = found.union(scratch.save(_by_windows(bodies.join(crowded, "gram", "left_semi")), "windows"))
     spot = F.struct("key", "first")
     whole = (rows.groupBy("segment").agg(F.min(spot).alias("a"), F.max(spot).alias("z"), F.max("size").alias("size"))
@@ -411,16 +412,19 @@ def repeated_spans(scratch: Scratch, texts: DataFrame) -> DataFrame:
     best = (found.select("segment", "spans", F.lit(0).alias("z"))
             .union(whole.select("segment", F.lit(b"").alias("spans"), "z"))
             .groupBy("segment").agg(F.collect_list("spans").alias("spans"), F.max("z").alias("z")))
-    spans = rows.join(best, "segment").select("key", "first", "spans", "z")
+    spans = (rows.join(best, "segment").groupBy("key")
+             .agg(F.collect_list("first").alias("first"), F.collect_list("spans").alias("spans"), F.collect_list("z").alias("z")))
 
     def shift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            moved = [((np.array([0, z]) if z else np.frombuffer(b"".join(s), np.int32).astype(np.int64)) + f).tobytes()
-                     for f, s, z in zip(*(batch.column(c).to_pylist() for c in ("first", "spans", "z")), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(moved, pa.binary())], ["key", "spans"])
+            out = []
+            for firsts, lists, ends in zip(*(batch.column(c).to_pylist() for c in ("first", "spans", "z")), strict=True):
+                pairs = [(np.array([0, z]) if z else np.frombuffer(b"".join(s), np.int32).astype(np.int64)) + f
+                         for f, s, z in zip(firsts, lists, ends, strict=True)]
+                out.append([np.array(merge_spans([x.tobytes() for x in pairs]), np.int64).tobytes()])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.list_(pa.binary()))], ["key", "pieces"])
 
-    return (spans.mapInArrow(shift, "key long, spans binary").distinct()
-            .groupBy("key").agg(F.collect_list("spans").alias("pieces")))
+    return spans.mapInArrow(shift, "key long, pieces array<binary>")
 
 
 def merge_spans(pieces: list[bytes]) -> list[tuple[int, int]]:
@@ -492,31 +496,34 @@ def without_repeats(docs: DataFrame, passages: bool = False) -> DataFrame:
     """The documents without repeated characters: text and, where it is a column, n_chars are new.
     Documents of which nothing is left stay, with an empty text. ``passages``: passages of more than
     50 words that occur elsewhere go too."""
+    key, kept = fresh("suffix_key", docs.columns), fresh("suffix_kept", docs.columns)
     counts, parts = strip_repeats(docs.select("text"), passages)
     new = (parts.select("key", "kept")
            .union(counts.where("many").select("key", F.lit("")))
-           .toDF("suffix_key", "suffix_kept"))
-    keyed = docs.withColumn("suffix_key", F.xxhash64(F.coalesce("text", F.lit("")), F.octet_length(F.coalesce("text", F.lit("")))))
-    joined = keyed.join(new, "suffix_key", "left")
+           .toDF(key, kept))
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit("")), F.octet_length(F.coalesce("text", F.lit("")))))
+    joined = keyed.join(new, key, "left")
     long = F.octet_length("text") >= LENGTH
     if passages:
         long = long | (F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) >= WORDS)
-    changed = F.col("suffix_kept").isNotNull() & long
-    out = {"text": F.when(changed, F.col("suffix_kept")).otherwise(F.col("text"))}
+    changed = F.col(kept).isNotNull() & long
+    out = {"text": F.when(changed, F.col(kept)).otherwise(F.col("text"))}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(changed, F.length("suffix_kept").cast(kind)).otherwise(F.col("n_chars"))
+        out["n_chars"] = F.when(changed, F.length(kept).cast(kind)).otherwise(F.col("n_chars"))
     return joined.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The digest columns, and last the text that is left (without characters whose bytes all go)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts, parts = strip_repeats(docs)
-    rows = with_keys(docs).select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own"))
+    rows = with_keys(docs).select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own"), "text")
     rows = rows.join(counts, "key")
     whole = F.col("many") & (F.col("n_bytes") >= LENGTH)
-    return (rows.join(parts.drop("kept"), "key", "left")
+    return (rows.join(parts, "key", "left")
             .select("doc_id", "n_bytes",
                     F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
                     F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-                    F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "own")).alias("kept_sha256")))
+                    F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "own")).alias("kept_sha256"),
+                    F.when(whole, F.lit("")).otherwise(F.coalesce("kept", "text")).alias("text")))

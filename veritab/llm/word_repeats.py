@@ -151,12 +151,14 @@ def repeated_words(scratch: Scratch, texts: DataFrame) -> DataFrame:
     """(key, pieces) as ``suffix_dedup.repeated_spans`` gives them, of passages of ``WORDS`` words or
     more. ``texts``: key, text, with equal texts repeated."""
     texts = texts.where(F.octet_length("text") >= BYTES)
-    places = scratch.save(_anchor_rows(texts), "word-anchors")
+    places = scratch.save(_anchor_rows(texts).withColumn("salt", F.pmod("key", F.lit(SALTS))), "word-anchors")
     spot = F.struct("key", "place")
-    repeated = places.groupBy("gram").agg(F.min(spot).alias("a"), F.max(spot).alias("z")).where("a <> z").select("gram")
-    wanted = places.join(repeated, "gram").groupBy("key").agg(F.collect_set("place").alias("places"))
+    ends = scratch.save(places.groupBy("gram", "salt").agg(F.min(spot).alias("a"), F.max(spot).alias("z")), "word-grams")
+    repeated = ends.groupBy("gram").agg(F.min("a").alias("a"), F.max("z").alias("z")).where("a <> z").select("gram")
+    repeated = ends.join(repeated, "gram").select("gram", "salt")
+    wanted = places.join(repeated, ["gram", "salt"]).groupBy("key").agg(F.collect_set("place").alias("places"))
     rows = scratch.save(_window_rows(texts.join(wanted, "key")).withColumn("salt", F.pmod("key", F.lit(SALTS))), "word-windows")
-    scratch.drop("word-anchors")
+    scratch.drop("word-anchors", "word-grams")
     scratch.release()
     spot = F.struct("key", "a")
     ends = rows.groupBy("value", "salt").agg(F.min(spot).alias("low"), F.max(spot).alias("high"))
