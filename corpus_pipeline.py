@@ -20,15 +20,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veritab.llm import decontaminate, ngram_join, packing, quality_rank, suffix_dedup
-from veritab.llm.shared import Scratch, table
+from veritab.llm.shared import Scratch, fresh, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_rank.train(docs, table(spark, sf_dir, "labels"))
     if model is None:
         return docs
-    scored = quality_rank.score_quality(docs, model, docs.columns)
-    return scored.where(F.col("quality_score") >= quality_rank.THRESHOLD).drop("quality_score")
+    score = fresh("quality_score", docs.columns)
+    scored = quality_rank.score_quality(docs, model, docs.columns, score)
+    return scored.where(F.col(score) >= quality_rank.THRESHOLD).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
