@@ -42,19 +42,7 @@ def shared_passages(seed):
 
 def removed(spark, texts):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    docs.createOrReplaceTempView("x")
-    counts, parts = suffix_dedup.strip_repeats(docs)
-    many = {r.key for r in counts.where("many").collect()}
-    found = {r.key: r for r in parts.collect()}
-    out = {}
-    for r in suffix_dedup.with_keys(docs).collect():
-        body = (r.text or "").encode()
-        if r.key in many and len(body) >= suffix_dedup.LENGTH:
-            out[r.doc_id] = (len(body), 1, hashlib.sha256(b"").hexdigest())
-        elif r.key in found:
-            out[r.doc_id] = (found[r.key].n_removed, found[r.key].n_spans, found[r.key].kept_sha256)
-        else:
-            out[r.doc_id] = (0, 0, hashlib.sha256(body).hexdigest())
+    out = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(docs).collect()}
     return [out[i] for i in range(len(texts))]
 
 

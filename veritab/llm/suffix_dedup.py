@@ -47,7 +47,7 @@ LENGTH, GRAM, SYMBOL = 400, 200, 100
 #: Different segments of one gram up to which they form a collection; segments per collection.
 CROWD, COLLECTION = 20_000, 1_000
 #: Bytes of a block of hashes of crowded grams; parts in which one gram is counted and met.
-BLOCK, SALTS = 32 << 20, 64
+BLOCK, SALTS = 4 << 20, 64
 #: Bytes read at once; pieces overlap by LENGTH - 1.
 READ = 1 << 19
 
@@ -460,70 +460,76 @@ def kept_text(data: bytes, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, data[at:]]).decode()
 
 
-def strip_repeats(docs: DataFrame, passages: bool = False) -> tuple[DataFrame, DataFrame]:
-    """((key, many) of every text, many: it occurs twice; (key, n_removed, n_spans, kept_sha256,
-    kept text) of the other texts that lose part of themselves). ``passages``: those of more than 50
-    words go too, however few bytes they have."""
+def marks_of(docs: DataFrame, passages: bool = False) -> DataFrame:
+    """(key, many, pieces) of every text of ``docs``: many, it occurs twice; pieces, the spans to remove of a text that
+    occurs once, null for none. ``passages``: those of more than 50 words go too, however few bytes they have."""
     scratch = Scratch(docs.sparkSession, "suffix-dedup")
-    keyed = with_keys(docs)
+    keyed = with_keys(docs.select("text"))
     counts = keyed.groupBy("key").agg((F.count("*") > 1).alias("many"))
     spans = scratch.save(repeated_spans(scratch, keyed.select("key", "text"))
                          .join(counts.where("not many"), "key", "left_semi"), "spans")
-    scratch.drop("segments", "solved", "windows")
+    scratch.drop("segments", "solved", "windows", "crowded")
     if passages:
         scratch.release()
         more = repeated_words(scratch, keyed.select("key", "text")).join(counts.where("not many"), "key", "left_semi")
         spans = scratch.save(spans.union(more).groupBy("key").agg(F.flatten(F.collect_list("pieces")).alias("pieces")), "all-spans")
         scratch.drop("spans", "word-windows", "word-ends")
     scratch.release()
+    return counts.join(spans, "key", "left")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                data = bytes(batch.column("text")[i].as_buffer())
-                found = merge_spans(batch.column("pieces")[i].as_py())
-                kept = kept_bytes(data, found)
-                yield pa.RecordBatch.from_pylist([{"key": batch.column("key")[i].as_py(), "n_removed": len(data) - len(kept),
-                                                   "n_spans": len(found), "kept_sha256": hashlib.sha256(kept).hexdigest(),
-                                                   "kept": kept_text(data, found)}])
 
-    parts = (keyed.select("key", "text").join(spans, "key")
-             .mapInArrow(run, "key long, n_removed long, n_spans long, kept_sha256 string, kept string"))
-    return counts, parts
+def _whole(passages: bool) -> F.Column:
+    """A text that occurs twice is long enough to go whole."""
+    long = F.octet_length("text") >= LENGTH
+    return long | (F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) >= WORDS) if passages else long
 
 
 def without_repeats(docs: DataFrame, passages: bool = False) -> DataFrame:
     """The documents without repeated characters: text and, where it is a column, n_chars are new.
     Documents of which nothing is left stay, with an empty text. ``passages``: passages of more than
-    50 words that occur elsewhere go too."""
-    key, kept = fresh("suffix_key", docs.columns), fresh("suffix_kept", docs.columns)
-    counts, parts = strip_repeats(docs.select("text"), passages)
-    new = (parts.select("key", "kept")
-           .union(counts.where("many").select("key", F.lit("")))
-           .toDF(key, kept))
-    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit("")), F.octet_length(F.coalesce("text", F.lit("")))))
-    joined = keyed.join(new, key, "left")
-    long = F.octet_length("text") >= LENGTH
-    if passages:
-        long = long | (F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) >= WORDS)
-    changed = F.col(kept).isNotNull() & long
-    out = {"text": F.when(changed, F.col(kept)).otherwise(F.col("text"))}
+    50 words that occur elsewhere go too. Texts meet their spans in one shuffle."""
+    key, many, pieces, changed = (fresh(n, docs.columns) for n in ("suffix_key", "suffix_many", "suffix_pieces", "suffix_changed"))
+    marks = marks_of(docs, passages).toDF(key, many, pieces)
+    text = F.coalesce("text", F.lit(""))
+    joined = (docs.withColumn(key, F.xxhash64(text, F.octet_length(text))).join(marks, key)
+              .withColumn(changed, F.coalesce(F.col(many) & _whole(passages), F.lit(False)) | F.col(pieces).isNotNull()).drop(key))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for i in np.flatnonzero(batch.column(changed).to_numpy(zero_copy_only=False)):
+                found = batch.column(pieces)[i].as_py()
+                texts[i] = "" if found is None else kept_text(texts[i].encode(), merge_spans(found))
+            yield batch.set_column(batch.schema.get_field_index("text"), "text", pa.array(texts, pa.string()))
+
+    new = joined.mapInArrow(run, joined.schema)
+    out = {}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out["n_chars"] = F.when(changed, F.length(kept).cast(kind)).otherwise(F.col("n_chars"))
-    return joined.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+        out["n_chars"] = F.when(F.col(changed), F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+    return new.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
+def digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, last, the text that is left (without characters
+    whose bytes all go) of every row of ``docs`` (doc_id, text)."""
+    rows = with_keys(docs.select("doc_id", "text")).join(marks_of(docs), "key").select("doc_id", "text", "many", "pieces")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for i, (text, many, pieces) in enumerate(zip(*(batch.column(c) for c in ("text", "many", "pieces")), strict=True)):
+                data = bytes(text.as_buffer())
+                found = merge_spans(pieces.as_py()) if pieces.is_valid else [(0, len(data))] if many.as_py() and len(data) >= LENGTH else []
+                kept = kept_bytes(data, found)
+                out.append((batch.column("doc_id")[i].as_py(), len(data), len(data) - len(kept), len(found), hashlib.sha256(kept).hexdigest(),
+                            kept_text(data, found)))
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out, strict=True)) or [()] * 6, kinds, strict=True)],
+                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"])
+
+    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The digest columns, and last the text that is left (without characters whose bytes all go)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    counts, parts = strip_repeats(docs)
-    rows = with_keys(docs).select("doc_id", "key", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own"), "text")
-    rows = rows.join(counts, "key")
-    whole = F.col("many") & (F.col("n_bytes") >= LENGTH)
-    return (rows.join(parts, "key", "left")
-            .select("doc_id", "n_bytes",
-                    F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-                    F.when(whole, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-                    F.when(whole, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "own")).alias("kept_sha256"),
-                    F.when(whole, F.lit("")).otherwise(F.coalesce("kept", "text")).alias("text")))
+    return digests(table(spark, sf_dir, "documents"))
