@@ -23,10 +23,10 @@ def test_queries_ask_for_the_whole_job(spark, monkeypatch):
     monkeypatch.setattr(catalog, "_n", lambda *a: 10)
     monkeypatch.setattr(catalog, "_lr_fn", lambda *a: None)
     monkeypatch.setattr(catalog, "rounded", lambda x: x)
-    monkeypatch.setattr(M, "_search", lambda df, combos, *a: asked.setdefault(len(combos), combos))
+    monkeypatch.setattr(M, "_search", lambda df, col, key, combos, *a: asked.setdefault(len(combos), combos))
     monkeypatch.setattr(M, "permutation_importance", lambda fn, df, col, indices, key, repeats, seed: (len(indices), repeats))
-    monkeypatch.setattr(M, "learning_curve", lambda df, make, sizes, key: len(sizes))
-    monkeypatch.setattr(M, "validation_curve", lambda df, Cs, n: len(Cs))
+    monkeypatch.setattr(M, "learning_curve", lambda df, col, key, sizes, lam: len(sizes))
+    monkeypatch.setattr(M, "validation_curve", lambda df, col, key, Cs, n: len(Cs))
     assert catalog.m09(None, None) == (64, 10)
     assert catalog.m17(None, None) == 10 and catalog.m18(None, None) == 20
     assert len(catalog.m19(None, None)) == 96

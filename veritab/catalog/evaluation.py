@@ -99,15 +99,24 @@ def m14(spark, sf):
     return rounded(EV.per_class_metrics(li_scored(spark, sf), "label", "prediction"))
 
 
-BOOT_B = 50
+BOOT_B = 1000
+
+#: cells of equal rows and, per replicate, draws from Poisson(n) at uniform numbers of 32 bits from md5
+SQL_DRAWS = (
+    "cell AS (SELECT CAST(label AS BIGINT) AS label, CAST(prediction AS BIGINT) AS prediction, CAST(ROUND(score * 1e9) AS BIGINT) AS score, "
+    "COUNT(*) AS n FROM ls GROUP BY ALL), "
+    "ks AS (SELECT n, UNNEST(range(CAST(GREATEST(0, TRUNC(n - 8 * SQRT(n) - 20)) AS BIGINT), CAST(TRUNC(n + 8 * SQRT(n) + 20) AS BIGINT) + 1)) AS k "
+    "FROM (SELECT DISTINCT n FROM cell)), "
+    "cdf AS (SELECT n, k, SUM(EXP(k * LN(n) - n - LGAMMA(k + 1))) OVER (PARTITION BY n ORDER BY k) AS c FROM ks), "
+    "bounds AS (SELECT n, k, COALESCE(LAG(c) OVER (PARTITION BY n ORDER BY k), 0) AS lower FROM cdf), "
+    f"md AS (SELECT cell.*, b.block, md5(concat_ws('|', label, prediction, score, b.block, '42')) AS h FROM cell CROSS JOIN range(0, {BOOT_B // 4}) b(block)), "
+    "us AS (SELECT label, prediction, score, n, block * 4 + j AS replicate, ('0x' || substr(h, CAST(8 * j + 1 AS INTEGER), 8))::BIGINT / 2^32 AS u "
+    "FROM md CROSS JOIN range(0, 4) r(j)), "
+    "bw AS (SELECT us.label, us.prediction, us.score, us.replicate, b.k AS bw FROM us ASOF JOIN bounds b ON us.n = b.n AND us.u >= b.lower)")
 
 
 def _boot_sql():
-    u = (f"(('0x' || substr(md5(concat_ws('|', {', '.join(LI_KEY)}, replicate, '42')), 1, 8))::BIGINT / 2^32)")
-    cdf = EV._POISSON1_CDF
-    pois = "CASE " + " ".join(f"WHEN {u} < {cdf[k]!r} THEN {k}" for k in range(len(cdf))) + f" ELSE {len(cdf)} END"
-    boot = (f"bx AS (SELECT ls.*, r.replicate FROM ls CROSS JOIN range(0, {BOOT_B}) r(replicate)), "
-            f"bw AS (SELECT * FROM (SELECT *, {pois} AS bw FROM bx) WHERE bw > 0), "
+    boot = (f"{SQL_DRAWS}, "
             f"bc AS (SELECT replicate, SUM(CASE WHEN label = 1 AND prediction = 1 THEN bw ELSE 0 END) AS tp, "
             "SUM(CASE WHEN label = 0 AND prediction = 1 THEN bw ELSE 0 END) AS fp, "
             "SUM(CASE WHEN label = 1 AND prediction = 0 THEN bw ELSE 0 END) AS fn, "
@@ -123,7 +132,7 @@ def _boot_sql():
 @query("m15_bootstrap_metrics",
        f"{W}, {_boot_sql()} SELECT CAST(replicate AS INTEGER) AS replicate, metric, {R6('value')} AS value FROM bl")
 def m15(spark, sf):
-    long = EV.bootstrap_metrics(li_scored(spark, sf), "label", "prediction", "score", LI_KEY, BOOT_B, 42)
+    long = EV.bootstrap_metrics(li_scored(spark, sf), "label", "prediction", "score", BOOT_B, 42)
     return rounded(long)
 
 
@@ -133,7 +142,7 @@ def m15(spark, sf):
        f"{R6('QUANTILE_CONT(value, 0.005)')} AS ci99_low, {R6('QUANTILE_CONT(value, 0.995)')} AS ci99_high "
        "FROM bl GROUP BY metric")
 def m16(spark, sf):
-    long = EV.bootstrap_metrics(li_scored(spark, sf), "label", "prediction", "score", LI_KEY, BOOT_B, 42)
+    long = EV.bootstrap_metrics(li_scored(spark, sf), "label", "prediction", "score", BOOT_B, 42)
     return rounded(EV.bootstrap_summary(long))
 
 

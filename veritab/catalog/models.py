@@ -64,7 +64,7 @@ def m04(spark, sf):
 def m07(spark, sf):
     df = _emb(spark, sf)
     n = _n(df)
-    return rounded(M.cv_metrics(M.cross_validate(df, lambda: M.logistic(C=1.0, n=n))))
+    return rounded(M.cv_metrics(M.cross_validate_logistic(df, "embedding", "vec_id", M.strength(1.0, n))))
 
 
 @query("m08_coefficient_importance")
@@ -90,19 +90,19 @@ def m09(spark, sf):
 def m17(spark, sf):
     df = _emb(spark, sf)
     n = _n(df)
-    return rounded(M.learning_curve(df, lambda: M.logistic(C=1.0, n=n), [i / 10 for i in range(1, 11)], "vec_id"))
+    return rounded(M.learning_curve(df, "embedding", "vec_id", [i / 10 for i in range(1, 11)], M.strength(1.0, n)))
 
 
 @query("m18_validation_curve")
 def m18(spark, sf):
     df = _emb(spark, sf)
-    return rounded(M.validation_curve(df, np.logspace(-4, 2, 20).tolist(), _n(df)))
+    return rounded(M.validation_curve(df, "embedding", "vec_id", np.logspace(-4, 2, 20).tolist(), _n(df)))
 
 
 @query("m19_grid_search")
 def m19(spark, sf):
     df = _emb(spark, sf)
-    return rounded(M.grid_search(df, {"C": (0.001, 0.01, 0.1, 1.0, 10.0, 100.0), "penalty": ("l1", "l2"),
+    return rounded(M.grid_search(df, "embedding", "vec_id", {"C": (0.001, 0.01, 0.1, 1.0, 10.0, 100.0), "penalty": ("l1", "l2"),
                                       "solver": ("liblinear", "saga"), "max_iter": (1000, 2000),
                                       "class_weight": ("balanced", None)}, _n(df)))
 
@@ -112,7 +112,7 @@ def m20(spark, sf):
     df = _emb(spark, sf)
     space = {"C": np.logspace(-4, 4, 20).tolist(), "penalty": ("l1", "l2", "elasticnet"), "solver": ("liblinear", "saga"),
              "max_iter": (1000, 2000, 3000), "class_weight": ("balanced", None), "l1_ratio": (0.1, 0.3, 0.5, 0.7, 0.9)}
-    return rounded(M.random_search(df, space, 50, _n(df), seed=42))
+    return rounded(M.random_search(df, "embedding", "vec_id", space, 50, _n(df), seed=42))
 
 
 @query("m21_evaluate_tuned")
@@ -122,13 +122,13 @@ def m21(spark, sf):
     # folds for the inner cross-validation: re-assigned on the training rows only
     train = FE.stratified_folds(train.drop("fold"), "label", ["vec_id"], 5, 7)
     n = train.count()
-    return rounded(M.evaluate_tuned(train, test, lambda: M.logistic(C=1.0, n=n)))
+    return rounded(M.evaluate_tuned(train, test, "embedding", "vec_id", M.strength(1.0, n)))
 
 
 @query("m22_model_comparison")
 def m22(spark, sf):
     df = _emb(spark, sf)
-    tr, n = df.where("fold != 0"), _n(df)
+    tr, n = M.training_part(df.where("fold != 0")), _n(df)
     parts = []
     for name, model in [("logistic", M.logistic(C=1.0, n=n).fit(tr)), ("random_forest", M.random_forest().fit(tr)),
                         ("fourier_svm", M.FourierSVM("embedding", DIM).fit(tr)),
@@ -175,7 +175,7 @@ def m23(spark, sf):
     n = _n(df)
     coef = M.logistic(C=1.0, n=n).fit(df).coefficients.toArray()
     top = sorted(range(DIM), key=lambda j: (-abs(coef[j]), j))[:10]
-    return rounded(M.ablation(df, "embedding", top, lambda: M.logistic(C=1.0, n=n)))
+    return rounded(M.ablation(df, "embedding", "vec_id", top, M.strength(1.0, n)))
 
 
 @query("m25_importance_summary")

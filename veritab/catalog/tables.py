@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from veritab.catalog.base import (LI_KEY, LI_NUMERIC, SCORE_B, SCORE_W, SQL_LI_SCORED, SQL_LI_SIDES,
                                   li_scored, lineitem_sides, query, rounded, sql_round, sql_union, tbl)
+from veritab.catalog.evaluation import BOOT_B, SQL_DRAWS
 from veritab.operators.models import importance_summary
 from veritab.operators import evaluate as EV
 from veritab.operators import features as FE
+from veritab.operators import resample as RS
 from veritab.operators import runs as RU
 from veritab.operators.profile import melt
 from veritab.session import checkpoint_dir
@@ -148,19 +150,10 @@ def j04(spark, sf):
         F.count_if(F.col("permuted") != F.col("xv")).alias("changed")))
 
 
-def _boot_cdf_sql(u):
-    cdf = EV._POISSON1_CDF
-    return "CASE " + " ".join(f"WHEN {u} < {cdf[k]!r} THEN {k}" for k in range(len(cdf))) + f" ELSE {len(cdf)} END"
-
-
 @query("j05_bootstrap_expansion",
-       "WITH bx AS (SELECT l.*, r.replicate, "
-       f"(('0x' || substr(md5(concat_ws('|', {', '.join(LI_KEY)}, r.replicate, '42')), 1, 8))::BIGINT / 2^32) AS u "
-       "FROM lineitem l CROSS JOIN range(0, 20) r(replicate)), "
-       f"bw AS (SELECT replicate, {_boot_cdf_sql('u')} AS bw FROM bx) "
-       "SELECT CAST(replicate AS INTEGER) AS replicate, COUNT(*) FILTER (WHERE bw > 0) AS rows_kept, "
+       f"WITH {SQL_LI_SCORED}, {SQL_DRAWS} SELECT CAST(replicate AS INTEGER) AS replicate, COUNT(*) FILTER (WHERE bw > 0) AS cells_kept, "
        "CAST(SUM(bw) AS BIGINT) AS total_weight FROM bw GROUP BY replicate")
 def j05(spark, sf):
-    b = EV.bootstrap_weights(tbl(spark, sf, "lineitem").select(*LI_KEY), LI_KEY, 20, 42)
-    return b.groupBy("replicate").agg(F.count_if(F.col("bw") > 0).alias("rows_kept"),
-                                      F.sum("bw").cast("long").alias("total_weight"))
+    b = RS.weights(RS.cells(li_scored(spark, sf), "label", "prediction", "score"), BOOT_B, 42)
+    return b.groupBy("replicate").agg(F.count_if(F.col("weight") > 0).alias("cells_kept"),
+                                      F.sum("weight").cast("long").alias("total_weight"))

@@ -213,7 +213,7 @@ def _has_class(weights: np.ndarray, fit: Fit, c: int) -> bool:
     return weights[c] > 0 if fit.balanced else True
 
 
-def confusions(rows: DataFrame, fits: Sequence[Fit], beta: np.ndarray) -> dict[tuple[int, str], dict[str, float]]:
+def confusions(rows: DataFrame, fits: Sequence[Fit], beta: np.ndarray) -> dict[tuple[int, str], dict]:
     """Accuracy, precision, recall and F1 of every fit on the rows it learnt from (``train``) and on its
     left-out fold (``validation``), from one scan."""
 
@@ -228,14 +228,16 @@ def confusions(rows: DataFrame, fits: Sequence[Fit], beta: np.ndarray) -> dict[t
             yield i, np.array(out, dtype=np.float64)
 
     found = _summed(rows, cells, 8)
-    return {(i, part): _metrics(*found.get(i, np.zeros(8))[at:at + 4]) for i in range(len(fits)) for part, at in (("train", 0), ("validation", 4))}
+    return {(i, part): metrics_of(found.get(i, np.zeros(8))[at:at + 4]) for i in range(len(fits)) for part, at in (("train", 0), ("validation", 4))}
 
 
-def _metrics(tp: float, fp: float, fn: float, tn: float) -> dict[str, float]:
+def metrics_of(cells: np.ndarray) -> dict:
+    """Metrics of (tp, fp, fn, tn), 0 where undefined; ``cells`` holds these."""
+    tp, fp, fn, tn = (float(x) for x in cells)
     n = tp + fp + fn + tn
     precision = tp / (tp + fp) if tp + fp else 0.0
     recall = tp / (tp + fn) if tp + fn else 0.0
-    return {"accuracy": (tp + tn) / n if n else 0.0, "precision": precision, "recall": recall,
+    return {"cells": np.asarray(cells), "accuracy": (tp + tn) / n if n else 0.0, "precision": precision, "recall": recall,
             "f1": 2 * precision * recall / (precision + recall) if precision + recall else 0.0}
 
 

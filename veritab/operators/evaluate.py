@@ -1,19 +1,19 @@
 """Classifier evaluation on scored tables.
 
 Every metric is a grouped aggregate, so the same code serves a whole table, a side,
-a fold, a stream window or a bootstrap replicate. Ranking metrics (ROC-AUC, average
+a fold or a stream window; bootstrap replicates come from :mod:`resample`. Ranking metrics (ROC-AUC, average
 precision) use the distributed running sums over distinct scores.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veritab.functions.scalar import col_of, direction_word, uniform_hash
+from veritab.functions.scalar import col_of, direction_word
+from veritab.operators import resample
 from veritab.operators.cumulative import running_sums
 from veritab.session import spread
 
@@ -119,43 +119,11 @@ def average_precision(df: DataFrame, label: str, score: str, by: Sequence[str] =
     return ranking_metrics(df, label, score, by, weight).select(*by, "average_precision")
 
 
-# Poisson(1) inverse CDF: P(K <= k) = exp(-1) * sum_{j<=k} 1/j!, k = 0..16 (rule-built)
-_POISSON1_CDF = [math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1)) for k in range(17)]
-
-
-def poisson1(u: Column) -> Column:
-    """Poisson(1) draw from a uniform number by inverting the CDF."""
-    expr = F.lit(len(_POISSON1_CDF))
-    for k in reversed(range(len(_POISSON1_CDF))):
-        expr = F.when(u < F.lit(_POISSON1_CDF[k]), F.lit(k)).otherwise(expr)
-    return expr
-
-
-def bootstrap_weights(df: DataFrame, key: Sequence[str], replicates: int, seed=42) -> DataFrame:
-    """Each row once per replicate with a Poisson(1) weight ``bw`` from
-    ``md5(key|replicate|seed)`` (Chamandy et al. 2012). The expansion is a generator, never
-    a join. Zero weights (37 % of pairs) are kept here and dropped after the first
-    aggregate: a filter on ``bw`` would be pushed below the projection and re-evaluate
-    md5 in every branch of the inverse-CDF chain; the map-side partial aggregate absorbs
-    the zero rows before any shuffle instead."""
-    x = spread(df).select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
-    x = x.withColumn("_u", uniform_hash(*key, "replicate", seed=seed))
-    return x.withColumn("bw", poisson1(F.col("_u"))).drop("_u")
-
-
-def bootstrap_metrics(df: DataFrame, label: str, pred: str, score: str, key: Sequence[str],
-                      replicates: int = 100, seed=42) -> DataFrame:
-    """Per replicate accuracy, precision, recall, F1, ROC-AUC and average precision,
-    from one scoring (no refit per replicate); long rows ``(replicate, metric, value)``."""
-    b = bootstrap_weights(df.select(*[col_of(k) for k in key], col_of(label).alias(label),
-                                    col_of(pred).alias(pred), col_of(score).alias(score)),
-                          key, replicates, seed)
-    # pre-aggregate: weights summed per (replicate, label, prediction, score) once,
-    # map-side; every metric below reads this compact table (one shared exchange)
-    c = b.groupBy("replicate", label, pred, score).agg(F.sum("bw").alias("bw")).where(F.col("bw") > 0)
-    cm = classification_metrics(c, label, pred, ["replicate"], weight="bw")
-    rk = ranking_metrics(c, label, score, ["replicate"], weight="bw")
-    wide = cm.join(rk, "replicate")
+def bootstrap_metrics(df: DataFrame, label: str, pred: str, score: str, replicates: int = 1000, seed=42) -> DataFrame:
+    """Per replicate accuracy, precision, recall, F1, ROC-AUC and average precision, from one
+    scoring (no refit per replicate) and one draw per cell of equal rows (:mod:`resample`); long rows
+    ``(replicate, metric, value)``."""
+    wide = resample.replicate_metrics(df, label, pred, score, replicates, seed)
     return metrics_long(wide, ["replicate"], (*METRICS, "roc_auc", "average_precision"))
 
 

@@ -1,7 +1,7 @@
 """Fitted models (M1-M4, M7-M9, M17-M23, M25, S11, G1) with Spark ML.
 
 Folds come from the exact md5 fold column (M6), so cross-validation, search and curves
-are reproducible and use ``CrossValidator(foldCol=...)`` where a validator applies.
+are reproducible; their logistic fits go through :mod:`batched`, all in one pass.
 Evaluation of out-of-fold predictions reuses the grouped metric aggregates.
 """
 
@@ -19,16 +19,16 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from veritab.operators import evaluate as EV
+from veritab.operators import batched as B
 from veritab.operators.features import balanced_weights, stratified_folds
+from veritab.session import run_table
 
 
 # ---------------- inputs ----------------
@@ -45,9 +45,8 @@ def prepare(df: DataFrame, label: str, key: Sequence[str], array_col: str | None
     """Features vector, balanced class weight (M5) and exact stratified fold (M6)."""
     v = vectorize(df, array_col, cols)
     w = balanced_weights(v, label, "weight")
-    # iterative fits read this frame many times: keep it (lost blocks recompute from lineage);
-    # adaptive execution sizes its partitions by the data
-    return stratified_folds(w, label, key, k, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    # iterative fits read this frame many times: written once in the shared folder, dropped with the run
+    return run_table(stratified_folds(w, label, key, k, seed))
 
 
 def training_part(df: DataFrame) -> DataFrame:
@@ -172,6 +171,23 @@ def cross_validate(df: DataFrame, make: Callable[[], object], fold_col: str = "f
     return out
 
 
+def strength(C: float, n: int) -> float:
+    """``lam`` of a batched fit for the inverse strength C of a sum over n rows (as in :func:`logistic`)."""
+    return 1.0 / (C * max(n, 1))
+
+
+def _folds(df: DataFrame, fold_col: str) -> list[int]:
+    return sorted(r[0] for r in df.select(fold_col).distinct().collect())  # k values
+
+
+def cross_validate_logistic(df: DataFrame, array_col: str, key: str, lam: float, fold_col: str = "fold") -> DataFrame:
+    """M7 of the logistic model: the fits of all folds in one pass; out-of-fold predictions as
+    :func:`cross_validate` gives them."""
+    folds = _folds(df, fold_col)
+    beta, _ = B.fit_many(B.rows_of(df, array_col, key, fold_col=fold_col), [B.Fit(lam, fold=f) for f in folds])
+    return B.out_of_fold(df, array_col, dict(zip(folds, beta, strict=True)), fold_col)
+
+
 def cv_metrics(oof: DataFrame, fold_col: str = "fold") -> DataFrame:
     """M7 metrics: per fold accuracy, precision, recall, F1, ROC-AUC; then mean, std (n),
     min, max over folds (W5)."""
@@ -240,108 +256,92 @@ def permutation_importance(model_fn, df: DataFrame, array_col: str, indices: Seq
 
 
 # ---------------- M17-M21 curves and search ----------------
-def learning_curve(df: DataFrame, make, sizes: Sequence[float], key: str, fold_col: str = "fold",
+# All logistic fits of a curve, search or ablation go through ``batched``: one scan per step for all of
+# them, class weights from each fit's own rows.
+def _recalls(df: DataFrame, array_col: str, key: str, fits: Sequence[B.Fit], fold_col: str, seed=42) -> tuple[np.ndarray, np.ndarray]:
+    """(train, validation) recall of every fit."""
+    rows = B.rows_of(df, array_col, key, fold_col=fold_col, seed=seed)
+    found = B.confusions(rows, fits, B.fit_many(rows, fits)[0])
+    return tuple(np.array([found[i, part]["recall"] for i in range(len(fits))]) for part in ("train", "validation"))  # type: ignore[return-value]
+
+
+def learning_curve(df: DataFrame, array_col: str, key: str, sizes: Sequence[float], lam: float, fold_col: str = "fold",
                    seed=42) -> DataFrame:
-    """Recall on train and validation for nested train fractions (md5-ranked prefixes)
-    per fold; mean and std over folds, and the final gap."""
-    from veritab.functions.scalar import uniform_hash
-    x = df.withColumn("_u", uniform_hash(key, seed=seed))
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-
-    def recalls(item):
-        s, f = item
-        tr, va = x.where((F.col(fold_col) != f) & (F.col("_u") < s)), x.where(F.col(fold_col) == f)
-        model = make().fit(training_part(tr))
-        return [EV.classification_metrics(scored(model, part), "label", "prediction").first()["recall"] for part in (tr, va)]
-
-    found = np.array(_together(recalls, list(itertools.product(sizes, folds)), df), dtype=float).reshape(len(sizes), len(folds), 2)
-    rows = [(float(s), float(r[:, 0].mean()), float(r[:, 0].std()), float(r[:, 1].mean()), float(r[:, 1].std()))
-            for s, r in zip(sizes, found)]
-    from pyspark.sql import SparkSession
-    out = SparkSession.getActiveSession().createDataFrame(
+    """Recall on train and validation for nested train fractions (md5 prefixes) per fold; mean
+    and std over folds, and the final gap."""
+    folds = _folds(df, fold_col)
+    fits = [B.Fit(lam, fold=f, fraction=float(s)) for s in sizes for f in folds]
+    train, val = (x.reshape(len(sizes), len(folds)) for x in _recalls(df, array_col, key, fits, fold_col, seed))
+    rows = [(float(s), float(t.mean()), float(t.std()), float(v.mean()), float(v.std())) for s, t, v in zip(sizes, train, val, strict=True)]
+    out = df.sparkSession.createDataFrame(
         rows, "train_fraction double, train_mean double, train_std double, val_mean double, val_std double")
     return out.withColumn("gap", F.col("train_mean") - F.col("val_mean"))
 
 
-def validation_curve(df: DataFrame, Cs: Sequence[float], n: int, fold_col: str = "fold") -> DataFrame:
+def validation_curve(df: DataFrame, array_col: str, key: str, Cs: Sequence[float], n: int, fold_col: str = "fold") -> DataFrame:
     """Recall of the logistic model on train and validation rows per fold over a grid of C;
     mean and std over folds; best C by validation recall flagged."""
-    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-
-    def recalls(item):
-        C, f = item
-        tr, va = df.where(F.col(fold_col) != f), df.where(F.col(fold_col) == f)
-        model = logistic(C=C, n=n).fit(training_part(tr))
-        return [EV.classification_metrics(scored(model, part), "label", "prediction").first()["recall"] for part in (va, tr)]
-
-    found = np.array(_together(recalls, list(itertools.product(Cs, folds)), df), dtype=float).reshape(len(Cs), len(folds), 2)
-    rows = [(float(C), float(r[:, 0].mean()), float(r[:, 0].std()), float(r[:, 1].mean()), float(r[:, 1].std()))
-            for C, r in zip(Cs, found)]
-    from pyspark.sql import SparkSession
-    out = SparkSession.getActiveSession().createDataFrame(
-        rows, "C double, recall_mean double, recall_std double, train_mean double, train_std double")
-    best = out.orderBy(F.desc("recall_mean"), "C").first()["C"]
+    folds = _folds(df, fold_col)
+    fits = [B.Fit(strength(C, n), fold=f) for C in Cs for f in folds]
+    train, val = (x.reshape(len(Cs), len(folds)) for x in _recalls(df, array_col, key, fits, fold_col))
+    rows = [(float(C), float(v.mean()), float(v.std()), float(t.mean()), float(t.std())) for C, t, v in zip(Cs, train, val, strict=True)]
+    out = df.sparkSession.createDataFrame(rows, "C double, recall_mean double, recall_std double, train_mean double, train_std double")
+    best = min(rows, key=lambda r: (-r[1], r[0]))[0]
     return out.withColumn("best", F.col("C") == F.lit(best))
 
 
-def _recall_evaluator():
-    return MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                             metricName="recallByLabel", metricLabel=1.0)
-
-
-def grid_search(df: DataFrame, grid: Mapping[str, Sequence], n: int, fold_col: str = "fold",
-                parallelism: int = 4) -> DataFrame:
+def grid_search(df: DataFrame, array_col: str, key: str, grid: Mapping[str, Sequence], n: int, fold_col: str = "fold") -> DataFrame:
     """Every combination of the grid, validated on the fold column by recall of class 1.
-    ``grid`` keys: ``C``, ``penalty``, ``solver``, ``max_iter``, ``class_weight`` (``balanced``/None).
-    Spark has one solver, so combinations that differ in it alone are listed each and fitted once."""
+    ``grid`` keys: ``C``, ``penalty``, ``solver``, ``max_iter``, ``class_weight`` (``balanced``/None), ``l1_ratio``.
+    Fits end at their optimum, so combinations that differ in solver or max_iter alone are listed each
+    and fitted once."""
     combos = [dict(zip(grid, v)) for v in itertools.product(*grid.values())]
-    return _search(df, combos, n, fold_col, parallelism)
+    return _search(df, array_col, key, combos, n, fold_col)
 
 
-def random_search(df: DataFrame, space: Mapping[str, Sequence], draws: int, n: int, seed: int = 42,
-                  fold_col: str = "fold", parallelism: int = 4) -> DataFrame:
-    """``draws`` combinations drawn without replacement (seeded) from the space."""
+def random_search(df: DataFrame, array_col: str, key: str, space: Mapping[str, Sequence], draws: int, n: int, seed: int = 42,
+                  fold_col: str = "fold") -> DataFrame:
+    """``draws`` combinations drawn without replacement (seeded) from the space. A combination
+    whose solver cannot fit its penalty (liblinear with elasticnet) is not fitted: it has no recall and
+    ranks last."""
     combos = [dict(zip(space, v)) for v in itertools.product(*space.values())]
     picked = random.Random(seed).sample(combos, min(draws, len(combos)))
-    return _search(df, picked, n, fold_col, parallelism)
-
-
-def _search(df: DataFrame, combos: list[dict], n: int, fold_col: str, parallelism: int) -> DataFrame:
-    lr = LogisticRegression(featuresCol="features", labelCol="label", standardization=False)
-    maps = []
-    for c in combos:
-        enet = {"l2": 0.0, "l1": 1.0, "elasticnet": float(c.get("l1_ratio", 0.5))}[c.get("penalty", "l2")]
-        m = {lr.regParam: 1.0 / (float(c.get("C", 1.0)) * n), lr.elasticNetParam: enet,
-             lr.maxIter: int(c.get("max_iter", 100))}
-        if c.get("class_weight") == "balanced":
-            m[lr.weightCol] = "weight"
-        maps.append(m)
-    # equal settings (the solver, or l1_ratio without elasticnet) are fitted once
-    same = [tuple(sorted((p.name, v) for p, v in m.items())) for m in maps]
-    first = {x: i for i, x in reversed(list(enumerate(same)))}
-    fitted = sorted(first.values())
-    k = df.select(fold_col).distinct().count()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=[maps[i] for i in fitted], evaluator=_recall_evaluator(),
-                        foldCol=fold_col, numFolds=k, parallelism=parallelism)
-    model = cv.fit(df)
-    at = [fitted.index(first[x]) for x in same]
-    rows = [(i, str(sorted(c.items())), float(model.avgMetrics[a]), float(model.stdMetrics[a]))
-            for i, (c, a) in enumerate(zip(combos, at))]
-    from pyspark.sql import SparkSession
-    out = SparkSession.getActiveSession().createDataFrame(
-        rows, "candidate int, params string, recall_mean double, recall_std double")
+    return _search(df, array_col, key, picked, n, fold_col)
+
+
+def _setting(c: dict, n: int) -> tuple[float, float, bool] | None:
+    """(lam, alpha, balanced) of a combination, None for an invalid one."""
+    penalty = c.get("penalty", "l2")
+    if penalty == "elasticnet" and c.get("solver") == "liblinear":
+        return None
+    alpha = {"l2": 0.0, "l1": 1.0, "elasticnet": float(c.get("l1_ratio", 0.5))}[penalty]
+    return strength(float(c.get("C", 1.0)), n), alpha, c.get("class_weight") == "balanced"
+
+
+def _search(df: DataFrame, array_col: str, key: str, combos: list[dict], n: int, fold_col: str) -> DataFrame:
+    settings = [_setting(c, n) for c in combos]
+    different = sorted({x for x in settings if x is not None})
+    folds = _folds(df, fold_col)
+    fits = [B.Fit(lam, alpha, fold=f, balanced=balanced) for lam, alpha, balanced in different for f in folds]
+    recall = _recalls(df, array_col, key, fits, fold_col)[1].reshape(len(different), len(folds)) if fits else np.zeros((0, 1))
+    at = {x: i for i, x in enumerate(different)}
+    rows = [(i, str(sorted(c.items())), *((float(recall[at[x]].mean()), float(recall[at[x]].std())) if x is not None else (None, None)))
+            for i, (c, x) in enumerate(zip(combos, settings, strict=True))]
+    out = df.sparkSession.createDataFrame(rows, "candidate int, params string, recall_mean double, recall_std double")
     # ranking over the candidate table (one row per candidate)
-    return out.withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("recall_mean"))))
+    return out.withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc_nulls_last("recall_mean"))))
 
 
-def evaluate_tuned(train: DataFrame, test: DataFrame, make, fold_col: str = "fold") -> DataFrame:
-    """Test metrics of the model fitted on all training rows, plus fold-mean F1 and
-    accuracy from cross-validation on the training rows."""
-    model = make().fit(training_part(train))
-    t = scored(model, test)
+def evaluate_tuned(train: DataFrame, test: DataFrame, array_col: str, key: str, lam: float, fold_col: str = "fold") -> DataFrame:
+    """Test metrics of the model fitted on all training rows, plus fold-mean F1 and accuracy
+    from cross-validation on the training rows; all fits in one pass."""
+    folds = _folds(train, fold_col)
+    beta, _ = B.fit_many(B.rows_of(train, array_col, key, fold_col=fold_col), [B.Fit(lam), *[B.Fit(lam, fold=f) for f in folds]])
+    t = test.withColumn("prediction_probability", B.linear_probability(array_col, beta[0])) \
+        .withColumn("prediction", (F.col("prediction_probability") >= 0.5).cast("int"))
     cm = EV.classification_metrics(t, "label", "prediction")
     rk = EV.ranking_metrics(t, "label", "prediction_probability")
-    oof = cross_validate(train, make, fold_col)
+    oof = B.out_of_fold(train, array_col, dict(zip(folds, beta[1:], strict=True)), fold_col)
     cvm = EV.classification_metrics(oof, "label", "prediction", [fold_col]).agg(
         F.avg("f1").alias("cv_f1_mean"), F.avg("accuracy").alias("cv_accuracy_mean"))
     return _one_row_union(cm, rk, cvm)
@@ -358,26 +358,18 @@ def _one_row_union(*frames: DataFrame) -> DataFrame:
 
 
 # ---------------- M23 ablation ----------------
-def ablation(df: DataFrame, array_col: str, indices: Sequence[int], make,
-             fold_col: str = "fold") -> DataFrame:
-    """Refit without each listed feature; drop in recall, F1 and accuracy (baseline
-    minus ablated), from cross-validated out-of-fold predictions."""
-    def cvm(frame):
-        oof = cross_validate(frame, make, fold_col)
-        return EV.classification_metrics(oof, "label", "prediction").first()
-
-    def without(j):
-        if j is None:
-            return cvm(df)
-        drop = df.withColumn(array_col, F.filter(F.col(array_col), lambda v, i: i != j))
-        return cvm(vectorize(drop, array_col))
-
-    base, *found = _together(without, [None, *indices], df)
-    rows = [(j, base["recall"] - r["recall"], base["f1"] - r["f1"], base["accuracy"] - r["accuracy"])
-            for j, r in zip(indices, found)]
-    from pyspark.sql import SparkSession
-    return SparkSession.getActiveSession().createDataFrame(
-        rows, "feature_index int, recall_drop double, f1_drop double, accuracy_drop double")
+def ablation(df: DataFrame, array_col: str, key: str, indices: Sequence[int], lam: float, fold_col: str = "fold") -> DataFrame:
+    """Refit without each listed feature; drop in recall, F1 and accuracy (baseline minus
+    ablated) of the out-of-fold predictions of all folds together. All fits in one pass."""
+    folds = _folds(df, fold_col)
+    sets = [(), *[(j,) for j in indices]]
+    fits = [B.Fit(lam, fold=f, without=x) for x in sets for f in folds]
+    rows = B.rows_of(df, array_col, key, fold_col=fold_col)
+    found = B.confusions(rows, fits, B.fit_many(rows, fits)[0])
+    pooled = [B.metrics_of(np.sum([found[i * len(folds) + f, "validation"]["cells"] for f in range(len(folds))], axis=0)) for i in range(len(sets))]
+    base = pooled[0]
+    out = [(int(j), *(base[m] - x[m] for m in ("recall", "f1", "accuracy"))) for j, x in zip(indices, pooled[1:], strict=True)]
+    return df.sparkSession.createDataFrame(out, "feature_index int, recall_drop double, f1_drop double, accuracy_drop double")
 
 
 # ---------------- M22 comparison ----------------
