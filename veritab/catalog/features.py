@@ -138,13 +138,14 @@ _E7_FEATS = ["l_quantity", "l_extendedprice", "l_discount"]
        + ", ".join(f"AVG({c}) AS m_{c}, CASE WHEN STDDEV_POP({c}) = 0 THEN 1 ELSE STDDEV_POP({c}) END AS s_{c}" for c in _E7_FEATS)
        + " FROM sp WHERE split = 'train'), sc AS (SELECT split, "
        + ", ".join(f"({c} - m_{c}) / s_{c} AS {c}" for c in _E7_FEATS) + " FROM sp, fit) "
-       + sql_union([f"SELECT split, '{c}' AS feature, {R6(f'AVG({c})')} AS mean, {R6(f'STDDEV_POP({c})')} AS std "
+       + sql_union([f"SELECT split, '{c}' AS feature, ROUND(AVG({c}), 9) + 0.0 AS mean, {R6(f'STDDEV_POP({c})')} AS std "
                     f"FROM sc GROUP BY split" for c in _E7_FEATS]))
 def e07(spark, sf):
     s = FE.stratified_split(tbl(spark, sf, "lineitem"), "l_returnflag", LI_KEY, 0.2, 42)
     train, test, _ = FE.standard_scale(s.where("split = 'train'"), s.where("split = 'test'"), _E7_FEATS)
     long = melt(train.unionByName(test), _E7_FEATS, by=["split"])
-    return rounded(long.groupBy("split", "feature").agg(F.avg("value").alias("mean"),
+    # a scaled mean is 0 but for the order of additions: rounded, and never -0
+    return rounded(long.groupBy("split", "feature").agg((F.round(F.avg("value"), 9) + F.lit(0.0)).alias("mean"),
                                                          F.stddev_pop("value").alias("std")))
 
 

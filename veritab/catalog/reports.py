@@ -231,7 +231,7 @@ def _e08_sql():
                "CASE WHEN l_quantity <> 0 THEN l_extendedprice / l_quantity END AS unit_price, "
                "DENSE_RANK() OVER (ORDER BY l_linestatus) - 1 AS target")
     scaled = sql_union([
-        f"SELECT split, '{c}' AS feature, COUNT({c}) AS n, {R6(f'AVG(({c} - m_{c}) / s_{c})')} AS mean, "
+        f"SELECT split, '{c}' AS feature, COUNT({c}) AS n, ROUND(AVG(({c} - m_{c}) / s_{c}), 9) + 0.0 AS mean, "
         f"{R6(f'STDDEV_POP(({c} - m_{c}) / s_{c})')} AS std FROM sp, fit GROUP BY split" for c in _E8_FEATS])
     fit = ", ".join(f"AVG({c}) AS m_{c}, CASE WHEN STDDEV_POP({c}) = 0 THEN 1 ELSE STDDEV_POP({c}) END AS s_{c}" for c in _E8_FEATS)
     return (f"WITH {SQL_LI_NULLS}, e8 AS (SELECT DISTINCT {kept} FROM (SELECT * FROM lin UNION ALL SELECT * FROM lin WHERE l_orderkey % 10 = 0)), "
@@ -254,7 +254,7 @@ def e08(spark, sf):
     parts = []
     for name, frame in (("train", prep.train), ("test", prep.test)):
         long = P.melt(frame, prep.features).groupBy("feature").agg(
-            F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+            F.count("value").alias("n"), (F.round(F.avg("value"), 9) + F.lit(0.0)).alias("mean"), F.stddev_pop("value").alias("std"))
         parts.append(long.withColumn("split", F.lit(name)))
     return rounded(parts[0].unionByName(parts[1]))
 

@@ -203,8 +203,8 @@ def permutation_pairs(df: DataFrame, features: Sequence[str], key: Sequence[str]
     x = spread(df).select(*[col_of(k) for k in key], vals.alias("_vals"), F.explode(jobs).alias("_job")) \
         .select(*key, "_vals", F.col("_job.feature").alias("feature"), F.col("_job.repeat").alias("repeat"))
     x = x.withColumn("_grp", F.concat_ws("|", "feature", F.col("repeat").cast("string")))
-    own = _class_rank(x, "_grp", key, seed).select(*key, "feature", "repeat", "_grp", F.col("_rank").alias("_r"))
-    src = _class_rank(x, "_grp", [*key, "feature", "repeat"], seed) \
+    own = _class_rank(x, "_grp", key, seed, len(features) * repeats).select(*key, "feature", "repeat", "_grp", F.col("_rank").alias("_r"))
+    src = _class_rank(x, "_grp", [*key, "feature", "repeat"], seed, len(features) * repeats) \
         .select("_grp", F.col("_rank").alias("_r"), F.col("_vals")[F.col("feature")].alias("permuted"))
     return own.join(src, ["_grp", "_r"], "inner").drop("_grp", "_r")
 

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from veritab.functions.scalar import col_of, hash_order_key, row_max, row_mean, row_std, safe_ratio
 from veritab.operators.shape import drop_all_null_columns, drop_name_pattern
 from veritab.operators.cumulative import running_sums
+from veritab.operators import radix
 from veritab.session import spread
 
-HASH_BUCKET_DIGITS = 3  # 16^3 = 4096 rank buckets per class
 
 
 # ---------------- E1 clean ----------------
@@ -115,21 +115,17 @@ def select_k_best(df: DataFrame, features: Sequence[str], label: str, k: int,
 
 
 # ---------------- E6 / M6 exact stratified split and folds ----------------
-def _class_rank(df: DataFrame, label: str, key: Sequence[str], seed, with_counts: bool = False):
-    """Rank of each row inside its class in md5(key|seed) order (1-based ``_rank``).
-    With ``with_counts`` also return the (class, bucket) count table it is built from."""
+def _class_rank(df: DataFrame, label: str, key: Sequence[str], seed, copies: int = 1):
+    """Rank of each row inside its class in md5(key|seed) order (1-based ``_rank``): rows are ranked within
+    buckets of neighbouring keys, whose number follows the number of rows (``copies`` classes of them
+    each); offsets are an equi-join on (class, bucket)."""
     h = hash_order_key(*key, seed=seed)
-    x = spread(df).withColumn("_h", h).withColumn(
-        "_b", F.conv(F.substring("_h", 1, HASH_BUCKET_DIGITS), 16, 10).cast("int"))
-    counts = x.groupBy(col_of(label).alias("_lbl"), "_b").agg(F.count(F.lit(1)).alias("_c"))
-    offs = counts.select("_lbl", "_b", F.coalesce(F.sum("_c").over(
-        Window.partitionBy("_lbl").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    # offsets: classes x 4096 rows at most -> broadcast
-    j = x.join(F.broadcast(offs), (x[label].eqNullSafe(offs["_lbl"])) & (x["_b"] == offs["_b"]), "inner") \
-        .drop(offs["_b"]).drop("_lbl")
+    digits = radix.digits_for(df.count() // max(copies, 1))
+    x = spread(df).withColumn("_h", h).withColumn("_b", radix.bucket(F.col("_h"), digits))
+    offs = radix.offsets(x.select(col_of(label).alias("_lbl"), "_b"), ["_lbl"]).select("_lbl", F.col("_b").alias("_ob"), "_off")
+    j = x.join(offs, (x[label].eqNullSafe(offs["_lbl"])) & (x["_b"] == offs["_ob"]), "inner").drop("_ob", "_lbl")
     w = Window.partitionBy(col_of(label), F.col("_b")).orderBy("_h")
-    ranked = j.withColumn("_rank", F.row_number().over(w) + F.col("_off")).drop("_off")
-    return (ranked, counts) if with_counts else ranked
+    return j.withColumn("_rank", F.row_number().over(w) + F.col("_off")).drop("_off")
 
 
 def class_quotas(df: DataFrame, label: str, test_size: float, class_counts: DataFrame | None = None) -> DataFrame:
@@ -152,14 +148,12 @@ def class_quotas(df: DataFrame, label: str, test_size: float, class_counts: Data
 
 def stratified_split(df: DataFrame, label: str, key: Sequence[str], test_size: float = 0.2,
                      seed=42, split_col: str = "split") -> DataFrame:
-    """Exact stratified split; ``split`` is ``test`` for the first quota rows of each
-    class in md5(key|seed) order, else ``train``."""
-    ranked, counts = _class_rank(df, label, key, seed, with_counts=True)
-    # per-class totals from the (class, bucket) counts: no second scan of the input
-    q = class_quotas(df, label, test_size, counts.groupBy("_lbl").agg(F.sum("_c").alias("n_k")))
-    j = ranked.join(F.broadcast(q.select("_lbl", "quota")), ranked[label].eqNullSafe(q["_lbl"]), "inner")
-    return j.withColumn(split_col, F.when(F.col("_rank") <= F.col("quota"), "test").otherwise("train")) \
-        .drop("_lbl", "quota", "_rank", "_h", "_b")
+    """Exact stratified split; ``split`` is ``test`` for the first quota rows of each class in
+    md5(key|seed) order, else ``train``. The class limits come from radix selection, so rows are
+    neither shuffled nor sorted; rows of equal keys fall together."""
+    h = hash_order_key(*key, seed=seed)
+    joined, inside = radix.within_quota(df, label, h, class_quotas(df, label, test_size))
+    return joined.withColumn(split_col, F.when(inside, "test").otherwise("train")).drop("_limit")
 
 
 def stratified_folds(df: DataFrame, label: str, key: Sequence[str], k: int = 5, seed=42,

@@ -230,7 +230,7 @@ def permuted_elements(df: DataFrame, array_col: str, indices: Sequence[int], key
     a = _class_rank(df.withColumn("_one", F.lit(1)), "_one", [key], seed=f"a{seed}").select(key, F.col("_rank").alias("_r"))
     values = df.select(key, F.explode(F.array(*[F.struct(F.lit(i).alias("_j"), F.element_at(F.col(array_col), i + 1).alias("_v"))
                                                 for i in indices])).alias("_x")).select(key, "_x.*")
-    b = _class_rank(values, "_j", [key, "_j"], seed=seed).select(F.col("_rank").alias("_r"), "_j", "_v")
+    b = _class_rank(values, "_j", [key, "_j"], seed=seed, copies=len(indices)).select(F.col("_rank").alias("_r"), "_j", "_v")
     j = df.join(a.join(b, "_r").select(key, "_j", "_v"), key)
     return j.withColumn(array_col, F.transform(F.col(array_col), lambda v, i: F.when(i == F.col("_j"), F.col("_v"))
                                                .otherwise(v))).drop("_v")
