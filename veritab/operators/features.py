@@ -21,6 +21,8 @@ from veritab.operators.cumulative import running_sums
 from veritab.operators import radix
 from veritab.session import spread
 
+#: Rows of an offset table up to which it is broadcast.
+MOST_OFFSETS = 100_000
 
 
 # ---------------- E1 clean ----------------
@@ -123,6 +125,8 @@ def _class_rank(df: DataFrame, label: str, key: Sequence[str], seed, copies: int
     digits = radix.digits_for(df.count() // max(copies, 1))
     x = spread(df).withColumn("_h", h).withColumn("_b", radix.bucket(F.col("_h"), digits))
     offs = radix.offsets(x.select(col_of(label).alias("_lbl"), "_b"), ["_lbl"]).select("_lbl", F.col("_b").alias("_ob"), "_off")
+    if copies > 1 and copies * 16 ** digits <= MOST_OFFSETS:  # a known number of classes and buckets
+        offs = F.broadcast(offs)
     j = x.join(offs, (x[label].eqNullSafe(offs["_lbl"])) & (x["_b"] == offs["_ob"]), "inner").drop("_ob", "_lbl")
     w = Window.partitionBy(col_of(label), F.col("_b")).orderBy("_h")
     return j.withColumn("_rank", F.row_number().over(w) + F.col("_off")).drop("_off")
