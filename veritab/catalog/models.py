@@ -57,7 +57,7 @@ def m03(spark, sf):
 @query("m04_boosted_trees")
 def m04(spark, sf):
     df = _emb(spark, sf)
-    return _holdout_metrics(M.boosted_trees().fit(M.training_part(df.where("fold != 0"))), df)
+    return _holdout_metrics(M.boosted_trees("embedding", ["vec_id"]).fit(M.training_part(df.where("fold != 0"))), df)
 
 
 @query("m07_cross_validation")
@@ -132,7 +132,7 @@ def m22(spark, sf):
     parts = []
     for name, model in [("logistic", M.logistic(C=1.0, n=n).fit(tr)), ("random_forest", M.random_forest().fit(tr)),
                         ("fourier_svm", M.FourierSVM("embedding", DIM).fit(tr)),
-                        ("boosted_trees", M.boosted_trees().fit(tr))]:
+                        ("boosted_trees", M.boosted_trees("embedding", ["vec_id"]).fit(tr))]:
         parts.append(_holdout_metrics(model, df).withColumn("model_name", F.lit(name)))
     long = parts[0]
     for p in parts[1:]:

@@ -17,8 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +26,7 @@ from pyspark.sql.functions import pandas_udf
 
 from veritab.operators import evaluate as EV
 from veritab.operators import batched as B
+from veritab.operators.boosting import BoostedTrees
 from veritab.operators.features import balanced_weights, stratified_folds
 from veritab.session import run_table
 
@@ -81,12 +81,11 @@ def random_forest(num_trees: int = 100, max_depth: int = 10, min_leaf: int = 2,
                                   weightCol="weight" if weighted else None)
 
 
-def boosted_trees(rounds: int = 100, max_depth: int = 6, rate: float = 0.1, subsample: float = 0.8,
-                  col_sample: str = "0.8", seed: int = 42) -> GBTClassifier:
-    """M4: 100 rounds, depth 6, step 0.1, row and feature sampling 0.8."""
-    return GBTClassifier(featuresCol="features", labelCol="label", maxIter=rounds, maxDepth=max_depth,
-                         stepSize=rate, subsamplingRate=subsample, featureSubsetStrategy=col_sample,
-                         seed=seed, weightCol="weight")
+def boosted_trees(array_col: str, key: Sequence[str], rounds: int = 100, max_depth: int = 6, rate: float = 0.1,
+                  subsample: float = 0.8, col_sample: float = 0.8, pos_weight: float = 1.7, seed: int = 42) -> BoostedTrees:
+    """M4: 100 rounds, depth 6, step 0.1, row and feature sampling 0.8, positive class weight 1.7."""
+    return BoostedTrees(array_col, tuple(key), rounds=rounds, max_depth=max_depth, rate=rate, subsample=subsample,
+                        col_sample=col_sample, pos_weight=pos_weight, seed=seed)
 
 
 def fourier_features(df: DataFrame, array_col: str, dim: int, n_components: int = 100,
