@@ -1,5 +1,5 @@
 """Fitted-model queries on ``embeddings`` (label 0 vs rest). Rows-only checks: a fitted
-model has no SQL twin. M26 is SQL-checked on the fixed linear scorer."""
+model has no SQL twin. M26 is SQL-checked on the fixed linear scorer, the compiled forms of G1 and S11 on dumped models."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from veritab.catalog.base import LI_KEY, SQL_LI_SCORED, li_scored, query, rounded, sql_round, sql_union, tbl
+from veritab.operators import compiled as C
 from veritab.operators import evaluate as EV
 from veritab.operators import features as FE
 from veritab.operators import models as M
@@ -208,6 +209,55 @@ def g01(spark, sf):
                                                F.avg("prediction_probability").alias("mean_probability")))
 
 
+# ---- compiled scoring of dumped models (SQL-checked) ----
+_DUMP_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+#: dumped models over these columns
+_DUMPS = {
+    "linear": {"kind": "linear", "bias": -3.3, "weights": [0.08, 20.0, 10.0]},
+    "forest": {"kind": "trees", "link": "mean", "trees": [
+        {"feature": 0, "cut": 24.5, "missing": "right", "left": {"leaf": 0.125},
+         "right": {"feature": 1, "cut": 0.045, "missing": "left", "left": {"leaf": 0.375}, "right": {"leaf": 0.875}}},
+        {"feature": 2, "cut": 0.035, "missing": "right", "left": {"leaf": 0.25}, "right": {"leaf": 0.625}}]},
+    "boosted": {"kind": "trees", "link": "logistic", "trees": [
+        {"feature": 3, "cut": 40000.0, "missing": "left", "left": {"leaf": -0.4},
+         "right": {"feature": 0, "cut": 35.5, "missing": "right", "left": {"leaf": 0.1}, "right": {"leaf": 0.6}}},
+        {"feature": 1, "cut": 0.055, "missing": "right", "left": {"leaf": -0.2}, "right": {"leaf": 0.3}}]},
+}
+
+
+def _dumped_scores_sql():
+    return sql_union([f"SELECT '{name}' AS model_name, {C.score_sql(d, lambda i: _DUMP_FEATURES[i])} AS p FROM lineitem" for name, d in _DUMPS.items()])
+
+
+def _dumped_scores(spark, sf, documents):
+    li, out = tbl(spark, sf, "lineitem"), None
+    for name, d in documents.items():
+        s = C.score(li, d, lambda i: F.col(_DUMP_FEATURES[i])).select(F.lit(name).alias("model_name"), "prediction", "prediction_probability")
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@query("g01_compiled_scoring",
+       f"WITH s AS ({_dumped_scores_sql()}) SELECT model_name, CASE WHEN p IS NULL THEN NULL ELSE CAST(p >= 0.5 AS INTEGER) END AS prediction, "
+       f"COUNT(*) AS n, {sql_round('AVG(p)')} AS mean_probability FROM s GROUP BY 1, 2")
+def g01c(spark, sf):
+    return rounded(_dumped_scores(spark, sf, _DUMPS).groupBy("model_name", "prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("prediction_probability").alias("mean_probability")))
+
+
+@query("s11_dumped_models",
+       f"WITH s AS ({_dumped_scores_sql()}) SELECT model_name, COUNT(*) AS n, {sql_round('MIN(p)')} AS min_probability, "
+       f"{sql_round('MAX(p)')} AS max_probability, {sql_round('AVG(p)')} AS mean_probability FROM s GROUP BY 1")
+def s11d(spark, sf):
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    for name, d in _DUMPS.items():
+        C.write_dump(spark, d, f"{folder}/{name}")
+    back = {name: C.read_dump(spark, f"{folder}/{name}") for name in _DUMPS}
+    p = F.col("prediction_probability")
+    return rounded(_dumped_scores(spark, sf, back).groupBy("model_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min(p).alias("min_probability"), F.max(p).alias("max_probability"), F.avg(p).alias("mean_probability")))
+
+
 # ---- M26 readiness on the fixed linear scorer (SQL-checked) ----
 _MD5F = "md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, '42'))"
 

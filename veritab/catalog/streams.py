@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from veritab.catalog.base import (SCORE_B, SCORE_W, SQL_LI_SCORED, li_scored, query, rounded, sql_round,
                                   tbl)
+from veritab.catalog.evaluation import _PSQL, _conf_sql
 from veritab.operators import evaluate as EV
 from veritab.operators import rules as R
 from veritab.sources.io import clean_nan
@@ -93,7 +94,9 @@ def t03(spark, sf):
     return rounded(S.run_available_now(w, "t03"))
 
 
-@query("t04_stream_scoring_log")
+@query("t04_stream_scoring_log",
+       f"WITH s AS (SELECT {_PSQL} AS p FROM lineitem) SELECT CASE WHEN p >= 0.5 THEN 'Maligno' WHEN p IS NOT NULL THEN 'Benigno' END AS prediction_label, "
+       f"{_conf_sql('p')} AS confidence, COUNT(*) AS n, {R6('AVG(p)')} AS mean_probability FROM s GROUP BY 1, 2")
 def t04(spark, sf):
     li = clean_nan(S.file_stream(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
     s = S.score_stream(li, dict(SCORE_W), SCORE_B, [c for c, _ in SCORE_W], ts="l_shipdate")
