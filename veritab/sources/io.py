@@ -9,18 +9,19 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
 __all__ = [
     "clean_nan", "read_table", "read_csv", "load_table", "load_pair", "resolve_path",
     "read_if_exists", "read_feature_list", "write_table", "write_metadata", "write_report_csv",
     "write_report_json", "append_prediction_log", "write_alerts", "save_model", "load_model",
-    "report_json",
+    "report_json", "append_run", "committed_runs", "read_runs",
 ]
 
 
@@ -129,16 +130,62 @@ def write_report_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def append_prediction_log(df: DataFrame, path: str) -> None:
-    """Append scored rows as JSON lines (``timestamp, features, prediction, probability,
-    prediction_label``)."""
-    df.write.mode("append").json(path)
+def append_run(df: DataFrame, path: str, run_id: str, partition_by: Sequence[str] = ()) -> bool:
+    """Append the rows of one run as JSON lines, once: a run that is repeated after it has ended writes nothing
+    (False), one that was killed is written anew.
+
+    Data go to ``path/data/run=<id>`` first (overwritten by each attempt), then the run's one-row file
+    ``path/commits/run=<id>`` says that they are whole. :func:`read_runs` takes the runs that have one. Attempts of
+    the same run must not write at the same time. ``run_id``: letters, digits, ``.``, ``_`` and ``-``."""
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", run_id):
+        raise ValueError(f"run id {run_id!r}")
+    spark, path = df.sparkSession, path.rstrip("/")
+    if committed_runs(spark, path).where(F.col("run_id") == run_id).count():
+        return False
+    w = df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).json(f"{path}/data/run={run_id}")
+    spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("overwrite").json(f"{path}/commits/run={run_id}")
+    return True
+
+
+def committed_runs(spark: SparkSession, path: str) -> DataFrame:
+    """run_id of every run that :func:`append_run` has finished."""
+    return _json_or_empty(spark, f"{path.rstrip('/')}/commits", StructType().add("run_id", "string")).distinct()
+
+
+def read_runs(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rows of all finished runs with their ``run_id``; rows of a run that has not ended are left out."""
+    rows = _json_or_empty(spark, f"{path.rstrip('/')}/data", StructType([*schema.fields, StructField("run_id", StringType())]))
+    return rows.join(committed_runs(spark, path), "run_id", "left_semi")
 
 
-def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Partitioned append by alert type and date; an empty frame adds no partition."""
-    (alerts.withColumn("date", F.date_format(F.col("ts"), "yyyyMMdd"))
-     .write.mode("append").partitionBy("type", "date").json(path))
+def _json_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """JSON rows below ``path`` (none where it does not exist yet)."""
+    try:
+        return spark.read.schema(schema).json(path).select(*schema.fieldNames())
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def append_prediction_log(df: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Append scored rows as JSON lines (``timestamp, features, prediction, probability,
+    prediction_label``); with a ``run_id`` a repeated run writes once (:func:`append_run`)."""
+    if run_id is None:
+        df.write.mode("append").json(path)
+    else:
+        append_run(df, path, run_id)
+
+
+def write_alerts(alerts: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Partitioned append by alert type and date; an empty frame adds no partition. With a ``run_id``
+    a repeated run writes once (:func:`append_run`)."""
+    dated = alerts.withColumn("date", F.date_format(F.col("ts"), "yyyyMMdd"))
+    if run_id is None:
+        dated.write.mode("append").partitionBy("type", "date").json(path)
+    else:
+        append_run(dated, path, run_id, ["type", "date"])
 
 
 def save_model(model, path: str) -> None:
