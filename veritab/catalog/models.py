@@ -14,6 +14,7 @@ from veritab.operators import evaluate as EV
 from veritab.operators import features as FE
 from veritab.operators import models as M
 from veritab.operators import rules as R
+from veritab.operators.kernel_svm import KernelSVM
 from veritab.session import checkpoint_dir
 
 DIM = 64
@@ -55,6 +56,20 @@ def m03(spark, sf):
     return _holdout_metrics(model, df)
 
 
+@query("m03_kernel_svm")
+def m03k(spark, sf):
+    """Hold-out metrics of the RBF machine with its certificate: duality gap, kernel residual, support vectors."""
+    df = _emb(spark, sf)
+    train = M.training_part(df.where("fold != 0"))
+    model = KernelSVM("embedding", ("vec_id",)).fit(train)
+    t = M.calibrated(model, train)(df.where("fold = 0"))
+    cm = EV.classification_metrics(t, "label", "prediction")
+    rk = EV.ranking_metrics(t, "label", "prediction_probability")
+    proof = spark.createDataFrame([(float(model.gap / model.objective if model.objective else 0.0), float(model.kernel_residual), float(model.support))],
+                                  "relative_duality_gap double, kernel_residual double, support_vectors double")
+    return rounded(M._one_row_union(cm.select(*EV.METRICS), rk, proof))
+
+
 @query("m04_boosted_trees")
 def m04(spark, sf):
     df = _emb(spark, sf)

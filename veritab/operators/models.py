@@ -27,6 +27,7 @@ from pyspark.sql.functions import pandas_udf
 from veritab.operators import evaluate as EV
 from veritab.operators import batched as B
 from veritab.operators.boosting import BoostedTrees
+from veritab.operators.kernel_svm import KernelModel
 from veritab.operators.features import balanced_weights, stratified_folds
 from veritab.session import run_table
 
@@ -144,6 +145,17 @@ class FourierSVM:
         return self.platt.transform(m)
 
 
+def calibrated(model: KernelModel, train: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Platt scaling of a kernel machine: a 1-D logistic regression on the training margins gives
+    ``prediction_probability``; ``prediction`` is the margin's sign. Rows without a margin are left out."""
+    def margins(df: DataFrame) -> DataFrame:
+        m = model.transform(df).where("margin IS NOT NULL").drop("features")
+        return VectorAssembler(inputCols=["margin"], outputCol="features").transform(m)
+
+    platt = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.0, predictionCol="").fit(margins(train))
+    return lambda df: platt.transform(margins(df)).withColumn("prediction_probability", vector_to_array("probability")[1])
+
+
 def fit(estimator, df: DataFrame):
     return estimator.fit(df)
 
