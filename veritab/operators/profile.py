@@ -16,9 +16,13 @@ from pyspark.sql.types import NumericType, StringType
 
 from veritab import thresholds as T
 from veritab.functions.scalar import col_of
+from veritab.operators.comoments import correlations
 from veritab.operators.cumulative import exact_quantiles
 from veritab.session import spread
 
+#: Columns whose pairs (276) are still one row of aggregates.
+NARROW = 23
+
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
     """Equi-join with a table of one row per group; adaptive execution broadcasts it where its
@@ -147,23 +151,25 @@ def drop_duplicates(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     return df.dropDuplicates(list(cols) if cols else None)
 
 
+def _correlation(a: Column, b: Column) -> Column:
+    """Pearson correlation over the rows that have both; null where one of them does not vary
+    (``corr`` divides by zero there)."""
+    a, b = a.cast("double"), b.cast("double")
+    spread_of = lambda x, other: F.stddev_pop(F.when(other.isNotNull(), x))
+    return F.try_divide(F.covar_pop(a, b), spread_of(a, b) * spread_of(b, a))
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson matrix, pairwise complete, as long rows ``(feature_a, feature_b, corr)``.
-    One aggregate holds every pair; wide tables are cut into chunks of pairs."""
+    """Pearson matrix, pairwise complete, as long rows ``(feature_a, feature_b, corr)``. Few columns are one
+    row of aggregates; more than ``NARROW`` go through blocks of co-moments (:mod:`comoments`), also in one scan."""
     cols = list(cols)
+    if len(cols) > NARROW:
+        return correlations(df, cols)
     df = spread(df.select(*[col_of(c) for c in cols]))
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    aggs = [F.corr(col_of(cols[i]).cast("double"), col_of(cols[j]).cast("double")).alias(f"_c{i}_{j}")
-            for i, j in pairs]
+    aggs = [_correlation(col_of(cols[i]), col_of(cols[j])).alias(f"_c{i}_{j}") for i, j in pairs]
     aggs += [F.stddev_pop(col_of(c).cast("double")).alias(f"_s{i}") for i, c in enumerate(cols)]
-    # wide tables: chunks of aggregates (codegen method size), merged by one more aggregate
-    chunk = 400
-    frames = [df.agg(*aggs[k:k + chunk]) for k in range(0, len(aggs), chunk)]
-    one = frames[0]
-    if len(frames) > 1:
-        for fr in frames[1:]:
-            one = one.unionByName(fr, allowMissingColumns=True)
-        one = one.agg(*[F.max(c).alias(c) for c in one.columns])
+    one = df.agg(*aggs)
     structs = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
@@ -178,8 +184,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def target_correlation(df: DataFrame, cols: Sequence[str], target: Column, k: int = 10) -> DataFrame:
     """Correlation of every feature with a 0/1 target, descending, top ``k``."""
-    one = df.agg(*[F.corr(col_of(c).cast("double"), target.cast("double")).alias(f"_t{i}")
-                   for i, c in enumerate(cols)])
+    one = df.agg(*[_correlation(col_of(c), target).alias(f"_t{i}") for i, c in enumerate(cols)])
     long = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"),
                                                   F.col(f"_t{i}").alias("corr"))
                                          for i, c in enumerate(cols)])))
