@@ -67,6 +67,11 @@ def x02b(spark, sf):
     return rounded(lv.select("model_name", "version", F.col("metrics")["accuracy"].alias("accuracy")))
 
 
+@query("x02_list_runs", f"WITH {_RUNS_SQL} SELECT model_name, version FROM mf")
+def x02c(spark, sf):
+    return RU.list_runs(_runs(spark, sf))
+
+
 @query("j01_pair_sides",
        f"WITH {SQL_LI_SIDES}, a AS (" + sql_union(
            [f"SELECT '{c}' AS feature, AVG(CASE WHEN side = 'reference' THEN {c} END) AS r, "

@@ -49,4 +49,5 @@ def latest_versions(runs: DataFrame) -> DataFrame:
 
 
 def list_runs(runs: DataFrame) -> DataFrame:
+    """Every run by model, the latest version first."""
     return runs.select("model_name", "version").orderBy("model_name", F.desc("version"))

@@ -28,10 +28,10 @@ def score_linear(df: DataFrame, weights: Mapping[str, float], bias: float, thres
 
 
 def score_records(records: DataFrame, record_col: str, weights: Mapping[str, float], bias: float,
-                  id_col: str | None = None, threshold: float = 0.5) -> DataFrame:
+                  id_col: str | None = None, threshold: float = 0.5, keep: Sequence[str] = ()) -> DataFrame:
     """Score feature records (``map<string,double>``); each record gives a result or an
     error naming what is missing or null (all other fields are null then). Per-record position comes from ``id_col`` when
-    given (e.g. ``posexplode`` of a request array)."""
+    given (e.g. ``posexplode`` of a request array); ``keep``: further columns to carry."""
     m = F.col(record_col)
     names = list(weights)
     wanted = F.array(*[F.lit(n) for n in names])
@@ -44,6 +44,7 @@ def score_records(records: DataFrame, record_col: str, weights: Mapping[str, flo
     p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
     ok = error.isNull()
     out = records.select(
+        *[col_of(c) for c in keep],
         *([F.col(id_col).alias("id")] if id_col else []),
         F.when(ok, (p >= threshold).cast("int")).alias("prediction"),
         F.when(ok, p).alias("probability"),
@@ -54,9 +55,24 @@ def score_records(records: DataFrame, record_col: str, weights: Mapping[str, flo
     return out
 
 
-def explode_batch(batch: DataFrame, array_col: str) -> DataFrame:
-    """One row per record of a request array, with its position as id."""
-    return batch.select(F.posexplode(F.col(array_col)).alias("id", "record"))
+def explode_batch(batch: DataFrame, array_col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per record of a request array, with its position as id. An empty or null array has none."""
+    return batch.select(*[col_of(c) for c in keep], F.posexplode(F.col(array_col)).alias("id", "record"))
+
+
+def score_batch(batch: DataFrame, array_col: str, request: str, weights: Mapping[str, float], bias: float,
+                threshold: float = 0.5) -> DataFrame:
+    """Every record of every request's array scored at its position; bad records carry their error and
+    do not fail the others."""
+    return score_records(explode_batch(batch, array_col, [request]), "record", weights, bias, "id", threshold, [request])
+
+
+def batch_summary(batch: DataFrame, array_col: str, request: str, scored: DataFrame) -> DataFrame:
+    """Records, good and bad ones per request; zeros for an empty or null array."""
+    good = scored.groupBy(col_of(request)).agg(F.count_if(F.col("error").isNull()).alias("successful"), F.count("error").alias("failed"))
+    total = F.greatest(F.size(F.col(array_col)), F.lit(0)).cast("long")
+    return (batch.select(col_of(request), total.alias("total")).join(good, request, "left")
+            .select(request, "total", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("successful", "failed")]))
 
 
 def prediction_log(df: DataFrame, features: Sequence[str], prob_col: str = "probability",

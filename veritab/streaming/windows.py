@@ -115,7 +115,7 @@ def window_cv_drift(df: DataFrame, reference: DataFrame, ts: str, feature: str,
         F.count(v).alias("n"), F.try_divide(F.stddev_samp(v), F.avg(v)).alias("cv"))
     ref = reference_cv(reference, feature, by)
     if by:
-        j = g.join(F.broadcast(ref), list(by), "inner")
+        j = g.join(ref, list(by), "inner")  # one row per caller's group: no hint, its size is not known here
     else:  # one reference row: joined on a constant key, broadcast
         j = g.withColumn("_k", F.lit(0)).join(F.broadcast(ref.withColumn("_k", F.lit(0))), "_k").drop("_k")
     raw = F.abs(F.col("cv") - F.col("ref_cv")) / F.greatest(F.col("ref_cv"), F.lit(T.CV_DIVISOR_FLOOR))
