@@ -13,6 +13,7 @@ from veritab.operators import compiled as C
 from veritab.operators import evaluate as EV
 from veritab.operators import features as FE
 from veritab.operators import models as M
+from veritab.operators import permute as PE
 from veritab.operators import rules as R
 from veritab.operators.kernel_svm import KernelSVM
 from veritab.session import checkpoint_dir
@@ -90,16 +91,15 @@ def m08(spark, sf):
     return rounded(M.coefficient_importance(model, [f"f{i}" for i in range(DIM)]))
 
 
-def _lr_fn(spark, sf, df):
-    model = M.logistic(C=1.0, n=_n(df)).fit(df)
-    return lambda frame: M.scored(model, M.vectorize(frame.drop("features"), "embedding"))
+def _lr_importance(df, model):
+    """Importance of all features of a fitted logistic model, ten permutations each."""
+    return PE.importance(df, "embedding", "vec_id", [float(w) for w in model.coefficients], float(model.intercept), range(DIM), repeats=10, seed=42)
 
 
 @query("m09_permutation_importance")
 def m09(spark, sf):
     df = _emb(spark, sf)
-    return rounded(M.permutation_importance(_lr_fn(spark, sf, df), df, "embedding", range(DIM), "vec_id",
-                                            repeats=10, seed=42))
+    return rounded(_lr_importance(df, M.logistic(C=1.0, n=_n(df)).fit(df)))
 
 
 @query("m17_learning_curve")
@@ -199,8 +199,7 @@ def m25(spark, sf):
     df = _emb(spark, sf)
     model = M.logistic(C=1.0, n=_n(df)).fit(df)
     coef = M.coefficient_importance(model, [f"f{i}" for i in range(DIM)])
-    fn = lambda frame: M.scored(model, M.vectorize(frame.drop("features"), "embedding"))
-    perm = M.permutation_importance(fn, df, "embedding", range(DIM), "vec_id", repeats=10)
+    perm = _lr_importance(df, model)
     return rounded(M.importance_summary(coef, perm))
 
 
