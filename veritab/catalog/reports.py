@@ -86,7 +86,7 @@ def s03(spark, sf):
        "WITH s AS (" + PRO._describe_sql("lineitem", LI_NUMERIC).replace("SELECT feature,", "SELECT feature, 1 AS one,", 1)
        + ") SELECT CAST(ROW_NUMBER() OVER (ORDER BY feature) - 1 AS INTEGER) AS position, feature FROM s")
 def s04(spark, sf):
-    names = [r["feature"] for r in P.describe(tbl(spark, sf, "lineitem"), LI_NUMERIC).select("feature").collect()]
+    names = P.numeric_names(tbl(spark, sf, "lineitem").select(*LI_NUMERIC))  # from the schema: no job
     path = _scratch(spark, "meta")
     IO.write_metadata(spark, {"feature_names": sorted(names), "n_features": len(names)}, path)
     feats = IO.read_feature_list(spark, path)
