@@ -7,7 +7,7 @@ import importlib
 
 from veritab.catalog.base import REGISTRY, Query
 
-_MODULES = ["monitoring", "profiles", "drift", "features", "evaluation", "models", "streams", "tables", "scalars", "reports"]
+_MODULES = ["monitoring", "profiles", "drift", "features", "evaluation", "models", "streams", "tables", "scalars", "reports", "states"]
 
 
 def load_all() -> dict[str, Query]:
