@@ -1,8 +1,10 @@
+import datetime
 import itertools
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from veritab.llm import sharding
 from veritab.llm.shared import Scratch
@@ -48,6 +50,20 @@ def test_shards_are_compact(spark):
     assert sum((s[1] - s[0] + 1) * (s[3] - s[2] + 1) for s in spans.values()) < 0.35 * 16 * 32 * 32
 
 
+def test_strings_are_cut_by_their_whole_order(spark):
+    """Values that agree in a long prefix, beside one without it, dates, nulls and ties."""
+    rows = [(i, f"common-crawl-2023-{i % 8:02d}" if i % 100 else "books", datetime.date(2020, 1, 1 + i % 4) if i % 7 else None) for i in range(4_000)]
+    df = spark.createDataFrame(rows, "id long, source string, day date")
+    cells, names = sharding._cells(df, ["source", "day"], 4)
+    got = cells.groupBy("source").agg(F.countDistinct(names[0]).alias("many"), F.min(names[0]).alias("cell")).orderBy("source").collect()
+    at = [r.cell for r in got]
+    assert all(r.many == 1 for r in got) and at == sorted(at) and len(set(at[1:])) == 8
+    days = {r.day: r.cell for r in cells.groupBy("day").agg(F.min(names[1]).alias("cell")).collect()}
+    assert days.pop(None) == 0 and [days[d] for d in sorted(days)] == [0, 1, 2, 3]
+    none = df.withColumn("source", F.lit(None).cast("string"))
+    assert {r[0] for r in sharding._cells(none, ["source"], 4)[0].select("cell_0").collect()} == {0}
+
+
 def test_empty_table_and_fewer_rows_than_shards(spark, empty):
     assert sharding.shard_documents(empty, 4).count() == 0
     one = spark.createDataFrame([(1, "x", None, None)], "doc_id long, text string, lang string, source string")

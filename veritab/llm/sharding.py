@@ -1,7 +1,7 @@
 """Operator 4: shards along a Hilbert curve over several metadata dimensions.
 
-Every dimension is quantised into 2^bits ranges at its quantiles, the ranges form a cell, and cells
-are visited in the order of their Hilbert curve index. Runs of that order are cut into shards
+Every dimension is quantised into 2^bits ranges at its quantiles (strings by their whole sort order, from
+the cumulative counts of their distinct values), the ranges form a cell, and cells are visited in the order of their Hilbert curve index. Runs of that order are cut into shards
 whose row counts differ by one at most (law ``rows``), so a file holds a compact box of all
 dimensions at once and its minimum and maximum statistics prune on any of them.
 
@@ -9,15 +9,19 @@ DataFrame functions only. A cell is numbered in slices of about ``SLICE`` rows b
 row, so a source or a group of copies with a third of all rows spreads over many tasks. The cell
 table has at most 2^(bits * dimensions) rows, whatever the input, and only it is broadcast.
 Nulls in a dimension lie in its lowest range; a null text has size ``OVERHEAD`` and checksum 0;
-rows that are equal in everything are numbered in any order; an empty table gives no rows.
+rows that are equal in everything are numbered in any order; an empty table gives no rows;
+``shard_documents`` reads doc_id, text and its dimensions only, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
+
+from veritab.operators.cumulative import running_sums
 
 from .shared import Scratch, table
 
@@ -25,35 +29,27 @@ from .shared import Scratch, table
 OVERHEAD, SLICE, BITS = 16, 50_000, 4
 
 
-def _ordinal(df: DataFrame, names: list[str]) -> dict[str, Column]:
-    """Numbers that keep the order of each dimension. Of strings, the six bytes after the prefix
-    that all values share."""
-    kinds = dict(df.dtypes)
-    texts = [n for n in names if kinds[n] == "string"]
-    ends = df.agg(*[f(n).alias(f"{n}_{k}") for n in texts for k, f in (("a", F.min), ("z", F.max))]).first() if texts else {}
-    out = {}
-    for n in names:
-        if n not in texts:
-            out[n] = F.col(n).cast("double")
-            continue
-        a, z = (ends[f"{n}_a"] or "").encode(), (ends[f"{n}_z"] or "").encode()
-        same = next((i for i, (x, y) in enumerate(zip(a, z, strict=False)) if x != y), min(len(a), len(z)))
-        part = F.substring(F.encode(F.col(n), "UTF-8"), same + 1, 6)
-        out[n] = F.conv(F.rpad(F.hex(part), 12, "0"), 16, 10).cast("double")
-    return out
+def _cuts(df: DataFrame, names: list[str], ranges: int) -> dict[str, list]:
+    """At most ``ranges`` - 1 ascending values of each dimension that cut its rows into about equal ranges: approximate
+    quantiles of numbers, exact ones of strings and other types over their whole sort order."""
+    steps = [i / ranges for i in range(1, ranges)]
+    numbers = [f.name for f in df.schema.fields if f.name in names and isinstance(f.dataType, NumericType)]
+    found = {}
+    if numbers:
+        found = df.agg(*[F.percentile_approx(F.col(n).cast("double"), steps, 10_000).alias(n) for n in numbers]).first().asDict()
+    for n in (n for n in names if n not in numbers):
+        counted = running_sums(df.where(F.col(n).isNotNull()), n, {"n": F.lit(1)})
+        found[n] = counted.agg(*[F.min(F.when(F.col("cum_n") >= F.col("tot_n") * p, F.col(n))) for p in steps]).first()
+    return {n: sorted({c for c in found[n] or [] if c is not None}) for n in names}
 
 
 def _cells(df: DataFrame, dims: list[str], bits: int) -> tuple[DataFrame, list[str]]:
     """Adds the range number of every dimension (0 to 2^bits - 1)."""
-    ranges = 1 << bits
-    numbers = _ordinal(df, dims)
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(*[F.percentile_approx(numbers[d], steps, 10_000).alias(d) for d in dims]).first()
+    cuts = _cuts(df, dims, 1 << bits)
     names = [f"cell_{i}" for i in range(len(dims))]
     made = {}
     for name, d in zip(names, dims, strict=True):
-        found = sorted(set(cuts[d] or []))
-        made[name] = F.coalesce(reduce(lambda a, c, v=numbers[d]: a + (v > c).cast("int"), found, F.lit(0)), F.lit(0))
+        made[name] = F.coalesce(reduce(lambda a, c, v=F.col(d): a + (v > c).cast("int"), cuts[d], F.lit(0)), F.lit(0))
     return df.withColumns(made), names
 
 
