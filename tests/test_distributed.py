@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from veritab.operators.cumulative import exact_quantiles, running_sums
 from veritab.operators import features as FE
+from veritab.operators import profile as P
 
 
 def test_running_sums_brute_force(spark):
@@ -88,3 +89,13 @@ def test_anova_f_matches_formula(spark):
     between = sum(len(g) * (g.mean() - m) ** 2 for g in groups) / 2
     within = sum(((g - g.mean()) ** 2).sum() for g in groups) / (len(x) - 3)
     assert f == pytest.approx(between / within, rel=1e-9)
+
+
+def test_ranks_of_a_long_table_by_ranges(spark):
+    """Ties, nulls and a value that a third of the rows share; every range ranks its own rows."""
+    df = spark.range(5_000, numPartitions=5).select(
+        F.col("id").alias("a key"), F.when(F.col("id") % 3 == 0, 7.0).when(F.col("id") % 11 != 0, F.xxhash64("id") % 400).alias("v"))
+    ranked = P.sort_desc(df, "v", "a key")
+    want = sorted(df.collect(), key=lambda r: (r.v is None, -(r.v or 0), r[0]))
+    assert [(r["rank"], r[0], r.v) for r in ranked.collect()] == [(i + 1, r[0], r.v) for i, r in enumerate(want)]
+    assert P.sort_desc(df.limit(0), "v", "a key").collect() == []

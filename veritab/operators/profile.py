@@ -18,7 +18,7 @@ from veritab import thresholds as T
 from veritab.functions.scalar import col_of
 from veritab.operators.comoments import correlations
 from veritab.operators.cumulative import exact_quantiles
-from veritab.session import spread
+from veritab.session import run_table, spread
 
 #: Columns whose pairs (276) are still one row of aggregates.
 NARROW = 23
@@ -279,10 +279,16 @@ def sample_counts(df: DataFrame, target: str) -> DataFrame:
 
 
 def sort_desc(df: DataFrame, col: str, key: str) -> DataFrame:
-    """Descending sort with a stable key, with the rank made explicit.
-    The rank window is over a small metric table (features), never over raw rows."""
-    w = Window.orderBy(F.desc_nulls_last(col), F.asc(key))
-    return df.withColumn("rank", F.row_number().over(w))
+    """Descending sort (nulls last) with a stable key, with the rank made explicit. Rows are dealt out by range and
+    written once when the frame is built; each range ranks its own rows after those of the ranges before it, so no task
+    holds more than a range. Rows that agree in value and key are ranked in any order. A column ``rank`` is replaced."""
+    order = [F.desc_nulls_last(col_of(col)), F.asc(col_of(key))]
+    part, ahead = "_range", "_ahead"
+    dealt = run_table(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    starts = dealt.groupBy(part).agg(F.count(F.lit(1)).alias("_n")).select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(ahead))
+    within = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    return dealt.join(starts, part).withColumn("rank", within + F.col(ahead)).drop(part, ahead).orderBy("rank")
 
 
 def top_k(df: DataFrame, col: str, k: int, tiebreak: Sequence[str]) -> DataFrame:
