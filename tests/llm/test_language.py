@@ -54,6 +54,19 @@ def test_odd_rows(odd, odd_rows, empty):
     assert language.train(empty) is None and language.label_languages(empty, model).count() == 0
 
 
+def test_training_sample_is_bounded_and_takes_whole_texts(spark):
+    rows = [(i, f"{lang}{i} " * 10, lang) for i in range(300) for lang in ("aa", "bb")] * 2 + [(1, "x" * 5_000, "aa"), (2, "y " * 9_000, "cc"), (3, "z", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    free = docs.where(~language.held_out())
+    got = language.training_words(docs, 10**9, 10**6)
+    ids = {r.doc_id for r in free.where("lang = 'aa'").collect()}
+    assert set(got) == {"aa", "bb", "cc"} and set(got["aa"]) == {f"aa{i}".encode() for i in ids} and set(got["aa"].values()) == {10}
+    few = language.training_words(docs, 400, 5)
+    assert all(0 < len(few[k]) <= 5 and sum(len(w) + 1 for w in few[k].elements()) <= 400 for k in ("aa", "bb"))
+    assert few["cc"] == got["cc"] == language.training_words(docs.repartition(2), 400, 5)["cc"]
+    assert few == language.training_words(docs.repartition(3), 400, 5)
+
+
 def test_remembered_table_may_overflow(monkeypatch):
     model = language.ByteGru(["a", "b"])
     texts = [b" ".join(b"w%d" % i for i in range(n)) for n in (300, 1, 0, 40)]

@@ -10,7 +10,8 @@ runs each once and remembers it in a bounded table. Rows are handled alone: no s
 
 lang, source and doc_id are never inputs. Texts that are null or have no letter are ``und`` with
 score 0; a table without labelled rows gives ``und`` everywhere; null languages are not learnt;
-repeated rows count as often as they occur; ties take the first language in order.
+repeated rows are labelled each and learnt once; ties take the first language in order; an empty
+table gives no rows. Only doc_id, text and, to learn, lang are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from .shared import table
 
 #: Bytes of text learnt per language and of documents looked at; units per direction; training steps, batch, rate.
 TRAIN_BYTES, SAMPLE_DOCS, HIDDEN, STEPS, BATCH, RATE, SEED = 400_000, 400, 16, 500, 256, 0.02, 7
+#: Parts of the hash of an id by which the training sample is drawn.
+SPOTS = 1 << 40
 #: Longest sequence in bytes (a longer word is cut into more), sequences remembered by a task.
 LONGEST, REMEMBERED = 24, 400_000
 #: Sequences looked up at once.
@@ -224,23 +227,31 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def training_words(docs: DataFrame, train_bytes: int = TRAIN_BYTES, sample: int = SAMPLE_DOCS) -> dict[str, Counter]:
-    """Word counts per language of a bounded sample of documents that are not held out."""
-    usable = docs.where(~held_out()).where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}  # one row per language
-    found: dict[str, Counter] = {}
-    for lang in sorted(sizes):
-        share = min(1.0, 2 * sample / sizes[lang])
-        order = F.xxhash64("doc_id", F.lit("language"))
-        some = (usable.where(F.col("lang") == lang).where(F.pmod(order, F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-                .orderBy(order).select("text").limit(sample))
-        held, counts = 0, Counter()
-        for row in some.toLocalIterator():
-            body = row["text"].encode("utf-8", "surrogatepass")
-            if held and held + len(body) > train_bytes:
-                continue
-            held += len(body)
-            counts.update(sequences(body))
-        found[lang] = counts
+    """Word counts per language of a bounded sample of documents that are not held out.
+
+    Sizes of about twice ``sample`` documents per language (an expected number) come to the driver first; only the texts
+    chosen by them follow, so it never holds more than ``train_bytes`` of a language, or one longer text. Three scans in
+    all. Of rows with one doc_id the shortest text stands for all."""
+    usable = docs.where(~held_out()).where("lang is not null and text is not null").select(
+        "lang", F.xxhash64("doc_id", F.lit("language")).alias("spot"), F.octet_length("text").alias("size"), "text")
+    rows = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}  # one row per language
+    if not rows:
+        return {}
+    limits = F.create_map(*[F.lit(x) for lang, n in rows.items() for x in (lang, int(min(1.0, 2 * sample / n) * SPOTS) + 1)])
+    some = usable.where(F.pmod("spot", F.lit(SPOTS)) < limits[F.col("lang")])
+    chosen: dict[str, set[int]] = {lang: set() for lang in rows}
+    seen, held = Counter(), Counter()
+    for lang, spot, size in sorted(map(tuple, some.groupBy("lang", "spot").agg(F.min("size")).collect())):
+        seen[lang] += 1
+        if seen[lang] <= sample and (not held[lang] or held[lang] + size <= train_bytes):
+            held[lang] += size
+            chosen[lang].add(spot)
+    found: dict[str, Counter] = {lang: Counter() for lang in sorted(rows)}
+    texts = (usable.where(F.col("spot").isin(sorted(set().union(*chosen.values()))))
+             .groupBy("lang", "spot").agg(F.min(F.struct("size", "text")).alias("x")).select("lang", "spot", "x.text").orderBy("lang", "spot"))
+    for row in texts.toLocalIterator():
+        if row["spot"] in chosen[row["lang"]]:
+            found[row["lang"]].update(sequences(row["text"].encode("utf-8", "surrogatepass")))
     return found
 
 
