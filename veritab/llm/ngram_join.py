@@ -27,7 +27,8 @@ Tokens are word shingles; two documents link when 100 * |x & y| >= 75 * |x | y|.
 Packed tokens keep their block number and 40 more bits of the 64-bit shingle hash (44 to 49 bits at usual
 widths), on which links are verified; two shingles of one pair of texts that fall together can change a link only
 where the similarity is exactly at the limit. Null and empty texts have no shingles and link with
-nothing; repeated rows are members of the same class; a null doc_id takes no part in the minimum.
+nothing; repeated rows are members of the same class; a null doc_id takes no part in the minimum; an empty
+table gives no rows. Only doc_id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Scores add up in double precision.
 No piece spans a place where a space sign follows another character, nor a character that is part
 of no longer piece, so a text falls into independent chunks there (both facts are read from the
 vocabulary). Equal chunks are counted once per task and kept in a bounded table. Each row is
-handled alone: no shuffle, no group, no hot key. Null and empty texts have 0 tokens.
+handled alone: no shuffle, no group, no hot key. Null and empty texts have 0 tokens; repeated rows are
+counted each; an empty table gives no rows. Only doc_id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
