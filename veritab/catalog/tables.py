@@ -145,14 +145,11 @@ def m25l(spark, sf):
        "COUNT(*) FILTER (WHERE permuted <> xv) AS changed FROM own JOIN src ON own.feature = src.feature "
        "AND own.repeat = src.repeat AND own.r = src.r GROUP BY 1, 2")
 def j04(spark, sf):
-    ls = li_scored(spark, sf)
-    p = EV.permutation_pairs(ls, _PERM_FEATS, LI_KEY, _PERM_REPEATS, 42)
-    orig = melt(ls, _PERM_FEATS, by=LI_KEY).withColumnRenamed("value", "xv")
-    j = p.join(orig, [*LI_KEY, "feature"])
-    return rounded(j.groupBy("feature", F.col("repeat").cast("int").alias("repeat")).agg(
+    p = EV.permutation_pairs(li_scored(spark, sf), _PERM_FEATS, LI_KEY, _PERM_REPEATS, 42)
+    return rounded(p.groupBy("feature", F.col("repeat").cast("int").alias("repeat")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("permuted"), 4).alias("permuted_sum"),
-        F.round(F.sum("xv"), 4).alias("original_sum"),
-        F.count_if(F.col("permuted") != F.col("xv")).alias("changed")))
+        F.round(F.sum("original"), 4).alias("original_sum"),
+        F.count_if(F.col("permuted") != F.col("original")).alias("changed")))
 
 
 @query("j05_bootstrap_expansion",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from veritab.functions.scalar import col_of, direction_word
 from veritab.operators import resample
 from veritab.operators.cumulative import running_sums
-from veritab.session import spread
+from veritab.session import run_table
 
 METRICS = ("accuracy", "precision", "recall", "f1")
 
@@ -192,21 +192,12 @@ def pair_sides(long: DataFrame, keys: Sequence[str] = ("feature", "metric"), sid
 
 
 def permutation_pairs(df: DataFrame, features: Sequence[str], key: Sequence[str], repeats: int,
-                      seed=42) -> DataFrame:
+                      seed=42, carry: Sequence[str] = ()) -> DataFrame:
     """For every (feature, repeat) each row receives the feature value of the row with
     the same rank in md5(key|feature|repeat|seed) order as its own rank in md5(key|seed)
-    order. Ranks are distributed (hash buckets per group); pairing is an equi-join."""
-    from veritab.operators.features import _class_rank
-    jobs = F.array(*[F.struct(F.lit(f).alias("feature"), F.lit(r).alias("repeat"))
-                     for f in features for r in range(repeats)])
-    vals = F.create_map(*[x for f in features for x in (F.lit(f), col_of(f).cast("double"))])
-    x = spread(df).select(*[col_of(k) for k in key], vals.alias("_vals"), F.explode(jobs).alias("_job")) \
-        .select(*key, "_vals", F.col("_job.feature").alias("feature"), F.col("_job.repeat").alias("repeat"))
-    x = x.withColumn("_grp", F.concat_ws("|", "feature", F.col("repeat").cast("string")))
-    own = _class_rank(x, "_grp", key, seed, len(features) * repeats).select(*key, "feature", "repeat", "_grp", F.col("_rank").alias("_r"))
-    src = _class_rank(x, "_grp", [*key, "feature", "repeat"], seed, len(features) * repeats) \
-        .select("_grp", F.col("_rank").alias("_r"), F.col("_vals")[F.col("feature")].alias("permuted"))
-    return own.join(src, ["_grp", "_r"], "inner").drop("_grp", "_r")
+    order. Gives key, ``carry``, feature, repeat, original, permuted (:mod:`veritab.operators.pairs`)."""
+    from veritab.operators import pairs
+    return pairs.permutation_pairs(df, features, key, repeats, seed, carry)
 
 
 def linear_permutation_importance(df: DataFrame, weights: Mapping[str, float], bias: float, label: str,
@@ -216,19 +207,17 @@ def linear_permutation_importance(df: DataFrame, weights: Mapping[str, float], b
     ``z + w_j (x'_j - x_j)``; metric drop = baseline - permuted, mean and std (n)."""
     feats = list(weights)
     z = sum((col_of(c).cast("double") * float(w) for c, w in weights.items()), F.lit(float(bias)))
-    base = df.select(*[col_of(k) for k in key], col_of(label).alias("label"), z.alias("_z"),
-                     *[col_of(f).cast("double").alias(f"_x_{f}") for f in feats])
-    pairs = permutation_pairs(df, feats, key, repeats, seed)
-    j = pairs.join(base, list(key), "inner")
+    base = df.select(col_of(label).alias("label"), z.alias("_z"))
+    pairs = permutation_pairs(df.withColumn("_z", z), feats, key, repeats, seed, [label, "_z"])
     wmap = F.create_map(*[x for f, w in weights.items() for x in (F.lit(f), F.lit(float(w)))])
-    xmap = F.create_map(*[x for f in feats for x in (F.lit(f), F.col(f"_x_{f}"))])
-    zp = F.col("_z") + wmap[F.col("feature")] * (F.col("permuted") - xmap[F.col("feature")])
+    zp = F.col("_z") + wmap[F.col("feature")] * (F.col("permuted") - F.col("original"))
     sp = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-zp)), score_digits)
-    scored = j.select("feature", "repeat", "label", (sp >= 0.5).cast("int").alias("prediction"))
+    scored = pairs.select("feature", "repeat", col_of(label).alias("label"), (sp >= 0.5).cast("int").alias("prediction"))
     per = classification_metrics(scored, "label", "prediction", ["feature", "repeat"]).select("feature", "repeat", metric)
     b = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z"))), score_digits)
     baseline = classification_metrics(base.withColumn("prediction", (b >= 0.5).cast("int")),
                                       "label", "prediction").select(metric).scalar()
+    per = run_table(per)  # one row per feature and repeat; reports read it several times
     drops = per.select("feature", "repeat", (baseline - F.col(metric)).alias("drop"))
     return drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"),
                                         F.stddev_pop("drop").alias("importance_std"))
