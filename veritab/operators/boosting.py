@@ -58,10 +58,34 @@ def empty_tree(depth: int) -> Tree:
     return Tree(np.full(n, -1), np.zeros(n, dtype=np.int64), np.zeros(n), np.zeros(n, dtype=bool), np.zeros(n), np.zeros(n))
 
 
+def _routes(tree: Tree) -> tuple[np.ndarray, ...]:
+    """(feature, shift, limit) of each inner node and the node that each place of the last level stands for: a row goes
+    right when its bin plus ``shift``, modulo 256, is over ``limit``, so a missing value (255) that goes left becomes 0. Below a leaf
+    rows go left to the end."""
+    inner = len(tree.feature) // 2
+    end, stopped = np.arange(len(tree.feature)), tree.feature < 0
+    for i in range(1, len(end)):
+        if stopped[(i - 1) // 2]:
+            end[i], stopped[i] = end[(i - 1) // 2], True
+    stay = stopped[:inner]
+    shift = np.where(stay, 0, tree.missing_left[:inner]).astype(np.uint8)
+    limit = np.where(stay, MISSING, tree.bin[:inner] + shift).astype(np.uint8)
+    return np.where(stay, 0, tree.feature[:inner]), shift, limit, end
+
+
+def _binned_leaves(tree: Tree, x: np.ndarray) -> np.ndarray:
+    feature, shift, limit, end = _routes(tree)
+    cells, base, at = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x), dtype=np.int64)
+    for _ in range(len(end).bit_length() - 1):
+        at += at + 1 + (cells[base + feature[at]] + shift[at] > limit[at])
+    return end[at]
+
+
 def leaves(tree: Tree, x: np.ndarray, binned: bool) -> np.ndarray:
     """Heap number of the node each row ends in."""
+    if binned:
+        return _binned_leaves(tree, x)
     at = np.zeros(len(x), dtype=np.int64)
-    limit = tree.bin if binned else tree.cut
     rows = np.arange(len(x))
     while True:
         f = tree.feature[at]
@@ -69,8 +93,7 @@ def leaves(tree: Tree, x: np.ndarray, binned: bool) -> np.ndarray:
         if not inner.any():
             return at
         v = x[rows, np.where(inner, f, 0)]
-        lost = v == MISSING if binned else np.isnan(v)
-        left = np.where(lost, tree.missing_left[at], v <= limit[at])
+        left = np.where(np.isnan(v), tree.missing_left[at], v <= tree.cut[at])
         at = np.where(inner, 2 * at + np.where(left, 1, 2), at)
 
 
@@ -255,20 +278,22 @@ def _sums(table: DataFrame, recent: list[Tree], tree: Tree, nodes: Sequence[int]
         for whole in batches:
             for start in range(0, len(whole), 65_536):  # sums of one piece are exact as doubles
                 batch = whole.slice(start, 65_536)
-                h64 = batch.column("h").to_numpy().astype(np.int64)
-                b = _bins_of(batch)
+                own = np.flatnonzero(_uniform(batch.column("h").to_numpy().astype(np.int64), number) < subsample)
+                b = _bins_of(batch)[own]
                 place = slot[leaves(tree, b, True)]
-                own = (place >= 0) & (_uniform(h64, number) < subsample)
-                if not own.any():
+                inside = place >= 0
+                if not inside.any():
                     continue
-                b, place = b[own], place[own]
+                if not inside.all():
+                    own, b, place = own[inside], b[inside], place[inside]
                 y = batch.column("y").to_numpy()[own]
                 p = _sigmoid(batch.column("margin").to_numpy()[own] + _margin(recent, b, True))
                 w = np.where(y > 0, pos_weight, 1.0)
                 g = np.rint(w * (p - (y > 0)) * scale)
                 h = np.rint(w * p * (1 - p) * scale)
-                for i, f in enumerate(used):
-                    code = place * 256 + b[:, f]
+                columns, first = np.ascontiguousarray(b[:, used].T), place * 256
+                for i in range(len(used)):
+                    code = first + columns[i]
                     for k, v in enumerate((g, h)):
                         total[k, i] += np.bincount(code, weights=v, minlength=shape[1]).astype(np.int64)
         i, place = np.nonzero(total.reshape(2, len(used), len(nodes), 256).any(axis=(0, 3)))
