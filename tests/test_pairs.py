@@ -1,6 +1,8 @@
 import hashlib
 import math
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from veritab.operators import evaluate as EV
@@ -46,3 +48,25 @@ def test_pairs_are_shuffled_packed(spark):
     assert "Window" not in plan and "Join" not in plan
     imp = EV.linear_permutation_importance(df, {"u": 1.0}, -2.0, "label", ["id"], 10).first()
     assert imp.feature == "u" and abs(imp.importance_mean) < 0.1
+
+
+@pytest.mark.parametrize("values", [np.arange(50) / 100, np.arange(5_000) / 100, np.zeros(0)])
+def test_hashes_and_values_are_packed_tight(values):
+    r = np.random.default_rng(1)
+    x = (r.choice(values, 60_000) if len(values) else values).view(np.int64)
+    h = np.sort(r.integers(0, 1 << 64, len(x), dtype=np.uint64))
+    assert np.array_equal(P._unpack(P._pack(x)), x) and np.array_equal(P._unpack_sorted(P._pack_sorted(h)), h)
+    assert len(P._pack_sorted(h)) < 6.4 * len(h) + 50  # 8 bytes each before
+    if len(values) == 50:
+        assert len(P._pack(x)) < 0.8 * len(x)
+
+
+def test_rounds_of_jobs_give_the_same_pairs(spark, monkeypatch):
+    df = spark.range(300).select("id", (F.col("id") % 7).cast("double").alias("u"), (F.col("id") / 3).alias("v"))
+    whole = sorted(map(tuple, P.permutation_pairs(df, ["u", "v"], ["id"], 3).collect()))
+    made = []
+    keep = P.run_table
+    monkeypatch.setattr(P, "run_table", lambda x: made.append(x.columns) or keep(x))
+    monkeypatch.setattr(P, "ROUND", 600)
+    assert sorted(map(tuple, P.permutation_pairs(df, ["u", "v"], ["id"], 3).collect())) == whole
+    assert len([c for c in made if "vals" in c]) == 3  # two of six jobs at once

@@ -1,9 +1,10 @@
 """Every row receives, for each (feature, repeat), the value of the row of its rank in another order.
 
 The rank that receives is the row's in md5(key|seed) order, the rank that gives its in md5(key|feature|repeat|seed)
-order, one order per job. Rows are never copied per job. What moves is packed: 8 bytes of hash and the
-compressed value to the job's range of hashes, where they are sorted and written; then the sorted values alone, cut at
-the ranks where blocks of receivers begin. Receivers lie in blocks by range of their own hash, so a block's first
+order, one order per job. Rows are never copied per job. What moves is packed: the gaps of the sorted hashes (about 6
+bytes each) and the values (numbers of a dictionary, if they are few) to the job's range of hashes, where they are sorted
+and written; then the sorted values alone, cut at the ranks where blocks of receivers begin. Hashes move for
+about ``ROUND`` pairs at a time, so their shuffle files do not add up over the jobs. Receivers lie in blocks by range of their own hash, so a block's first
 rank is the number of rows in the blocks before it. No task holds more than a range of one job, a block of
 receivers or ``ROWS`` rows with one job's hashes.
 
@@ -13,8 +14,10 @@ would have it. Values are moved bit by bit: nulls and NaN stay what they are. Gi
 
 from __future__ import annotations
 
+import gc
 import zlib
 from collections.abc import Iterator, Sequence
+from functools import reduce
 from hashlib import md5
 
 import numpy as np
@@ -29,6 +32,8 @@ from veritab.session import run_table, spread
 
 #: Values that a block of receivers gets; rows whose values are dealt out together; bits that stand for a null.
 BLOCK_VALUES, ROWS, NULL = 2_000_000, 200_000, 0x7FF8_6E75_6C6C_0001
+#: Pairs whose hashes are shuffled at once, at least those of one job; values of a dictionary.
+ROUND, CODES = 20_000_000, 256
 
 
 def _bits(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
@@ -45,12 +50,41 @@ def _lists(bits: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.float64), mask=flat == NULL))
 
 
+def _squeeze(x: bytes) -> bytes:
+    c = zlib.compressobj(1, zlib.DEFLATED, zlib.MAX_WBITS, 9, zlib.Z_RLE)
+    return c.compress(x) + c.flush()
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """First bytes of all numbers, then second bytes, and so on."""
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _numbers(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
 def _pack(x: np.ndarray) -> bytes:
-    return zlib.compress(np.ascontiguousarray(x).tobytes(), 1)
+    """Size of the dictionary (0: none), then the dictionary and a byte a value, or the values by planes."""
+    known, codes = np.unique(x, return_inverse=True)
+    if len(known) <= CODES:
+        return len(known).to_bytes(2, "little") + _squeeze(known.astype(np.int64).tobytes() + codes.astype(np.uint8).tobytes())
+    return b"\0\0" + _squeeze(_planes(x))
 
 
 def _unpack(x: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(x), dtype=np.int64)
+    n, body = int.from_bytes(x[:2], "little"), zlib.decompress(x[2:])
+    if not n:
+        return _numbers(body)
+    return np.frombuffer(body[:8 * n], np.int64)[np.frombuffer(body[8 * n:], np.uint8)]
+
+
+def _pack_sorted(h: np.ndarray) -> bytes:
+    return _squeeze(_planes(np.diff(h, prepend=np.uint64(0))))
+
+
+def _unpack_sorted(x: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(zlib.decompress(x)).view(np.uint64), dtype=np.uint64)
 
 
 def _buffered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -80,36 +114,49 @@ def permutation_pairs(df: DataFrame, features: Sequence[str], key: Sequence[str]
     text = [F.col(f"_c{i}").cast("string") for i in range(len(key))]
     fields = [StructField(f"_c{i}", rows.schema[f"_c{i}"].dataType) for i in range(len(names))]
     back = [F.col(f"_c{i}").alias(c) for i, c in enumerate(names)]
-    ranges = max(1, -(-rows.count() * jobs // BLOCK_VALUES))
-    own = rows.withColumn("_h", F.md5(F.concat_ws("|", *text, F.lit(str(seed))))).withColumn("_block", F.expr(f"shiftright(cast(conv(substring(_h, 1, 8), 16, 10) as bigint) * {ranges}, 32)"))
+    total = rows.count()
+    ranges = max(1, -(-total * jobs // BLOCK_VALUES))
+    own = rows.withColumn("_h", F.md5(F.concat_ws("|", *text, F.lit(str(seed))))).withColumn("_block", F.expr(f"shiftright(cast(conv(substring(_h, 1, 8), 16, 10) as bigint) * {ranges}, 32)")).withColumn("_h", F.unhex("_h"))
     counts = np.zeros(ranges, dtype=np.int64)
     for r in own.groupBy("_block").count().collect():  # one number per block
         counts[r["_block"]] = r["count"]
     starts = np.r_[0, np.cumsum(counts)]
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _buffered(batches):
-            keys, bits = part.column("_key").to_pylist(), _bits(part.column("_own"), part.num_rows)
-            for job, tail in enumerate(tails):
-                h = np.frombuffer(b"".join([md5(k + tail).digest() for k in keys]), dtype=">u8")[::2].astype(np.uint64)
-                order = np.argsort(h, kind="stable")
-                h, v = h[order], bits[order, job // repeats]
-                to = _range(h, ranges)
-                cuts = np.r_[np.flatnonzero(np.r_[True, to[1:] != to[:-1]]), len(h)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(cuts) - 1, job), pa.int32()), pa.array(to[cuts[:-1]]),
-                     pa.array([h[a:z].tobytes() for a, z in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
-                     pa.array([_pack(v[a:z]) for a, z in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], ["job", "part", "hashes", "vals"])
+    def deal(some: range):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in _buffered(batches):
+                keys, bits = part.column("_key").to_pylist(), _bits(part.column("_own"), part.num_rows)
+                for job in some:
+                    tail = tails[job]
+                    h = np.frombuffer(b"".join([md5(k + tail).digest() for k in keys]), dtype=">u8")[::2].astype(np.uint64)
+                    order = np.argsort(h, kind="stable")
+                    h, v = h[order], bits[order, job // repeats]
+                    to = _range(h, ranges)
+                    cuts = np.r_[np.flatnonzero(np.r_[True, to[1:] != to[:-1]]), len(h)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(cuts) - 1, job), pa.int32()), pa.array(to[cuts[:-1]]),
+                         pa.array([_pack_sorted(h[a:z]) for a, z in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+                         pa.array([_pack(v[a:z]) for a, z in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], ["job", "part", "hashes", "vals"])
+        return run
 
     def ordered(found: tuple, chunks: pa.Table) -> pa.Table:
-        h = np.frombuffer(b"".join(chunks.column("hashes").to_pylist()), dtype=np.uint64)
+        h = np.concatenate([_unpack_sorted(x) for x in chunks.column("hashes").to_pylist()])
         v = np.concatenate([_unpack(x) for x in chunks.column("vals").to_pylist()])
         v = v[np.lexsort((v, h))]  # equal keys: by value, so that a task run again does the same
         return pa.table({"job": pa.array([found[0].as_py()], pa.int32()), "part": pa.array([found[1].as_py()], pa.int64()),
                          "n": pa.array([len(v)], pa.int64()), "vals": pa.array([_pack(v)], pa.binary())})
 
-    dealt = rows.select(F.concat_ws("|", *text, F.lit("")).cast("binary").alias("_key"), "_own").mapInArrow(deal, "job int, part long, hashes binary, vals binary")
-    sorted_ = run_table(dealt.groupBy("job", "part").applyInArrow(ordered, "job int, part long, n long, vals binary"))
+    keyed = rows.select(F.concat_ws("|", *text, F.lit("")).cast("binary").alias("_key"), "_own")
+    each = max(1, ROUND // max(total, 1))
+    rounds = []
+    for at in range(0, max(jobs, 1), each):
+        dealt = keyed.mapInArrow(deal(range(at, min(at + each, jobs))), "job int, part long, hashes binary, vals binary")
+        rounds.append(run_table(dealt.groupBy("job", "part").applyInArrow(ordered, "job int, part long, n long, vals binary")))
+        del dealt
+        if jobs > each:  # lets Spark's cleaner delete the round's shuffle files
+            gc.collect()
+            df.sparkSession.sparkContext._jvm.System.gc()
+    sorted_ = reduce(DataFrame.unionByName, rounds)
     sizes = np.zeros((jobs, ranges), dtype=np.int64)
     for r in sorted_.select("job", "part", "n").collect():  # one number per job and range
         sizes[r["job"], r["part"]] = r["n"]
@@ -136,7 +183,7 @@ def permutation_pairs(df: DataFrame, features: Sequence[str], key: Sequence[str]
             v = _unpack(packed)
             got[at:at + len(v), job] = v
         # rows of equal key, which lie together, meet as in a join
-        h = mine.column("_h").to_numpy()
+        h = mine.column("_h").to_pandas().to_numpy()
         begin = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if n else np.zeros(0, dtype=np.int64)
         size = np.diff(np.r_[begin, n])
         many, start = np.repeat(size, size), np.repeat(begin, size)
