@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from veritab.llm import quality_rank
 
@@ -60,3 +61,36 @@ def test_odd_rows(spark, odd, odd_rows, empty):
     assert all(r.quality_score == 0 for r in got if not r.text)
     assert all(r.quality_score in (0.0, 0.5) for r in quality_rank.score_quality(odd, None, ["doc_id"]).collect())
     assert quality_rank.score_quality(empty, model, ["doc_id"]).count() == 0
+
+
+def test_every_labelled_document_is_learnt(spark, monkeypatch):
+    """The threshold lies between the two strengths at the bad share of all labelled documents, in many blocks too."""
+    _, df = documents(spark, 900)
+    docs, labels = df.drop("quality"), df.select("doc_id", "quality")
+    known = {r.doc_id for r in labels.where(~quality_rank.held_out()).collect()}
+    for block, few in ((500, 10_000), (60, 7)):
+        monkeypatch.setattr(quality_rank, "BLOCK", block)
+        monkeypatch.setattr(quality_rank, "FEW", few)
+        seen = []
+        keep = quality_rank._standard
+        monkeypatch.setattr(quality_rank, "_standard", lambda sums: seen.append(sums[:2] * quality_rank.MOMENT_UNIT) or keep(sums))
+        model = quality_rank.train(docs, labels)
+        monkeypatch.setattr(quality_rank, "_standard", keep)
+        good = labels.where(~quality_rank.held_out() & (F.col("quality") == 1)).count()
+        assert list(seen[0]) == [len(known), good]  # at most 2,000 of a label before
+        scores = np.sort([r.quality_score for r in quality_rank.score_quality(docs, model, ["doc_id"]).collect() if r.doc_id in known])
+        bad = len(known) - good
+        assert scores[bad - 1] < quality_rank.THRESHOLD < scores[bad]
+
+
+def test_documents_of_a_rare_label_meet_all_others(spark, monkeypatch):
+    """One bad document: it is copied to every block, so each good one is compared with it."""
+    monkeypatch.setattr(quality_rank, "BLOCK", 20)
+    _, df = documents(spark, 120)
+    bad = df.where(~quality_rank.held_out()).first().doc_id
+    labels = df.select("doc_id", F.when(F.col("doc_id") == bad, 0).otherwise(1).alias("quality"))
+    pairs = []
+    keep = quality_rank._descend
+    monkeypatch.setattr(quality_rank, "_descend", lambda m, f: pairs.append(f(m.weights)[1] * quality_rank.SUM_UNIT) or keep(m, f, 2))
+    assert quality_rank.train(df.drop("quality"), labels) is not None
+    assert pairs == [labels.where(~quality_rank.held_out()).count() - 1]
