@@ -3,7 +3,10 @@ import glob
 import numpy as np
 from pyspark.sql import functions as F
 
+from veritab import session
 from veritab.operators import boosting as B
+from veritab.operators import cumulative as C
+from veritab.operators import profile as PR
 from veritab.plans.preprocess import preprocess
 from veritab.sources import io as IO
 
@@ -41,3 +44,36 @@ def test_logged_runs_are_compressed(spark, tmp_path):
     IO.append_prediction_log(log, str(tmp_path), "first")
     assert glob.glob(f"{tmp_path}/data/run=first/*.json.gz") and not glob.glob(f"{tmp_path}/data/run=first/*.json")
     assert sorted((r.a, r.b) for r in IO.read_runs(spark, str(tmp_path), log.schema).collect()) == [(i, "x" * 50) for i in range(20)]
+
+
+def test_tasks_of_a_spread_table_follow_its_files(spark, tmp_path, monkeypatch):
+    spark.range(20_000).select((F.col("id") * 7 % 9_973).alias("u")).coalesce(1).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    cores = spark.sparkContext.defaultParallelism
+    assert session.spread(df).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(session, "SPREAD_BYTES", 1 << 10)
+    assert session.spread(df).rdd.getNumPartitions() > 4 * cores
+    assert session.spread(df).agg(F.sum("u")).first()[0] == df.agg(F.sum("u")).first()[0]
+    assert session.spread(spark.createDataFrame([(1,)], "u int")).rdd.getNumPartitions() == cores
+
+
+def test_fences_without_groups_move_no_rows(spark):
+    df = spark.range(200).select((F.col("id") % 50).cast("double").alias("u"), F.when(F.col("id") == 3, 1e6).otherwise(F.col("id")).alias("v"))
+    flags = PR._flag_outliers(df, ["u", "v"])
+    assert "strategy=broadcast" in flags._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.feature: r.outliers for r in PR.outlier_counts(df, ["u", "v"]).collect()} == {"u": 0, "v": 1}
+
+
+def test_ranges_of_running_sums_follow_the_files(spark, tmp_path, monkeypatch):
+    spark.range(3_000).select((F.col("id") * 7 % 997).cast("double").alias("u"), (F.col("id") % 2).alias("g")).coalesce(1).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    few = {tuple(r) for r in C.running_sums(df, "u", {"n": F.lit(1)}, ["g"], next_value=True).collect()}
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made = []
+    keep = C.run_table
+    monkeypatch.setattr(C, "run_table", lambda x: made.append(keep(x)) or made[-1])
+    monkeypatch.setattr(C, "RANGE_BYTES", session.file_bytes(df) // (width + 5))
+    sums = C.running_sums(df, "u", {"n": F.lit(1)}, ["g"], next_value=True)
+    assert {tuple(r) for r in sums.collect()} == few
+    assert made[0].select("_bk").distinct().count() > width
+    assert f"{2 * -(-session.file_bytes(df) // C.RANGE_BYTES)}" in sums._jdf.queryExecution().optimizedPlan().toString()
