@@ -94,3 +94,17 @@ def test_documents_of_a_rare_label_meet_all_others(spark, monkeypatch):
     monkeypatch.setattr(quality_rank, "_descend", lambda m, f: pairs.append(f(m.weights)[1] * quality_rank.SUM_UNIT) or keep(m, f, 2))
     assert quality_rank.train(df.drop("quality"), labels) is not None
     assert pairs == [labels.where(~quality_rank.held_out()).count() - 1]
+
+
+def test_labels_are_joined_alike_at_every_size(spark, monkeypatch):
+    plans, save = [], quality_rank.Scratch.save
+
+    def kept(scratch, frame, name):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return save(scratch, frame, name)
+
+    monkeypatch.setattr(quality_rank.Scratch, "save", kept)
+    rows = [(i, "A plain line of words. " * (i % 5 + 1) if i % 2 else "!!" * (i % 7 + 1), i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    assert quality_rank.train(df.drop("quality"), df.select("doc_id", "quality")) is not None
+    assert "SortMergeJoin" in plans[0] and "BroadcastHashJoin" not in plans[0]

@@ -274,7 +274,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Ranking | None:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(rows, pa.binary())],
                                              ["doc_id", "quality", "x"])
 
-    found = (docs.select("doc_id", "text").join(marked, "doc_id").select("doc_id", "quality", "text")
+    # by a shuffle at every size: labels are not bounded, so a broadcast would end somewhere
+    found = (docs.select("doc_id", "text").hint("merge").join(marked, "doc_id").select("doc_id", "quality", "text")
              .mapInArrow(run, "doc_id long, quality int, x binary")
              .select("doc_id", "quality", "x", F.explode(places).alias("copy"))
              .withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit("quality")) + F.col("copy"), F.lit(blocks))))
