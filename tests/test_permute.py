@@ -52,3 +52,12 @@ def test_odd_tables(spark):
     assert {tuple(r) for r in P.importance(odd, "x", "id", [1.0, 1.0], 0.0, [0, 1]).collect()} == {(0, 0.0, 0.0), (1, 0.0, 0.0)}
     assert P.importance(odd.limit(0), "x", "id", [1.0, 1.0], 0.0, [0]).first().importance_mean == 0
     assert P.importance(odd, "x", "id", [1.0, 1.0], 0.0, []).count() == 0
+
+
+def test_blocks_scored_in_parts_give_the_same(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, [float(v) for v in x], int(x[0] > 0)) for i, x in enumerate(rng.normal(size=(80, 2)))], SCHEMA)
+    whole = sorted(P.importance(df, "x", "id", [1.0, 0.5], 0.0, [0, 1], 3).collect())
+    monkeypatch.setattr(P, "SCORED", 7)
+    assert sorted(P.importance(df, "x", "id", [1.0, 0.5], 0.0, [0, 1], 3).collect()) == whole
+    assert P.BLOCK_VALUES <= 500_000  # a task holds some fifteen numbers for each of them

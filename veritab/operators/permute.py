@@ -24,8 +24,8 @@ from veritab.operators.batched import metrics_of
 from veritab.operators.features import _class_rank
 from veritab.session import run_table
 
-#: Rounds of the network; values that one block of ranks receives; values made at once.
-ROUNDS, BLOCK_VALUES, CHUNK = 4, 2_000_000, 500_000
+#: Rounds of the network; values that one block of ranks receives; values made at once; values scored at once.
+ROUNDS, BLOCK_VALUES, CHUNK, SCORED = 4, 500_000, 500_000, 100_000
 
 
 def _mix(z: np.ndarray) -> np.ndarray:
@@ -90,9 +90,10 @@ def importance(df: DataFrame, array_col: str, key: str, weights: Sequence[float]
             order = np.argsort(place)
             values = (matrix(own.column("x"), own.num_rows) * w)[order]
             y, z = (own.column("y").to_numpy()[order] > 0).astype(np.int64), values.sum(1) + bias
-            where, job = np.divmod(received.column("at").to_numpy(), len(jobs))
-            score = z[where] + received.column("value").to_numpy() - values[where, picked[job]]
-            count[:-1] = np.bincount(job * 4 + y[where] * 2 + (score >= 0), minlength=4 * len(jobs)).reshape(-1, 4)
+            for batch in received.select(["at", "value"]).to_batches(SCORED):
+                where, job = np.divmod(batch.column("at").to_numpy(), len(jobs))
+                score = z[where] + batch.column("value").to_numpy() - values[where, picked[job]]
+                count[:-1] += np.bincount(job * 4 + y[where] * 2 + (score >= 0), minlength=4 * len(jobs)).reshape(-1, 4)
             count[-1] = np.bincount(y * 2 + (z >= 0), minlength=4)
         return pa.table({"job": pa.array(np.arange(len(jobs) + 1), pa.int32()), "tn": count[:, 0], "fp": count[:, 1], "fn": count[:, 2], "tp": count[:, 3]})
 
