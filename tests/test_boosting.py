@@ -1,9 +1,13 @@
+import threading
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pyspark.ml.functions import vector_to_array
 
 from veritab.operators import boosting as B
+from veritab.operators import models as M
 
 SCHEMA = "id long, x array<double>, label int"
 
@@ -135,3 +139,19 @@ def test_odd_tables(spark):
     same = _whole(rounds=2).fit(_frame(spark, np.ones((5, 2)), [1] * 5))
     p = _probabilities(same, _frame(spark, np.ones((3, 2)), [1] * 3))
     assert len(set(p)) == 1 and p[0] > 0.5
+
+
+def test_scans_take_whole_pieces_and_read_them_in_place(monkeypatch):
+    monkeypatch.setattr(B, "PIECE", 7)
+    x = np.random.default_rng(0).integers(0, 256, (20, 5)).astype(np.uint8)
+    batch = pa.record_batch([pa.array([r.tobytes() for r in x], pa.binary())], ["bins"])
+    got = list(B._pieces(batch.slice(i, 3) for i in range(0, 20, 3)))
+    assert [len(p) for p in got] == [7, 7, 6]
+    assert np.array_equal(np.concatenate([B._bins_of(p) for p in got]), x)
+    part = B._bins_of(batch.slice(4, 9))
+    assert np.array_equal(part, x[4:13]) and np.shares_memory(part, np.frombuffer(batch.column("bins").buffers()[2], np.uint8))
+
+
+def test_fits_of_a_comparison_run_at_once(spark):
+    four = threading.Barrier(4)
+    assert len(M.each(lambda i: four.wait(60), range(4), spark.range(1))) == 4

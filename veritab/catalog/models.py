@@ -145,11 +145,11 @@ def m21(spark, sf):
 def m22(spark, sf):
     df = _emb(spark, sf)
     tr, n = M.training_part(df.where("fold != 0")), _n(df)
-    parts = []
-    for name, model in [("logistic", M.logistic(C=1.0, n=n).fit(tr)), ("random_forest", M.random_forest().fit(tr)),
-                        ("fourier_svm", M.FourierSVM("embedding", DIM).fit(tr)),
-                        ("boosted_trees", M.boosted_trees("embedding", ["vec_id"]).fit(tr))]:
-        parts.append(_holdout_metrics(model, df).withColumn("model_name", F.lit(name)))
+    fits = {"logistic": lambda: M.logistic(C=1.0, n=n).fit(tr), "random_forest": lambda: M.random_forest().fit(tr),
+            "fourier_svm": lambda: M.FourierSVM("embedding", DIM).fit(tr),
+            "boosted_trees": lambda: M.boosted_trees("embedding", ["vec_id"]).fit(tr)}
+    # the fits do not depend on each other; each is a row of short jobs that leave most cores idle
+    parts = M.each(lambda name: _holdout_metrics(fits[name](), df).withColumn("model_name", F.lit(name)), list(fits), df)
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)

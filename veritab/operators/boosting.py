@@ -36,8 +36,8 @@ from veritab.functions.scalar import col_of
 from veritab.session import run_table
 
 #: Bin of a missing value; sums one task may hold; rows that one task of a small table takes; trees after
-#: which margins are written again.
-MISSING, CELLS, TASK_ROWS, REFRESH = 255, 4_000_000, 200_000, 10
+#: which margins are written again; rows summed at once, whose sums are exact as doubles; cuts judged at once.
+MISSING, CELLS, TASK_ROWS, REFRESH, PIECE, CUTS = 255, 4_000_000, 200_000, 10, 65_536, 1_000
 _CUT = pa.schema([("node", pa.int32()), ("feature", pa.int32()), ("bin", pa.int32()), ("missing_left", pa.bool_()), ("g", pa.float64()),
                   ("h", pa.float64()), ("gl", pa.float64()), ("hl", pa.float64()), ("gain", pa.float64())])
 
@@ -215,22 +215,30 @@ def _cuts(sums: DataFrame, tasks: int, scale: float, l2: float, min_child: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for node, feature, v in zip(*(batch.column(c).to_pylist() for c in ("node", "feature", "sums"))):
-                v, key = np.frombuffer(v, dtype=np.int64).reshape(2, 256), (node, feature)
-                total[key] = total[key] + v if key in total else v
-        out = []
-        for (node, feature), v in total.items():
-            upto = np.cumsum(v[:, :MISSING], axis=1)
-            # bins x (missing right, missing left); whole numbers until here, so the same in any order
-            gl, hl = np.stack([upto, upto + v[:, MISSING:]], axis=2) / scale
-            g, h = v.sum(axis=1) / scale
+            sums = _in_place(batch.column("sums"), np.int64).reshape(len(batch), 2, 256)
+            for *key, v in zip(batch.column("node").to_pylist(), batch.column("feature").to_pylist(), sums):
+                key = tuple(key)
+                if key in total:
+                    total[key] += v
+                else:
+                    total[key] = v.copy()
+        keys = list(total)
+        for at in range(0, len(keys), CUTS):
+            v = np.stack([total[key] for key in keys[at:at + CUTS]])
+            upto = np.cumsum(v[:, :, :MISSING], axis=2)
+            # cuts x bins x (missing right, missing left); whole numbers until here, so the same in any order
+            gl, hl = (np.stack([upto[:, k], upto[:, k] + v[:, k, MISSING:]], axis=2) / scale for k in (0, 1))
+            g, h = (x[:, None, None] for x in v.sum(axis=2).T / scale)
             gr, hr = g - gl, h - hl
             ok = (np.minimum(hl, hr) >= min_child) & (hl > 0) & (hr > 0)
             gain = np.where(ok, gl * gl / (np.where(ok, hl, 0) + l2) + gr * gr / (np.where(ok, hr, 0) + l2) - g * g / (h + l2), -np.inf)
-            i, j = divmod(int(np.argmax(gain)), 2)  # the first of equal gains: smallest bin, missing rows right
-            out.append({"node": node, "feature": feature, "bin": i, "missing_left": bool(j), "g": g, "h": h, "gl": gl[i, j], "hl": hl[i, j],
-                        "gain": gain[i, j] if ok[i, j] else None})
-        yield pa.RecordBatch.from_pylist(out, _CUT)
+            best = gain.reshape(len(v), -1).argmax(axis=1)  # the first of equal gains: smallest bin, missing rows right
+            i, j = np.divmod(best, 2)
+            own = np.arange(len(v))
+            node, feature = zip(*keys[at:at + CUTS])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node, pa.int32()), pa.array(feature, pa.int32()), pa.array(i, pa.int32()), pa.array(j == 1), pa.array(g.ravel()), pa.array(h.ravel()),
+                 pa.array(gl[own, i, j]), pa.array(hl[own, i, j]), pa.array(gain[own, i, j], mask=~ok[own, i, j])], schema=_CUT)
 
     best: dict[int, dict] = {}
     for r in sums.repartition(tasks, "node", "feature").mapInArrow(run, from_arrow_schema(_CUT)).collect():
@@ -250,8 +258,31 @@ def _dense(lists: list, width: int) -> np.ndarray:
     return out
 
 
+def _in_place(column: pa.Array, kind: type) -> np.ndarray:
+    """The numbers of binaries without nulls, as they lie in the column."""
+    wide = pa.types.is_large_binary(column.type)
+    ends = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].view(kind)
+
+
 def _bins_of(batch: pa.RecordBatch) -> np.ndarray:
-    return np.frombuffer(b"".join(batch.column("bins").to_pylist()), dtype=np.uint8).reshape(len(batch), -1)
+    return _in_place(batch.column("bins"), np.uint8).reshape(len(batch), -1)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in batches of PIECE rows, the last one of fewer."""
+    held: list[pa.RecordBatch] = []
+    room = PIECE
+    for whole in batches:
+        at = 0
+        while at < len(whole):
+            held.append(whole.slice(at, room))
+            at, room = at + len(held[-1]), room - len(held[-1])
+            if not room:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, room = [], PIECE
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def _advanced(table: DataFrame, trees: list[Tree]) -> DataFrame:
@@ -275,27 +306,25 @@ def _sums(table: DataFrame, recent: list[Tree], tree: Tree, nodes: Sequence[int]
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shape = (len(used), len(nodes) * 256)
         total = np.zeros((2, *shape), dtype=np.int64)
-        for whole in batches:
-            for start in range(0, len(whole), 65_536):  # sums of one piece are exact as doubles
-                batch = whole.slice(start, 65_536)
-                own = np.flatnonzero(_uniform(batch.column("h").to_numpy().astype(np.int64), number) < subsample)
-                b = _bins_of(batch)[own]
-                place = slot[leaves(tree, b, True)]
-                inside = place >= 0
-                if not inside.any():
-                    continue
-                if not inside.all():
-                    own, b, place = own[inside], b[inside], place[inside]
-                y = batch.column("y").to_numpy()[own]
-                p = _sigmoid(batch.column("margin").to_numpy()[own] + _margin(recent, b, True))
-                w = np.where(y > 0, pos_weight, 1.0)
-                g = np.rint(w * (p - (y > 0)) * scale)
-                h = np.rint(w * p * (1 - p) * scale)
-                columns, first = np.ascontiguousarray(b[:, used].T), place * 256
-                for i in range(len(used)):
-                    code = first + columns[i]
-                    for k, v in enumerate((g, h)):
-                        total[k, i] += np.bincount(code, weights=v, minlength=shape[1]).astype(np.int64)
+        for batch in _pieces(batches):
+            own = np.flatnonzero(_uniform(batch.column("h").to_numpy().astype(np.int64), number) < subsample)
+            b = _bins_of(batch)[own]
+            place = slot[leaves(tree, b, True)]
+            inside = place >= 0
+            if not inside.any():
+                continue
+            if not inside.all():
+                own, b, place = own[inside], b[inside], place[inside]
+            y = batch.column("y").to_numpy()[own]
+            p = _sigmoid(batch.column("margin").to_numpy()[own] + _margin(recent, b, True))
+            w = np.where(y > 0, pos_weight, 1.0)
+            g = np.rint(w * (p - (y > 0)) * scale)
+            h = np.rint(w * p * (1 - p) * scale)
+            columns, first = np.ascontiguousarray(b[:, used].T), place * 256
+            for i in range(len(used)):
+                code = first + columns[i]
+                for k, v in enumerate((g, h)):
+                    total[k, i] += np.bincount(code, weights=v, minlength=shape[1]).astype(np.int64)
         i, place = np.nonzero(total.reshape(2, len(used), len(nodes), 256).any(axis=(0, 3)))
         packed = [total[:, f, p * 256:(p + 1) * 256].tobytes() for f, p in zip(i, place)]
         yield pa.RecordBatch.from_arrays([pa.array(np.asarray(nodes)[place], pa.int32()), pa.array(used[i], pa.int32()), pa.array(packed, pa.binary())],

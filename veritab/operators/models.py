@@ -57,7 +57,7 @@ def training_part(df: DataFrame) -> DataFrame:
     return balanced_weights(df.drop("weight"), "label", "weight")
 
 
-def _together(work: Callable, items: Sequence, df: DataFrame, parallelism: int = 4) -> list:
+def each(work: Callable, items: Sequence, df: DataFrame, parallelism: int = 4) -> list:
     """``work`` of every item in order; ``parallelism`` of them submit their jobs at once."""
     tasks = [inheritable_thread_target(df.sparkSession)(lambda x=x: work(x)) for x in items]
     with ThreadPool(parallelism) as pool:
@@ -258,7 +258,7 @@ def permutation_importance(model_fn, df: DataFrame, array_col: str, indices: Seq
         p = model_fn(permuted_elements(df, array_col, indices, key, f"{seed}-{r}"))
         return {x["_j"]: base - x[metric] for x in EV.classification_metrics(p, "label", "prediction", ["_j"]).collect()}
 
-    found = _together(drops, range(repeats), df)
+    found = each(drops, range(repeats), df)
     rows = [(j, float(np.mean([x[j] for x in found])), float(np.std([x[j] for x in found]))) for j in indices]
     from pyspark.sql import SparkSession
     return SparkSession.getActiveSession().createDataFrame(
