@@ -205,18 +205,11 @@ def linear_permutation_importance(df: DataFrame, weights: Mapping[str, float], b
                                   metric: str = "recall", score_digits: int = 9) -> DataFrame:
     """M9 for a linear scorer, every feature and repeat in one job: the permuted score is
     ``z + w_j (x'_j - x_j)``; metric drop = baseline - permuted, mean and std (n)."""
-    feats = list(weights)
+    from veritab.operators import pairs
     z = sum((col_of(c).cast("double") * float(w) for c, w in weights.items()), F.lit(float(bias)))
-    base = df.select(col_of(label).alias("label"), z.alias("_z"))
-    pairs = permutation_pairs(df.withColumn("_z", z), feats, key, repeats, seed, [label, "_z"])
-    wmap = F.create_map(*[x for f, w in weights.items() for x in (F.lit(f), F.lit(float(w)))])
-    zp = F.col("_z") + wmap[F.col("feature")] * (F.col("permuted") - F.col("original"))
-    sp = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-zp)), score_digits)
-    scored = pairs.select("feature", "repeat", col_of(label).alias("label"), (sp >= 0.5).cast("int").alias("prediction"))
-    per = classification_metrics(scored, "label", "prediction", ["feature", "repeat"]).select("feature", "repeat", metric)
-    b = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_z"))), score_digits)
-    baseline = classification_metrics(base.withColumn("prediction", (b >= 0.5).cast("int")),
-                                      "label", "prediction").select(metric).scalar()
+    cells = run_table(pairs.permuted_cells(df, weights, z, col_of(label), key, repeats, seed, score_digits))
+    per = classification_metrics(cells.where("feature IS NOT NULL"), "label", "prediction", ["feature", "repeat"], "n").select("feature", "repeat", metric)
+    baseline = classification_metrics(cells.where("feature IS NULL"), "label", "prediction", weight="n").select(metric).scalar()
     per = run_table(per)  # one row per feature and repeat; reports read it several times
     drops = per.select("feature", "repeat", (baseline - F.col(metric)).alias("drop"))
     return drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"),
